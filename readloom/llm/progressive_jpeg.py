@@ -493,7 +493,7 @@ def decode_media(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ("
     ``tensors=False`` leaves rgb null: the tensor is rendered for the feature and not shipped.
     """
     rows = df.select(*keep, F.col(media).alias("_media"))
-    schema = rows.drop("_media").schema.add("height", "int").add("width", "int").add("rgb", "binary").add("feature", "string").add("payload", "binary").add("media_error", "string")
+    schema = rows.drop("_media").schema.add("height", "integer").add("width", "integer").add("rgb", "binary").add("feature", "string").add("payload", "binary").add("media_error", "string")
     names = schema.names
 
     def one(raw: bytes | None):

@@ -1,7 +1,10 @@
 """The registered queries of this subpackage and the SQL for those that SQL can express."""
 
+from .chat import OP10_SQL, op10_perspective_rotation
+from .mixing import op7_mix_sources
 from .progressive_jpeg import op3_progressive_jpeg
+from .url_filter import OP2_SQL, op2_url_filter
 
-QUERIES = {f.__name__: f for f in (op3_progressive_jpeg,)}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_progressive_jpeg, op7_mix_sources, op10_perspective_rotation)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op10_perspective_rotation": OP10_SQL}
