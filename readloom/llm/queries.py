@@ -1,10 +1,22 @@
 """The registered queries of this subpackage and the SQL for those that SQL can express."""
 
+from .bpe import op4_bpe
 from .chat import OP10_SQL, op10_perspective_rotation
+from .language_id import op9_language_id
 from .mixing import op7_mix_sources
 from .progressive_jpeg import op3_progressive_jpeg
 from .url_filter import OP2_SQL, op2_url_filter
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_progressive_jpeg, op7_mix_sources, op10_perspective_rotation)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_url_filter,
+        op3_progressive_jpeg,
+        op4_bpe,
+        op7_mix_sources,
+        op9_language_id,
+        op10_perspective_rotation,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op10_perspective_rotation": OP10_SQL}
