@@ -161,13 +161,13 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         new = save(star(star(now, True), False), "edges")
         forget(now)
         now = new
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum("b")).first()
+        seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1_000_003)).first()
         if seen == digest:
             break
         digest = seen
     else:
         raise RuntimeError(f"components have not settled after {most_rounds} rounds")
-    return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id"))
+    return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id")).union(now.select("b", "b").distinct())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
