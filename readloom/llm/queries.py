@@ -3,6 +3,7 @@
 from .bpe import op4_bpe
 from .chat import OP10_SQL, op10_perspective_rotation
 from .language_id import op9_language_id
+from .minhash import op8_minhash
 from .mixing import op7_mix_sources
 from .progressive_jpeg import op3_progressive_jpeg
 from .url_filter import OP2_SQL, op2_url_filter
@@ -14,6 +15,7 @@ QUERIES = {
         op3_progressive_jpeg,
         op4_bpe,
         op7_mix_sources,
+        op8_minhash,
         op9_language_id,
         op10_perspective_rotation,
     )
