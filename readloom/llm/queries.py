@@ -6,6 +6,7 @@ from .language_id import op9_language_id
 from .minhash import op8_minhash
 from .mixing import op7_mix_sources
 from .progressive_jpeg import op3_progressive_jpeg
+from .repeats import op6_suffix_dedup
 from .url_filter import OP2_SQL, op2_url_filter
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
         op2_url_filter,
         op3_progressive_jpeg,
         op4_bpe,
+        op6_suffix_dedup,
         op7_mix_sources,
         op8_minhash,
         op9_language_id,
