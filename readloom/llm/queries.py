@@ -5,6 +5,7 @@ from .chat import OP10_SQL, op10_perspective_rotation
 from .language_id import op9_language_id
 from .minhash import op8_minhash
 from .mixing import op7_mix_sources
+from .ppm import op5_ppm
 from .progressive_jpeg import op3_progressive_jpeg
 from .repeats import op6_suffix_dedup
 from .url_filter import OP2_SQL, op2_url_filter
@@ -15,6 +16,7 @@ QUERIES = {
         op2_url_filter,
         op3_progressive_jpeg,
         op4_bpe,
+        op5_ppm,
         op6_suffix_dedup,
         op7_mix_sources,
         op8_minhash,
