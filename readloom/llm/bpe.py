@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import byte_views, mix64, row_chunks, table
 
@@ -168,7 +169,7 @@ def encode(df: DataFrame, text: str = "text", tokenizer: str | None = None, keep
     """``keep`` columns and ``ids`` array<int> of each text."""
     path = tokenizer or default_tokenizer()
     rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
-    schema = rows.drop("_text").schema.add("ids", "array<int>")
+    schema = rows.drop("_text").schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches):
         encoder = _encoder(path)
