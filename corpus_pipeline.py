@@ -1,13 +1,47 @@
-"""The corpus pipeline: stages from raw documents to encoded training rows."""
+"""The corpus pipeline: from raw documents to encoded training rows.
+
+Each stage works on all that its predecessor kept, and its decisions take effect: unidentified
+documents go, one document of each near-duplicate group stays, repeated passages are cut out,
+documents are dropped or repeated to meet the sources' weights, and the rest is encoded.
+All but the last stage return the columns they were given.
+"""
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
+from readloom.llm.bpe import encode_stage
 from readloom.llm.common import save, table
+from readloom.llm.language_id import keep_identified
+from readloom.llm.minhash import keep_one_of_each
+from readloom.llm.mixing import mix_stage
+from readloom.llm.repeats import drop_repeats
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _keeps_columns(stage):
+    """Run ``stage`` with columns beyond those of documents under names that it does not use."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = docs.toDF(*(c if c in COLUMNS else f"_own{i}" for i, c in enumerate(docs.columns)))
+        return stage(spark, plain, sf_dir).toDF(*docs.columns)
+
+    return run
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", _keeps_columns(keep_identified)),
+    ("minhash", _keeps_columns(keep_one_of_each)),
+    ("suffix_dedup", _keeps_columns(drop_repeats)),
+    ("mixing", _keeps_columns(mix_stage)),
+    ("bpe", encode_stage),
+]
 
+#: SQL expresses none of the stages; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 

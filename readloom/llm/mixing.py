@@ -135,3 +135,8 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 5, 2, 1 by source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: whole documents, each as often as the mix of sources takes it (also never)."""
+    return repeat_documents(mix(docs)).select(*docs.columns)

@@ -2,6 +2,7 @@
 
 from .bpe import op4_bpe
 from .chat import OP10_SQL, op10_perspective_rotation
+from .flat_graph import op1_flat_graph
 from .language_id import op9_language_id
 from .minhash import op8_minhash
 from .mixing import op7_mix_sources
@@ -13,6 +14,7 @@ from .url_filter import OP2_SQL, op2_url_filter
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_flat_graph,
         op2_url_filter,
         op3_progressive_jpeg,
         op4_bpe,
