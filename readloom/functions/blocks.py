@@ -22,7 +22,8 @@ def before(lens: Column) -> Column:
 
 def _first(flags: Column) -> Column:
     """0-based place of the first true; null without."""
-    return F.nullif(F.array_position(flags, True), F.lit(0)).cast("int") - 1
+    at = F.array_position(flags, True)
+    return F.when(at > 0, at.cast("int") - 1)
 
 
 def in_block(pos: Column, start: Column, stop: Column, lens: Column | None = None, starts: Column | None = None) -> Column:
@@ -96,10 +97,11 @@ def _trim(df: DataFrame, bp: Column, right_on_plus: bool, by_strand: bool) -> Da
     out = {}
     for c in right:
         a, b = (right[c], left[c]) if right_on_plus else (left[c], right[c])
-        out[c] = F.when(bp <= 0, F.col(c)).when(over, F.lit(None).cast(df.schema[c].dataType)).when(minus, b).otherwise(a).cast(df.schema[c].dataType)
+        out[f"_new_{c}"] = F.when(bp <= 0, F.col(c)).when(over, F.lit(None).cast(df.schema[c].dataType)).when(minus, b).otherwise(a).cast(df.schema[c].dataType)
     out["trim_error"] = F.when((bp > 0) & over, "trims more than there is")
-    df = df.withColumns(out)
-    return df.withColumn("block_count", F.size("block_lens")).drop("_bp")
+    # Under names of their own: inside lambdas a column that the same projection replaces may resolve to its new value.
+    df = df.withColumns(out).withColumns({c: F.col(f"_new_{c}") for c in right})
+    return df.withColumn("block_count", F.size("block_lens")).drop("_bp", *(f"_new_{c}" for c in right))
 
 
 def trim_downstream(df: DataFrame, bp: Column, by_strand: bool = True) -> DataFrame:
