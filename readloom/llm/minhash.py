@@ -29,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, byte_views, components, forget, mix64, row_chunks, save, span_hashes, table, word_spans
+from .common import ascii_lower, bounded_batches, byte_views, components, forget, mix64, row_chunks, save, span_hashes, table, word_spans
 
-HASHES, BITS, BLOCK = 128, 2, 192
+HASHES, BITS = 128, 2
+#: A block of a bucket holds at most about so many members, and shingles.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 _RNG = np.random.default_rng(20240229)
 _MUL = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -98,10 +100,10 @@ def _rows_of(df: DataFrame, schema: str, make):
     def run(batches):
         for batch in batches:
             buf, off = byte_views(batch.column(1))
-            for a, b in row_chunks(off, 2 << 20):
+            for a, b in row_chunks(off, 1 << 20):
                 yield make(batch.column(0).slice(a, b - a), ascii_lower(buf[off[a] : off[b]]), off[a : b + 1] - off[a])
 
-    return df.mapInArrow(run, schema)
+    return bounded_batches(df).mapInArrow(run, schema)
 
 
 def _fingerprint(shingles: np.ndarray) -> int:
@@ -142,7 +144,8 @@ def _block_links(num: int, den: int, cut: float):
         import pandas as pd
 
         pdf = pdf.drop_duplicates("class")
-        ids, comp = pdf["class"].to_numpy(), pdf["comp"].to_numpy()
+        ids, comp, own = pdf["class"].to_numpy(), pdf["comp"].to_numpy(), pdf["own"].to_numpy()
+        across = pdf["i"].iloc[0] != pdf["j"].iloc[0]  # pairs within a block are decided where it meets itself
         planes = np.stack(pdf["planes"].to_numpy()).astype(np.int64).view(np.uint64)
         sets = [np.asarray(s) for s in pdf["shingles"]]
         size = np.array([len(s) for s in sets])
@@ -153,6 +156,8 @@ def _block_links(num: int, den: int, cut: float):
             for w in range(per):
                 differing += np.bitwise_count(np.bitwise_or.reduce(diff[:, w::per], axis=1)).astype(np.int64)
             near = (estimate(differing) >= cut) & (den * np.minimum(size[i], size[i + 1 :]) >= num * np.maximum(size[i], size[i + 1 :])) & (root[i + 1 :] != root[i])
+            if across:
+                near &= own[i + 1 :] != own[i]
             for j in (np.flatnonzero(near) + i + 1).tolist():
                 if root[j] == root[i]:
                     continue
@@ -174,7 +179,7 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     rows, bands = (5, 24) if num / den >= 0.85 else (4, 32)
     cut = least_estimate(num / den)
     signed = save(signatures(df, text, key, words, bands, rows), "signatures")
-    classes = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
+    classes = signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
     classes = save(classes, "classes")
     member = classes.select("class", F.explode("bands").alias("bucket"))
     busy = member.groupBy("bucket").agg(F.min("class").alias("pivot"), F.count("*").alias("m")).where("m > 1")
@@ -197,18 +202,20 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     label = save(components(links), "labels")
     # The rest: buckets of three or more with members in different components.
     placed = busy.where("m > 2").join(label.select(F.col("id").alias("class"), F.col("component_id").alias("comp")), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("bucket", "n")
-    open_ = save(placed.join(mixed, "bucket").select("bucket", "class", "comp", "n"), "open")
+    sized = placed.join(classes.select("class", "size"), "class")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    mixed = sized.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), F.sum("size").alias("shingles")).where("lo <> hi").select("bucket", blocks.alias("blocks"))
+    open_ = save(placed.join(mixed, "bucket").select("bucket", "class", "comp", "blocks"), "open")
     if not open_.isEmpty():
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("class"), blocks).cast("int")
-        spread = open_.select("bucket", "class", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        spread = spread.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class", "comp")
+        own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+        spread = open_.select("bucket", "class", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        spread = spread.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class", "comp", "own")
         spread = spread.join(planes, "class").join(sets, "class")
         more = spread.groupBy("bucket", "i", "j").applyInPandas(_block_links(num, den, cut), "a long, b long")
         more = save(more.distinct(), "links")
         if not more.isEmpty():
             label = save(components(links.union(more)), "labels")
+    forget(busy, pairs, sets, open_, links)
     joined = classes.select("class", "least_id").join(label, F.col("class") == F.col("id"))
     least = joined.groupBy("component_id").agg(F.min("least_id").alias("least")).select(F.col("component_id").alias("_c"), "least")
     linked = joined.join(least, F.col("component_id") == F.col("_c")).select(F.col("class").alias("_k"), "least")
