@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_views, mix64, row_chunks, table
+from .common import bounded_batches, byte_views, mix64, row_chunks, table
 
-MOST_WORDS = 250_000
+MOST_WORDS = 180_000
 MOST_CHUNKS = 30_000
 CUT_BITS = 8
 _MARKS = b".,;:!?*$%&#)"
@@ -168,7 +168,7 @@ def _encoder(path: str) -> ChunkEncoder:
 def encode(df: DataFrame, text: str = "text", tokenizer: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``ids`` array<int> of each text."""
     path = tokenizer or default_tokenizer()
-    rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
+    rows = bounded_batches(df).select(*keep, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
     schema = rows.drop("_text").schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches):
@@ -205,7 +205,7 @@ def _vocabulary(path: str):
 def decode(df: DataFrame, ids: str = "ids", tokenizer: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``decoded`` text of each array of ids, special tokens kept; null ids give null."""
     path = tokenizer or default_tokenizer()
-    rows = df.select(*keep, F.col(ids).cast("array<int>").alias("_ids"))
+    rows = bounded_batches(df).select(*keep, F.col(ids).cast("array<int>").alias("_ids"))
     schema = rows.drop("_ids").schema.add("decoded", "string")
 
     def run(batches):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -31,18 +32,29 @@ def save(df: DataFrame, what: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
+    # Shuffle files live until the driver collects the plan that made them: now nothing needs it.
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
     return out
 
 
-def forget(df: DataFrame) -> None:
-    """Delete a table made by :func:`save` that no later step reads."""
-    path = getattr(df, "_saved_at", None)
-    if path:
+def forget(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`save` that no later step reads."""
+    for df in tables:
         spark = df.sparkSession
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p = spark._jvm.org.apache.hadoop.fs.Path(df._saved_at)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """Texts are long: from now on the session passes them to Python in batches of at most ``rows`` rows."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def crc_fold(doc_id, folds: int = 5):
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, table
+from .common import bounded_batches, crc_fold, table
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -72,7 +72,7 @@ class LanguageModel:
     @classmethod
     def fit(cls, docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_per_lang: int = SAMPLE_PER_LANG) -> LanguageModel:
         """Learn from all rows of ``docs`` with text and language, sampled by id where a language has many."""
-        labelled = docs.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("_text")).where("_lang is not null and _text is not null")
+        labelled = bounded_batches(docs).select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("_text")).where("_lang is not null and _text is not null")
         counts = {r[0]: r[1] for r in labelled.groupBy("_lang").count().collect()}
         langs = sorted(counts)
         if not langs:
@@ -128,7 +128,7 @@ class LanguageModel:
 
 def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """All columns with lang_pred and score."""
-    spark = df.sparkSession
+    spark = bounded_batches(df).sparkSession
     shared = spark.sparkContext.broadcast(model)
     rest = [c for c in df.columns if c not in ("lang_pred", "score")]
     lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import byte_views, row_chunks, table
+from .common import bounded_batches, byte_views, row_chunks, table
 
 # Fixed by the JPEG standard: the raster position of each coefficient in zigzag order.
 ZIGZAG = np.array([u * 8 + v for s in range(15) for u, v in sorted(((i, s - i) for i in range(8) if 0 <= s - i < 8), key=lambda p: p[0] if s % 2 else p[1])])
@@ -472,7 +472,7 @@ def feature(rgb: np.ndarray) -> str:
 
 def encode_texts(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, n_bytes and ``media``: each text's bytes, zero-padded to a positive multiple of 64, as progressive JPEG."""
-    rows = df.select(*keep, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_payload"))
+    rows = bounded_batches(df).select(*keep, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_payload"))
     schema = rows.drop("_payload").schema.add("n_bytes", "long").add("media", "binary")
 
     def run(batches):
@@ -492,7 +492,7 @@ def decode_media(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ("
 
     ``tensors=False`` leaves rgb null: the tensor is rendered for the feature and not shipped.
     """
-    rows = df.select(*keep, F.col(media).alias("_media"))
+    rows = bounded_batches(df).select(*keep, F.col(media).alias("_media"))
     schema = rows.drop("_media").schema.add("height", "integer").add("width", "integer").add("rgb", "binary").add("feature", "string").add("payload", "binary").add("media_error", "string")
     names = schema.names
 
