@@ -235,8 +235,8 @@ def vector_links(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     vectors = save(vectors.withColumn("usable", usable), "vectors")
     good = vectors.where("usable").select("vec_id", F.col("label").cast("string").alias("label"), F.size("vec").alias("dim"), "vec")
     # Components of extreme size would overflow a norm; scaling by the largest leaves the cosine as it is.
-    largest = F.array_max(F.transform("vec", lambda v: F.abs(v)))
-    good = good.withColumn("vec", F.transform("vec", lambda v: v / largest))
+    good = good.withColumn("_largest", F.array_max(F.transform("vec", lambda v: F.abs(v))))
+    good = good.select("vec_id", "label", "dim", F.transform("vec", lambda v: v / F.col("_largest")).alias("vec"))
     plan, centroids = {}, []
     groups = good.groupBy("label", "dim").count().collect()
     for g in groups:
