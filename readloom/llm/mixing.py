@@ -18,6 +18,7 @@ repeated rows are separate documents; result columns replace input columns of th
 from __future__ import annotations
 
 import math
+import zlib
 from fractions import Fraction
 
 import numpy as np
@@ -74,10 +75,9 @@ def sainte_lague(seats: int, weights, caps=None) -> list[int]:
         else:
             high = mid
     got = at(high)
-    while (short := seats - int(got.sum())) > 0:
+    while got.sum() < seats:
         quotient = np.where(got < cap, w / (2 * got + 1), -1.0)
-        for i in np.argsort(-quotient, kind="stable")[: max(1, min(short, 1))]:
-            got[i] += 1
+        got[int(quotient.argmax())] += 1
     return got.tolist()
 
 
@@ -109,7 +109,7 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", key: str = "d
         for (shard, s), q in zip(own, got):
             tokens = q * block_tokens
             whole, rest = divmod(tokens, s) if s else (0, 0)
-            start = (int.from_bytes(f"{seed}/{i}/{shard}".encode()[-8:], "big") * 2654435761 % (1 << 61)) % max(1, -(-s // block_tokens)) * block_tokens
+            start = zlib.crc32(f"{seed}/{i}/{shard}".encode()) % max(1, -(-s // block_tokens)) * block_tokens
             quotas.append((i, shard, s, whole, rest, start))
     quota = spark.createDataFrame(quotas, "_qi int, _qs int, _total long, _whole long, _rest long, _start long")
     rows = rows.join(F.broadcast(quota), (F.col("_i") == F.col("_qi")) & (F.col("_shard") == F.col("_qs")))
