@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BYTE_CODES, _powers, byte_views, mix64, row_chunks, save, span_hashes, table
+from .common import _BYTE_CODES, _powers, bounded_batches, byte_views, forget, mix64, row_chunks, save, span_hashes, table
 
 LENGTH, GRAM = 100, 24
-BUCKET_BYTES, MOST_SEGMENTS = 1_000_000, 8_000
+BUCKET_BYTES, MOST_SEGMENTS = 250_000, 1_500
 _PLACE = (1 << 30) - 1
 
 
@@ -182,12 +182,12 @@ def _mark_bucket(length: int):
 
 def repeat_ranges(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, most_segments: int = MOST_SEGMENTS) -> DataFrame:
     """(doc, th, start, n): runs of n window starts that occur earlier; th is the hash of the document's text."""
-    docs = df.select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
+    docs = bounded_batches(df).select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
 
     def cut(batches):
         for batch in batches:
             buf, off = byte_views(batch.column(2))
-            for a, b in row_chunks(off, 4 << 20):
+            for a, b in row_chunks(off, 1 << 20):
                 rows, starts, windows, anchor, content = segments(buf[off[a] : off[b]], off[a : b + 1] - off[a], length, gram)
                 pick = pa.array(rows + a)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), batch.column(0).take(pick), batch.column(1).take(pick), pa.array(starts, pa.int64()), pa.array(windows, pa.int64())], names=["anchor", "content", "doc", "th", "start", "n"])
@@ -210,7 +210,10 @@ def repeat_ranges(df: DataFrame, text: str = "text", key: str = "doc_id", length
     buckets = max(1, -(-total // BUCKET_BYTES))
     small = found.where(F.col("kinds") <= most_segments).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
     indexed = small.select("bucket", "doc", "th", "start", "segment").groupBy("bucket").applyInPandas(_mark_bucket(length), "doc long, th long, start long, n long")
-    return later.unionByName(indexed).unionByName(_by_window(found.where(F.col("kinds") > most_segments), length))
+    ranges = later.unionByName(indexed).unionByName(_by_window(found.where(F.col("kinds") > most_segments), length))
+    out = save(ranges, "ranges")
+    forget(shared, rows, first, open_, found)
+    return out
 
 
 def _by_window(found: DataFrame, length: int) -> DataFrame:
@@ -266,7 +269,7 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
         for batch in batches:
             raw_at = batch.num_columns - 3
             _, off = byte_views(batch.column(raw_at))
-            for a, b in row_chunks(off, 8 << 20):
+            for a, b in row_chunks(off, 2 << 20):
                 raws = batch.column(raw_at).slice(a, b - a)
                 starts, counts = batch.column(raw_at + 1).slice(a, b - a), batch.column(raw_at + 2).slice(a, b - a)
                 got = [(0, 0, raws[i].as_py()) if not starts[i].is_valid else one(raws[i].as_py(), np.asarray(starts[i].values), np.asarray(counts[i].values)) for i in range(b - a)]
