@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import _BYTE_CODES, _powers, bounded_batches, byte_views, forget, mix64, row_chunks, save, span_hashes, table
 
 LENGTH, GRAM = 100, 24
-BUCKET_BYTES, MOST_SEGMENTS = 250_000, 1_500
+BUCKET_BYTES, MOST_SEGMENTS = 250_000, 8_000
 _PLACE = (1 << 30) - 1
 
 
