@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, crc_fold, save, span_hashes, table, word_spans
+from .common import ascii_lower, crc_fold, forget, save, span_hashes, table, word_spans
 
 ORDER = 4
 END, START, BITS = 256, 257, 9
 SYMBOLS = 257
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 16_000_000
 _END_WORD = np.int64(1)
 
 
@@ -99,24 +99,23 @@ def _distinct(keys: np.ndarray, weight: np.ndarray):
 
 
 def _vocabulary(order: int):
-    """Of a block's documents: (block, kind, key, n), n counted in training documents only."""
+    """Of a block's documents: (block, word, key, n), n counted in training documents only."""
 
     def run(pdf):
         import pandas as pd
 
-        held = {"g": ([], []), "w": ([], [])}
+        gram, word = ([], []), ([], [])
         train = pdf["train"].to_numpy()
         for at, data, bounds in _chunks(pdf["raw"].to_numpy()):
             here = train[at : at + len(bounds) - 1].astype(np.float64)
-            gram, own = grams_of(data, bounds, order)
-            word, rows = tokens_of(data, bounds)
-            for kind, got in (("g", _distinct(gram, np.repeat(here, np.diff(own)))), ("w", _distinct(word, here[rows]))):
-                for held_list, x in zip(held[kind], got):
-                    held_list.append(x)
-        gram, gram_n = _count(*held["g"])
-        word, word_n = _count(*held["w"])
+            grams, own = grams_of(data, bounds, order)
+            words, rows = tokens_of(data, bounds)
+            for held, got in ((gram, _distinct(grams, np.repeat(here, np.diff(own)))), (word, _distinct(words, here[rows]))):
+                for one, x in zip(held, got):
+                    one.append(x)
+        (gram, gram_n), (word, word_n) = _count(*gram), _count(*word)
         word, word_n = np.append(word, _END_WORD), np.append(word_n, train.sum())
-        return pd.DataFrame({"block": pdf["block"].iloc[0], "kind": ["g"] * len(gram) + ["w"] * len(word), "key": np.concatenate([gram, word]), "n": np.concatenate([gram_n, word_n])})
+        return pd.DataFrame({"block": pdf["block"].iloc[0], "word": np.repeat([False, True], [len(gram), len(word)]), "key": np.concatenate([gram, word]), "n": np.concatenate([gram_n, word_n])})
 
     return run
 
@@ -148,7 +147,7 @@ def code_lengths(counted: DataFrame, order: int = ORDER) -> DataFrame:
     # From the longest context down: grams whose symbol it knows are done; the rest escape with what is excluded.
     per = [save(x, f"contexts{k}") for k, x in enumerate(total)]
     ask = levels[order].select("gram", "n", F.lit(0).cast("long").alias("xt"), F.lit(0).cast("long").alias("xd"), F.lit(0.0).alias("esc"))
-    done = []
+    done, tables = [], [*levels, *per]
     for k in range(order, -1, -1):
         last = ask.withColumns({"g": suffix(F.col("gram"), k)}).drop("n") if k < order else ask.withColumn("g", F.col("gram")).drop("n")
         last = last.withColumn("ctx", F.shiftright("g", BITS)) if k else last.withColumn("ctx", F.lit(0).cast("long"))
@@ -160,6 +159,7 @@ def code_lengths(counted: DataFrame, order: int = ORDER) -> DataFrame:
         more = here.where("n = 0")
         step = F.when(F.col("d2") > 0, F.log10(F.col("d2") / (F.col("t2") + F.col("d2")))).otherwise(0.0)
         ask = save(more.select("gram", F.col("n"), F.coalesce("nxt", F.lit(0)).cast("long").alias("xt"), F.coalesce("nxd", F.lit(0)).cast("long").alias("xd"), (F.col("esc") + step).alias("esc"), F.coalesce("d", F.lit(0)).alias("d0")), f"ask{k}")
+        tables.append(ask)
         if k:
             ask = ask.drop("d0")
     # Below the empty context: the symbols that training never showed, equally likely.
@@ -167,6 +167,8 @@ def code_lengths(counted: DataFrame, order: int = ORDER) -> DataFrame:
     out = done[0]
     for x in done[1:]:
         out = out.union(x)
+    out = save(out, "code-lengths")
+    forget(*tables)
     return out
 
 
@@ -176,12 +178,21 @@ def _score(order: int, n_total: int, v_total: int):
     def run(docs, vocabulary):
         import pandas as pd
 
-        gram_rows, word_rows = vocabulary[vocabulary["kind"] == "g"], vocabulary[vocabulary["kind"] == "w"]
-        gram_at = pd.Index(gram_rows["key"].to_numpy())
-        logp = np.append(gram_rows["value"].to_numpy(), 0.0)
-        word_at = pd.Index(word_rows["key"].to_numpy())
-        count = np.append(word_rows["value"].to_numpy(), 0.0)
-        end_count = count[word_at.get_indexer(np.array([_END_WORD]))[0]]
+        word = vocabulary["word"].to_numpy()
+        key, value = vocabulary["key"].to_numpy(), vocabulary["value"].to_numpy()
+        gram_at, logp = pd.Index(key[~word]), np.append(value[~word], 0.0)
+        # Words of other counts than the block's own came; the rest occur in this block alone.
+        train = docs["train"].to_numpy()
+        own_key, own_n = [np.array([_END_WORD])], [np.array([float(train.sum())])]
+        for at, data, bounds in _chunks(docs["raw"].to_numpy()):
+            words, rows = tokens_of(data, bounds)
+            k, n = _distinct(words, train[at : at + len(bounds) - 1].astype(np.float64)[rows])
+            own_key.append(k)
+            own_n.append(n)
+        own_key, own_n = _count(own_key, own_n)
+        word_at, count = pd.Index(own_key), own_n.astype(np.float64)
+        count[word_at.get_indexer(key[word])] = value[word]
+        end_count = count[word_at.get_loc(_END_WORD)]
         n = len(docs)
         score, base, tokens, known = np.zeros(n), np.zeros(n), np.ones(n, np.int64), np.zeros(n, np.int64)
         for at, data, bounds in _chunks(docs["raw"].to_numpy()):
@@ -206,13 +217,16 @@ def score_documents(df: DataFrame, train, text: str = "text", key: str = "doc_id
     blocks = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(blocks)).cast("int")
     docs = df.select(F.col(key).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), raw.alias("raw"), block.alias("block"))
-    seen = save(docs.groupBy("block").applyInPandas(_vocabulary(order), "block int, kind string, key long, n long"), "vocabulary")
-    words = save(seen.where("kind = 'w'").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    n_total, v_total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    grams = seen.where("kind = 'g'").groupBy(F.col("key").alias("gram")).agg(F.sum("n").alias("n"))
+    seen = save(docs.groupBy("block").applyInPandas(_vocabulary(order), "block int, word boolean, key long, n long"), "vocabulary")
+    # Words meet their total where they were dealt to: one shuffle serves the sums and the join.
+    words = seen.where("word").select("block", "key", "n").repartition("key")
+    totals = words.groupBy("key").agg(F.sum("n").alias("value"))
+    n_total, v_total = totals.agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.when(F.col("value") > 0, 1))).first()
+    grams = seen.where("not word").groupBy(F.col("key").alias("gram")).agg(F.sum("n").alias("n"))
     lengths = code_lengths(grams, order)
-    values = lengths.select(F.lit("g").alias("kind"), F.col("gram").alias("key"), F.col("logp").alias("value")).union(words.select(F.lit("w"), "key", F.col("n").cast("double")))
-    asked = seen.select("block", "kind", "key").join(values, ["kind", "key"])
+    of_words = words.join(totals, "key").where("value <> n").select("block", F.lit(True).alias("word"), "key", F.col("value").cast("double").alias("value"))
+    of_grams = seen.where("not word").select("block", "key").join(lengths.select(F.col("gram").alias("key"), F.col("logp").alias("value")), "key").select("block", F.lit(False).alias("word"), "key", "value")
+    asked = of_words.union(of_grams)
     kind = df.schema[key].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return docs.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(_score(order, n_total, v_total), schema)
