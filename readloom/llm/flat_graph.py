@@ -1,11 +1,13 @@
 """Embedding near-duplicates over robust-pruned flat graphs (operator 1).
 
+0. Vectors of one label that are equal once scaled by their largest component (to ``GRID``, so that multiples
+   count as equal) collapse to the least id, which carries their number; only it is searched, and its cosines hold for all of them.
 1. Centroids: for each (label, dimension) about one a ``SHARD_VECTORS`` vectors, at most
    ``MOST_CENTROIDS``, fitted by spherical k-means on a bounded sample (``SAMPLE_PER_CENTROID``
    vectors a centroid). They alone are broadcast.
-2. Every vector goes to the cluster of its nearest centroid (its home) and to the next
+2. Every such vector goes to the cluster of its nearest centroid (its home) and to the next
    ``OVERLAP - 1`` nearest. A cluster of over ``MOST_NODES`` vectors, such as a large group of
-   copies, is split by a hash of the id into shards of at most about that many.
+   near copies, is split by a hash of the id into shards of at most about that many.
 3. Each shard builds a graph: nearest candidates and some random ones, robust-pruned (a neighbour
    goes if it is ``ALPHA`` times nearer to a kept, closer neighbour), with reverse edges.
 4. A vector's adjacency lists from all its shards are united.
@@ -13,7 +15,7 @@
    which then expands its range through all neighbours of found vectors until nothing new
    lies within the radius. Vectors of a cluster search in blocks of at most ``MOST_NODES``.
 6. Every pair returned has its cosine computed in double precision against the threshold. A block returns, for each
-   searching vector, how many it found, and a spanning forest of the links, never the pairs.
+   searching vector, how many it found (copies included), and a spanning forest of the links, never the pairs.
 
 ``audit_recall`` compares n_links with brute force for a stated set of vectors.
 
@@ -33,6 +35,7 @@ from .common import components, save, table
 
 SHARD_VECTORS, MOST_NODES, MOST_CENTROIDS, SAMPLE_PER_CENTROID = 500, 2048, 2048, 40
 OVERLAP, DEGREE, CANDIDATES, RANDOM, ALPHA, BEAM = 4, 24, 64, 8, 1.2, 24
+GRID = 2.0**-44
 
 
 def unit(rows) -> np.ndarray:
@@ -201,7 +204,7 @@ def _search(radius: float):
         fq, fn = range_search(x, graph, q, radius)
         other = q_ids[fq] != ids[fn]
         fq, fn = fq[other], fn[other]
-        found = np.bincount(fq, minlength=len(q_ids))
+        found = np.bincount(fq, weights=nodes["copies"].to_numpy()[fn], minlength=len(q_ids))
         # Components of the links found here, by pointer jumping on the least id.
         both = np.unique(np.concatenate([q_ids, ids]))
         a, b = np.searchsorted(both, q_ids[fq]), np.searchsorted(both, ids[fn])
@@ -237,6 +240,10 @@ def vector_links(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     # Components of extreme size would overflow a norm; scaling by the largest leaves the cosine as it is.
     good = good.withColumn("_largest", F.array_max(F.transform("vec", lambda v: F.abs(v))))
     good = good.select("vec_id", "label", "dim", F.transform("vec", lambda v: v / F.col("_largest")).alias("vec"))
+    grid = F.transform("vec", lambda v: F.rint(v / GRID).cast("long"))
+    good = good.withColumns({"_a": F.xxhash64("label", "dim", grid), "_b": F.xxhash64(F.lit(7), "label", "dim", grid)})
+    equal = save(good.groupBy("_a", "_b").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "equal")
+    good, every = good.drop("_a", "_b").join(equal.select("vec_id", "copies"), "vec_id"), good.select("vec_id", "_a", "_b")
     plan, centroids = {}, []
     groups = good.groupBy("label", "dim").count().collect()
     for g in groups:
@@ -265,7 +272,7 @@ def vector_links(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
         return out
 
     placed = save(good.withColumn("clusters", clusters("label", "dim", "vec")), "placed")
-    spread = placed.select("vec_id", "label", "dim", "vec", F.posexplode("clusters").alias("rank", "cluster"))
+    spread = placed.select("vec_id", "copies", "label", "dim", "vec", F.posexplode("clusters").alias("rank", "cluster"))
     sizes = spread.groupBy("label", "dim", "cluster").agg(F.count("*").alias("members"), F.count(F.when(F.col("rank") == 0, 1)).alias("home"))
     cut = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / MOST_NODES)).cast("int")
     sizes = save(sizes.select(F.col("label").alias("l"), F.col("dim").alias("m"), F.col("cluster").alias("c"), cut("members").alias("shards"), cut("home").alias("blocks")), "clusters")
@@ -276,12 +283,14 @@ def vector_links(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     nodes = nodes.join(united, "vec_id").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
     asks = spread.where("rank = 0").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col("blocks")).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     asks = asks.withColumns({"asks": F.lit(True), "near": F.lit(None).cast("array<long>")})
-    columns = ["label", "dim", "cluster", "shard", "block", "vec_id", "vec", "near", "asks"]
+    columns = ["label", "dim", "cluster", "shard", "block", "vec_id", "copies", "vec", "near", "asks"]
     got = nodes.select(*columns).union(asks.select(*columns)).groupBy("label", "dim", "cluster", "shard", "block").applyInPandas(_search(least_cosine), "vec_id long, found long, root long")
     got = save(got, "found")
     links = got.groupBy("vec_id").agg(F.sum("found").alias("n_links"))
     label_of = components(got.where("vec_id <> root").select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    out = vectors.select("vec_id", "usable").join(links, "vec_id", "left").join(label_of.select(F.col("id").alias("vec_id"), "component_id"), "vec_id", "left")
+    least = equal.join(links, "vec_id", "left").join(label_of.select(F.col("id").alias("vec_id"), "component_id"), "vec_id", "left")
+    least = least.select("_a", "_b", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    out = vectors.select("vec_id", "usable").join(every.join(least, ["_a", "_b"]).drop("_a", "_b"), "vec_id", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"), "usable")
     nameless = rows.where("vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(False).alias("usable"))
     return out.union(nameless).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"), "usable")

@@ -77,6 +77,18 @@ def test_vectors_against_brute_force(spark):
     assert a >= 0.9 * b > 0
 
 
+def test_identical_vectors_all_link(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(2, 16))
+    near = a + 0.01 * rng.normal(size=16)
+    rows = [(i, [float(v) for v in a * (1 + i % 3)], 0) for i in range(3000)]  # copies and multiples
+    rows += [(5000 + i, [float(v) for v in near], 0) for i in range(5)] + [(6000, [float(v) for v in b], 0), (6001, [float(v) for v in a], 1), (6002, [float(v) for v in a], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in flat_graph.vector_links(df).collect()}
+    want = {i: (3004, 0, i == 0) for i in [*range(3000), *range(5000, 5005)]} | {6000: (0, 6000, True), 6001: (1, 6001, True), 6002: (1, 6001, False)}
+    assert got == want
+
+
 def test_graph_is_pruned_and_searched():
     x = flat_graph.unit(np.random.default_rng(2).normal(size=(300, 8)))
     g = flat_graph.build_graph(x)
