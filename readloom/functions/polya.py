@@ -40,5 +40,10 @@ def read_tail_length(seq: Column, suffix_length: Column, step: int = 50) -> Colu
 
     first = tail_length(suffix(seq, suffix_length))
     more = F.sequence(suffix_length, F.greatest(F.length(seq), suffix_length) + step, F.lit(step))
-    ended = F.filter(F.transform(more, lambda m: F.struct(m.alias("m"), tail_length(suffix(seq, m)).alias("t"))), lambda x: x["m"] != x["t"])
-    return F.when(first != suffix_length, first).otherwise(F.element_at(ended, 1)["t"])
+    # Suffixes after the first that is not all tail are not looked at; whole reads are long.
+    ended = F.aggregate(more, F.lit(None).cast("int"), lambda t, m: F.when(t.isNotNull(), t).otherwise(_unless(tail_length(suffix(seq, m)), m)))
+    return F.when(first != suffix_length, first).otherwise(ended)
+
+
+def _unless(t: Column, m: Column) -> Column:
+    return F.when(t != m, t)

@@ -80,8 +80,17 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, lang, seq: texts as bases with an A tail."""
-    letters = F.upper(F.substring(F.regexp_replace("text", "[^a-zA-Z]", ""), 1, 300))
+    """doc_id, lang, seq: the first 300 letters of texts, as in ``SQL``, as bases with an A tail."""
+    return _reads(spark, sf_dir, lambda letters: F.substring(letters, 1, 300))
+
+
+def whole_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, lang, seq: whole texts as bases with an A tail."""
+    return _reads(spark, sf_dir, lambda letters: letters)
+
+
+def _reads(spark: SparkSession, sf_dir: str, part) -> DataFrame:
+    letters = F.upper(part(F.regexp_replace("text", "[^a-zA-Z]", "")))
     seq = F.concat(F.translate(letters, "BDEFHIJKLMNOPQRSUVWXYZ", "CGTACGTACGTACGTACGTACG"), F.repeat(F.lit("A"), (F.col("n_chars") % 40).cast("int")))
     return table(spark, sf_dir, "documents").select("doc_id", "lang", seq.alias("seq"))
 

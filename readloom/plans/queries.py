@@ -156,7 +156,7 @@ def polya_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def polya_read_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.reads(spark, sf_dir).select("doc_id", P.read_tail_length(F.col("seq"), F.lit(20)).alias("tail"))
+    return X.whole_reads(spark, sf_dir).select("doc_id", P.read_tail_length(F.col("seq"), F.lit(20)).alias("tail"))
 
 
 @query("SELECT doc_id, reverse(translate(seq, 'ATGCatgc', 'TACGtacg')) AS rc FROM fx_reads")
@@ -190,7 +190,7 @@ def neighbour_exon(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT a.doc_id, substr(b.seq, 1, 1 + CAST(a.doc_id % 3 AS INT)) = substr(a.seq, 1, 1 + CAST(a.doc_id % 3 AS INT)) AS matched
   FROM fx_reads a JOIN fx_reads b ON b.doc_id = a.doc_id + 1""")
 def clip_prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = X.reads(spark, sf_dir)
+    a = X.whole_reads(spark, sf_dir)
     b = a.select((F.col("doc_id") - 1).alias("doc_id"), F.col("seq").alias("exon"))
     clip = F.lower(F.substring("seq", F.lit(1), (F.col("doc_id") % 3 + 1).cast("int")))
     return a.join(b, "doc_id").select("doc_id", S.begins_with(F.col("exon"), clip).alias("matched"))

@@ -295,3 +295,30 @@ def test_streaming_measures_each_file_once(spark, tmp_path):
     for _ in range(2):
         incremental.write_split(incremental.measure_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def _tail(seq):
+    best, at, a = 1e-9, 0, 0
+    for k, x in enumerate(reversed(seq), 1):
+        a += x == "A"
+        score = a * P.GAIN_A + (k - a) * P.GAIN_OTHER + (P.COST_LEAVE if k < len(seq) else 0.0)
+        if score > best:
+            best, at = score, k
+    return at
+
+
+def test_read_tails_of_whole_texts(spark, sf_dir):
+    import re
+
+    from readloom.plans import queries as Q
+
+    bases = str.maketrans("BDEFHIJKLMNOPQRSUVWXYZ", "CGTACGTACGTACGTACGTACG")
+    want = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        seq = re.sub("[^a-zA-Z]", "", r.text).upper().translate(bases) + "A" * (r.n_chars % 40)
+        n = 20
+        while (t := _tail(seq[-n:])) == n:
+            n += 50
+        want[r.doc_id] = t
+    got = {r.doc_id: r.tail for r in Q.polya_read_tail(spark, sf_dir).collect()}
+    assert got == want
