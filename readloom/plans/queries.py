@@ -196,10 +196,10 @@ def clip_prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, "doc_id").select("doc_id", S.begins_with(F.col("exon"), clip).alias("matched"))
 
 
-def _correction_inputs(spark: SparkSession, sf_dir: str):
-    """Reads ending at internal exons whose clip spells the next exon (or not), made from the exon table."""
+def _correction_inputs(spark: SparkSession, sf_dir: str, of=None):
+    """Reads ending at internal exons whose clip spells the next exon (or not), made from the exon table; ``of`` restricts the transcripts that give reads."""
     e = X.exons(spark, sf_dir).withColumn("seq", F.substring(F.translate(F.sha2(F.concat_ws(":", "tx", "exon_no"), 256), "0123456789abcdef", "ACGTACGTACGTACGT"), 1, 12))
-    inner = intervals.internal_exons(intervals.neighbours(e, columns=("s", "e", "seq"))).where((F.col("tx") % 4) == 0)
+    inner = intervals.internal_exons(intervals.neighbours(e, columns=("s", "e", "seq"))).where(F.lit(True) if of is None else of)
     minus = F.col("strand") == "-"
     n = (F.col("e") - F.col("s")).cast("string")
     clip = F.when(F.col("exon_no") % 2 == 0, F.col("next_seq")).otherwise(F.lit("ACGTTGCAACGT"))
@@ -213,7 +213,7 @@ def _correction_inputs(spark: SparkSession, sf_dir: str):
 
 @query()
 def cigar_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return correction.correct(*_correction_inputs(spark, sf_dir), wiggle=0).select("read_id", "name", "flag", "pos", "cigar")
+    return correction.correct(*_correction_inputs(spark, sf_dir)).select("read_id", "name", "flag", "pos", "cigar")
 
 
 @query("SELECT text AS seq, count(*) AS n_ids, min(doc_id) AS first_id FROM documents GROUP BY text")
@@ -331,8 +331,8 @@ def coding_noncoding_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS n_reads FROM (SELECT x.tx, x.exon_no FROM fx_exons x JOIN fx_tx t USING (tx) WHERE x.s <> t.s AND x.e <> t.e AND x.tx % 4 = 0)")
 def uncorrected_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads, e, seqs = _correction_inputs(spark, sf_dir)
-    matches = correction.clip_matches(reads, e, seqs, wiggle=0)
+    reads, e, seqs = _correction_inputs(spark, sf_dir, F.col("tx") % 4 == 0)  # as in its SQL
+    matches = correction.clip_matches(reads, e, seqs)
     hit = matches.where("matched").select("read_id").distinct()
     return reads.join(hit, "read_id", "left_anti").select("read_id").union(reads.join(hit, "read_id", "left_semi").select("read_id")).agg(F.count("*").alias("n_reads"))
 

@@ -322,3 +322,55 @@ def test_read_tails_of_whole_texts(spark, sf_dir):
         want[r.doc_id] = t
     got = {r.doc_id: r.tail for r in Q.polya_read_tail(spark, sf_dir).collect()}
     assert got == want
+
+
+def test_correction_of_all_internal_exons(spark, sf_dir):
+    """Every candidate within the production wiggle, and every corrected or untouched read."""
+    import collections
+    import hashlib
+
+    from readloom.plans import fixtures as X
+    from readloom.plans import queries as Q
+
+    exons = {(r.tx, r.exon_no): r for r in X.exons(spark, sf_dir).collect()}
+    to = str.maketrans("0123456789abcdef", "ACGT" * 4)
+    spelled = {k: hashlib.sha256(f"{k[0]}:{k[1]}".encode()).hexdigest().translate(to)[:12] for k in exons}
+    span = {}
+    for (tx, _), r in exons.items():
+        lo, hi = span.get(tx, (r.s, r.e))
+        span[tx] = min(lo, r.s), max(hi, r.e)
+    inner = [k for k, r in exons.items() if r.s != span[k[0]][0] and r.e != span[k[0]][1]]
+    after = {k: (k[0], k[1] + (-1 if exons[k].strand == "-" else 1)) for k in inner}
+    at = collections.defaultdict(list)
+    for k in inner:
+        r = exons[k]
+        at[r.chrom, r.strand, r.s if r.strand == "-" else r.e].append(k)
+    candidates, rows = [], []
+    for k in inner:
+        r, minus = exons[k], exons[k].strand == "-"
+        n, head = r.e - r.s, f"r{k[0]}-{k[1]}_PerID1.000_5Clip3_3Clip"
+        clip = spelled[after[k]] if k[1] % 2 == 0 else "ACGTTGCAACGT"
+        found = []
+        for d in range(-3, 4):
+            for x in at[r.chrom, r.strand, (r.s if minus else r.e) - d]:
+                part = ("CCC" + clip)[3 + d :] if minus else ("GGG" + clip)[3 - d :]
+                hit = len(part) > 4 and spelled[after[x]][: len(part)] == part
+                candidates.append((f"{k[0]}:{k[1]}", -d if minus else d, part, *x, hit))
+                if hit:
+                    y, m = exons[after[x]], len(part)
+                    if minus:
+                        gap, pos = r.s - y.e, r.s + 1 - (r.s - y.e) - m - (d > 0)
+                        found.append((x, f"{17 - m + abs(d)}S{m}={gap + abs(d)}N{n - abs(d)}=3S", pos))
+                    else:
+                        found.append((x, f"3S{n - d}={y.s - r.e + d}N{m}={17 - m + d}S", r.s + 1))
+        once = {}
+        for x, cigar, pos in sorted(found):
+            once.setdefault(cigar, (x, pos))
+        for i, (cigar, (x, pos)) in enumerate(sorted(once.items(), key=lambda c: (c[1][0], c[0]))):
+            rows.append((f"{k[0]}:{k[1]}", head + "0_PolyA5", (16 if minus else 0) | (256 if i else 0), pos, cigar))
+        if not once:
+            rows.append((f"{k[0]}:{k[1]}", head + "12_PolyA5", 16 if minus else 0, r.s + 1, f"17S{n}=3S" if minus else f"3S{n}=17S"))
+    got = correction.clip_matches(*Q._correction_inputs(spark, sf_dir)).select("read_id", "offset", "clip", "tx", "exon_no", "matched").collect()
+    assert sorted(map(tuple, got)) == sorted(candidates) and any(c[1] for c in candidates)
+    assert sorted(map(tuple, Q.cigar_extend(spark, sf_dir).collect())) == sorted(rows)
+    assert len({r[0] for r in rows}) == len(inner)
