@@ -8,16 +8,21 @@ repaired by re-encoding it together with the neighbours' ends, growing until it
 ends at white space, from where on the two encodings agree exactly (the tokenizer's splits
 never cross ASCII white space).
 
-Both caches are bounded (``MOST_WORDS``, ``MOST_CHUNKS``) and belong to a Python worker, so they
-serve all tasks it runs; emptying one only costs re-encoding. Nothing is shuffled.
+That holds for tokenizers that lower-case, split at white space and at marks, as ``word_bpe_49k.json``
+does. ``splits_as_known`` reads the tokenizer's own file; one whose normalizer or splitting differs
+encodes every text whole with the tokenizers library, without reuse.
 
-Defined results: null and empty text encode to no ids and decode to empty text. Text of any
+Both caches are bounded (``MOST_WORDS``, ``MOST_CHUNKS``) and last as long as a task: a worker that
+waits for other stages' work holds none. Emptying one only costs re-encoding. Nothing is shuffled.
+
+Defined results: rows repeating a text or an id are encoded each; null and empty text encode to no ids and decode to empty text. Text of any
 length is encoded whole. The tokenizer file is a parameter and is read on each worker;
 its truncation and padding are not used and no special tokens are added.
 """
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, byte_views, mix64, row_chunks, table
+from .common import bounded_batches, byte_views, mix64, row_chunks, table, tidy
 
 MOST_WORDS = 180_000
 MOST_CHUNKS = 30_000
@@ -42,6 +47,23 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# How word_bpe_49k.json normalizes and splits texts.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_as_known(tokenizer) -> bool:
+    """Whether a text's words may be encoded apart: the tokenizer normalizes, splits and knows special tokens as ``word_bpe_49k.json`` does."""
+    own = json.loads(tokenizer.to_str())
+    split = ((own.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return (
+        (own.get("normalizer") or {}).get("normalizers") == _NORMALIZER
+        and (split.get("type"), split.get("pattern"), split.get("behavior"), split.get("invert")) == ("Split", {"Regex": _SPLIT}, "Removed", True)
+        and all(t["content"].startswith("<|") and not any(t[k] for k in ("lstrip", "rstrip", "single_word", "normalized")) for t in own["added_tokens"])
+        and own["post_processor"] is None
+    )
+
+
 def chunk_cuts(data: np.ndarray) -> np.ndarray:
     """Positions after which the rolling hash of the last 16 bytes cuts."""
     h = _GEAR[data]
@@ -61,11 +83,16 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.by_parts = splits_as_known(self.tokenizer)
         self.words: dict[bytes, bytes] = {}
         self.old_words: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, tuple] = {}
         self.older: dict[bytes, tuple] = {}
 
+    def forget(self) -> None:
+        for cache in (self.words, self.old_words, self.chunks, self.older):
+            cache.clear()
+
     def learn(self, words) -> None:
         new = [w for w in words if w not in self.words]
         if len(self.words) + len(new) > MOST_WORDS:
@@ -87,6 +114,9 @@ class ChunkEncoder:
         Where no combining mark can follow a letter, A-Z may be lower-cased before the
         tokenizer's own normalization: more words are then equal.
         """
+        if not self.by_parts:
+            whole = self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+            return [np.asarray(e.ids, "<i4").tobytes() for e in whole]
         plans, need, fresh = [], set(), {}
         for i, (text, cut) in enumerate(zip(texts, cuts)):
             if (simple is not None and simple[i] or text.isascii()) and b"<|" not in text:
@@ -187,8 +217,9 @@ def encode(df: DataFrame, text: str = "text", tokenizer: str | None = None, keep
                 np.cumsum([len(x) // 4 for x in ids], out=ends[1:])
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)), pa.ListArray.from_arrays(pa.array(ends), values)], names=[*keep, "ids"])
+        encoder.forget()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 @lru_cache(maxsize=2)
@@ -229,7 +260,7 @@ def decode(df: DataFrame, ids: str = "ids", tokenizer: str | None = None, keep:
                 texts = pa.array([x if x is None else tok.decode(x, skip_special_tokens=False) for x in column.to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), texts], names=[*keep, "decoded"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def digest(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -245,5 +276,8 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: training rows, the ids of each document and their digests."""
+    """Pipeline stage: training rows, doc_id, n_tokens and the digests of each document's ids and decoded text.
+
+    A null text has no ids; repeated rows give a row each; columns besides doc_id and text end here.
+    """
     return digest(encode(docs))

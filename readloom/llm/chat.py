@@ -8,6 +8,10 @@ The unit is one turn seen by one participant, so a dialogue of any length stays
 many rows: ``rotate`` emits those rows with each message's place in the rendered dialogue.
 ``render`` joins the messages of one (dialogue, participant) in turn order.
 
+What speakers write cannot forge a turn: in messages every ``<|`` gets a backslash (``<\\|``; one that
+is there already gets one more, so it can be undone), and in names ``|`` is written ``\\p``, a line feed ``\\n``
+and a backslash ``\\\\``.
+
 Defined results: a null dialogue id is a dialogue of its own; a turn without role has speaker
 ``unknown``; null text is empty; turns that tie are ordered by role and text and repeated rows
 stay; a dialogue with only system turns has no participant and no row; an empty table gives
@@ -22,16 +26,23 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def _plain_name(name):
+    for mark, plain in (("\\", "\\\\"), ("|", "\\p"), ("\n", "\\n")):
+        name = F.replace(name, F.lit(mark), F.lit(plain))
+    return name
+
+
 def rotate(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per turn and participant: conv_id, perspective, turn, speaker, text, chat_role, name, message, trained."""
-    turns = df.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.nullif(F.trim(F.col(role)), F.lit("")), F.lit("unknown")).alias("speaker"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    said = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"<(\\*)\|", r"<\\$1|")
+    turns = df.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(F.nullif(F.trim(F.col(role)), F.lit("")), F.lit("unknown")).alias("speaker"), said.alias("text"))
     people = turns.where("speaker <> 'system'").select(F.col("conv_id").alias("_conv"), F.col("speaker").alias("perspective")).distinct()
     seen = turns.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
     own, system = F.col("speaker") == F.col("perspective"), F.col("speaker") == "system"
     chat_role = F.when(system, "system").when(own, "assistant").otherwise("user")
     name = F.when(chat_role == "user", F.col("speaker"))
     seen = seen.withColumns({"chat_role": chat_role, "name": name, "trained": own & ~system})
-    head = F.concat(F.lit("<|"), F.col("chat_role"), F.coalesce(F.concat(F.lit(" name="), F.col("name")), F.lit("")), F.lit("|>\n"))
+    head = F.concat(F.lit("<|"), F.col("chat_role"), F.coalesce(F.concat(F.lit(" name="), _plain_name(F.col("name"))), F.lit("")), F.lit("|>\n"))
     return seen.withColumns({"head": head, "message": F.concat(head, F.col("text"), F.lit("<|end|>\n"))})
 
 
@@ -65,14 +76,14 @@ def op10_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render(rotate(table(spark, sf_dir, "conversations")))
 
 
-OP10_SQL = """
+OP10_SQL = r"""
 WITH turns AS (
-  SELECT conv_id, turn, coalesce(nullif(trim(role), ''), 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations
+  SELECT conv_id, turn, coalesce(nullif(trim(role), ''), 'unknown') AS speaker, regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g') AS text FROM conversations
 ), people AS (
   SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'
 ), seen AS (
   SELECT t.*, p.perspective,
-    '<|' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user name=' || speaker END || '|>' || chr(10) AS head,
+    '<|' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user name=' || replace(replace(replace(speaker, '\', '\\'), '|', '\p'), chr(10), '\n') END || '|>' || chr(10) AS head,
     speaker = perspective AS trained
   FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
 ), placed AS (

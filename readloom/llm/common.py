@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import gc
+import ctypes
 import uuid
+from functools import wraps
+from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Words are maximal runs of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -26,16 +31,20 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def save(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write are deleted with it, not when the driver happens to collect its plan.
+    """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
-    # Shuffle files live until the driver collects the plan that made them: now nothing needs it.
-    del df
-    gc.collect()
-    spark._jvm.System.gc()
     return out
 
 
@@ -47,14 +56,36 @@ def forget(*tables: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """Texts are long: from now on the session passes them to Python in batches of at most ``rows`` rows."""
+def bounded_batches(df: DataFrame, rows: int = 1000, size: str = "4m") -> DataFrame:
+    """Texts are long: from now on the session passes rows to Python in batches of at most ``rows`` rows and about ``size``."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= rows:
         conf.set(key, str(rows))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     return df
 
 
+def release_memory() -> None:
+    """Hand freed memory back: a Python worker outlives its task, beside other stages' workers."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """``run``, a function of Arrow batches, which hands freed memory back when its task ends."""
+
+    @wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def crc_fold(doc_id, folds: int = 5):
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
@@ -102,48 +133,47 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_BASE, _INVERSE = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+class _WordKeys(dict):
+    """64-bit keys of words, read off their BLAKE2b digests; short words are remembered, within a bound."""
+
+    MOST, LONGEST = 100_000, 40
+
+    def __missing__(self, word: bytes) -> int:
+        key = int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.MOST:
+                self.clear()
+            self[word] = key
+        return key
+
+
+_WORD_KEYS = _WordKeys()
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) <= n:
-        for i, b in enumerate((_BASE, _INVERSE)):
-            p = np.full(max(n + 1, 1 << 20), b, np.uint64)
-            p[0] = 1
-            _POWERS[i] = np.multiply.accumulate(p)
-    return _POWERS[0][: n + 1], _POWERS[1][: n + 1]
+def _word_pieces(data: np.ndarray, most: int):
+    """``data`` in pieces of about ``most`` bytes that end at white space, so that no word is cut."""
+    at, n = 0, len(data)
+    while at < n:
+        stop = min(at + most, n)
+        while stop < n and not is_space(data[stop : stop + 1])[0]:
+            space = np.flatnonzero(is_space(data[stop : stop + 4096]))
+            stop = stop + int(space[0]) if len(space) else min(stop + 4096, n)
+        yield data[at:stop]
+        at = stop
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``data[start:end]`` spans, equal for equal bytes wherever they stand.
+def word_keys(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all words, A-Z lower-cased, of the rows that ``bounds`` cuts ``data`` into, and how many each row has.
 
-    A prefix-sum polynomial hash over random byte codes, scaled back to position 0 and mixed.
+    A text of any length goes through in pieces of a megabyte.
     """
-    power, inverse = _powers(len(data))
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODES[data] * power[:-1], out=prefix[1:])
-    return mix64((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-
-
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the rows that ``bounds`` cuts ``data`` into: (starts, ends, row of each)."""
-    n = len(data)
-    if n == 0:
-        z = np.zeros(0, np.int64)
-        return z, z, z
-    word = ~is_space(data)
-    first = word.copy()
-    first[1:] &= ~word[:-1]
-    cut = bounds[(bounds > 0) & (bounds < n)]
-    first[cut] |= word[cut]  # a row begins a word even if the last row ended with one
-    last = np.zeros(n, bool)
-    last[:-1] = word[:-1] & (~word[1:] | first[1:])
-    last[-1] = word[-1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    rows = np.searchsorted(bounds, starts, side="right") - 1
-    return starts, ends, rows
+    keys, counts = [np.zeros(0, np.int64)], np.zeros(len(bounds) - 1, np.int64)
+    for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        for piece in _word_pieces(data[a:b], 1 << 20):
+            words = piece.tobytes().lower().split()  # of bytes: A-Z only, and exactly the six ASCII white spaces
+            keys.append(np.fromiter(map(_WORD_KEYS.__getitem__, words), np.int64, len(words)))
+            counts[i] += len(words)
+    return np.concatenate(keys), counts
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -168,6 +198,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         return out.where("a <> b").distinct()
 
     now = save(edges.where("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).distinct(), "edges")
+    if now.isEmpty():
+        return now.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     digest = None
     for _ in range(most_rounds):
         new = save(star(star(now, True), False), "edges")

@@ -2,9 +2,9 @@
 
 Multinomial naive Bayes over hashed character n-grams (1 to 3 characters, ``BUCKETS`` buckets,
 lower-cased). Counts come from a sample of labelled documents of at most about
-``sample_per_lang`` a language (all of a rarer language), chosen by a hash of the id. The
-log-probability matrix, languages x buckets in float32, is broadcast: its size does not depend
-on the corpus. Batches are scored as sparse rows in numpy: bucket ids of all n-grams, gathered
+``sample_per_lang`` a language (all of a rarer language), chosen by a hash of the id, of the
+``most_langs`` most frequent languages (ties by name). The log-probability matrix, languages x
+buckets in float32, is broadcast: 26 MB at most, whatever the corpus holds. Batches are scored as sparse rows in numpy: bucket ids of all n-grams, gathered
 log-probabilities, sums by document.
 
 ``score`` is the posterior probability of the predicted language under equal priors.
@@ -12,7 +12,7 @@ log-probabilities, sums by document.
 Defined results: null text and text without a letter get ``und`` with score 0; with no labelled
 documents to learn from, everything is ``und``. A null id counts as empty text in the fold
 (crc32 0: held out). Repeated rows are labelled alike. Result columns replace input columns of
-the same name; other columns pass through.
+the same name; other columns pass through. A text of any length is scored in pieces.
 """
 
 from __future__ import annotations
@@ -24,20 +24,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_fold, table
+from .common import bounded_batches, crc_fold, release_memory, table, tidy
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANG = 2000
+MOST_LANGS = 100
+PIECE_CHARS = 1_000_000
 _ODD = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 
 
 def ngram_buckets(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     """For each order the bucket at every character (``BUCKETS`` where the n-gram would leave its text), and text bounds."""
-    low = [t.lower() for t in texts]
-    bounds = np.zeros(len(low) + 1, np.int64)
-    np.cumsum([len(t) for t in low], out=bounds[1:])
-    points = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), "<u4")
+    bounds = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) for t in texts], out=bounds[1:])
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
     n, out, h = len(points), [], np.zeros(len(points), np.uint32)
     for k in ORDERS:
         shifted = np.zeros(n, np.uint32)
@@ -47,21 +48,37 @@ def ngram_buckets(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         ids = ((h * np.uint32(0x2C1B3C6D)) >> np.uint32(16)).astype(np.int32)
         for j in range(1, k):
             at = bounds[1:] - j
-            ids[at[at >= 0]] = BUCKETS
+            ids[at[at >= bounds[:-1]]] = BUCKETS
         out.append(ids)
     return out, bounds
 
 
-def _text_chunks(texts: list[str], most: int = 1_000_000):
-    """Ranges of texts with at most about ``most`` characters."""
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        if held and held + len(t) > most:
-            yield start, i
-            start, held = i, 0
-        held += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def _pieces(texts: list[str], most: int):
+    """(rows, lower-cased pieces, characters of each that count) in lists of at most about ``most`` characters.
+
+    A longer text comes in several pieces, each followed by the characters that its last n-grams need.
+    """
+    rows, pieces, own, held = [], [], [], 0
+    for i, text in enumerate(texts):
+        low = text.lower()
+        for at in range(0, len(low), most):
+            piece = low[at : at + most + ORDERS[-1] - 1]
+            if held and held + len(piece) > most:
+                yield rows, pieces, own
+                rows, pieces, own, held = [], [], [], 0
+            rows.append(i)
+            pieces.append(piece)
+            own.append(min(most, len(low) - at))
+            held += len(piece)
+    if rows:
+        yield rows, pieces, own
+
+
+def _owned(ids: list[np.ndarray], bounds: np.ndarray, own: list[int]) -> None:
+    """Blank the n-grams that start in the next piece of the same text."""
+    for i in np.flatnonzero(np.diff(bounds) > own):
+        for one in ids:
+            one[bounds[i] + own[i] : bounds[i + 1]] = BUCKETS
 
 
 @dataclass
@@ -70,60 +87,52 @@ class LanguageModel:
     logp: np.ndarray  # languages x (BUCKETS + 1); the last bucket weighs nothing
 
     @classmethod
-    def fit(cls, docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_per_lang: int = SAMPLE_PER_LANG) -> LanguageModel:
+    def fit(cls, docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_per_lang: int = SAMPLE_PER_LANG, most_langs: int = MOST_LANGS) -> LanguageModel:
         """Learn from all rows of ``docs`` with text and language, sampled by id where a language has many."""
-        labelled = bounded_batches(docs).select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("_text")).where("_lang is not null and _text is not null")
-        counts = {r[0]: r[1] for r in labelled.groupBy("_lang").count().collect()}
+        labelled = bounded_batches(docs).select(F.col(key).alias("_key"), F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text")).where("_lang is not null and _text is not null")
+        counts = {r[0]: r[1] for r in labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(most_langs).collect()}
         langs = sorted(counts)
         if not langs:
             return cls([], np.zeros((0, BUCKETS + 1), np.float32))
         draw = F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-        rate = F.create_map(*[F.lit(x) for x_ in langs for x in (x_, min(1.0, sample_per_lang / counts[x_]))])
-        sample = labelled.where(draw < F.element_at(rate, F.col("_lang"))).select("_lang", "_text")
+        rates = docs.sparkSession.createDataFrame([(x, i, min(1.0, sample_per_lang / counts[x])) for i, x in enumerate(langs)], "_name string, _code int, _rate double")
+        sample = labelled.join(F.broadcast(rates), F.col("_lang") == F.col("_name")).where(draw < F.col("_rate")).select("_code", "_text")
 
         def count(batches):
-            held: dict[str, np.ndarray] = {}
+            held = np.zeros((len(langs), BUCKETS + 1), np.int64)
             for batch in batches:
-                names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for a, b in _text_chunks(texts):
-                    ids, bounds = ngram_buckets(texts[a:b])
-                    which = np.repeat(np.arange(b - a), np.diff(bounds))
-                    codes = {x: i for i, x in enumerate(dict.fromkeys(names[a:b]))}
-                    code = np.array([codes[x] for x in names[a:b]])[which]
-                    for x, i in codes.items():
-                        got = held.setdefault(x, np.zeros(BUCKETS + 1, np.int64))
+                codes, texts = np.asarray(batch.column(0)), batch.column(1).to_pylist()
+                for rows, pieces, own in _pieces(texts, PIECE_CHARS):
+                    ids, bounds = ngram_buckets(pieces)
+                    _owned(ids, bounds, own)
+                    code = np.repeat(codes[rows], np.diff(bounds))
+                    for i in np.unique(codes[rows]):
                         for one in ids:
-                            got += np.bincount(one[code == i], minlength=BUCKETS + 1)
-            for x, got in held.items():
-                at = np.flatnonzero(got[:BUCKETS])
-                yield pa.RecordBatch.from_arrays([pa.array([x] * len(at)), pa.array(at, pa.int32()), pa.array(got[at], pa.int64())], names=["lang", "bucket", "n"])
+                            held[i] += np.bincount(one[code == i], minlength=BUCKETS + 1)
+            code, bucket = np.nonzero(held[:, :BUCKETS])
+            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int32()), pa.array(bucket, pa.int32()), pa.array(held[code, bucket], pa.int64())], names=["code", "bucket", "n"])
 
-        counted = sample.repartition(16).mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-        rows = counted.groupBy("lang").agg(F.collect_list("bucket").alias("b"), F.collect_list("n").alias("n")).collect()
+        counted = sample.repartition(16).mapInArrow(tidy(count), "code int, bucket int, n long").groupBy("code", "bucket").agg(F.sum("n").alias("n")).toArrow()
         total = np.full((len(langs), BUCKETS + 1), 0.5)
-        for r in rows:
-            total[langs.index(r["lang"]), r["b"]] += r["n"]
+        total[np.asarray(counted["code"]), np.asarray(counted["bucket"])] += np.asarray(counted["n"])
         logp = np.log(total / total[:, :BUCKETS].sum(axis=1, keepdims=True))
         logp[:, BUCKETS] = 0
         return cls(langs, logp.astype(np.float32))
 
-    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the best language, its posterior) of non-empty texts."""
-        best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        for a, b in _text_chunks(texts):
-            ids, bounds = ngram_buckets(texts[a:b])
-            full = np.flatnonzero(np.diff(bounds))
-            if not len(full):
-                continue
-            total = np.zeros((b - a, len(self.langs)))
+    def predict(self, texts: list[str], piece_chars: int = PIECE_CHARS) -> tuple[np.ndarray, np.ndarray]:
+        """(index of the best language, its posterior) of texts; 0 and 0 for an empty text."""
+        total = np.zeros((len(texts), len(self.langs)))
+        for rows, pieces, own in _pieces(texts, piece_chars):
+            ids, bounds = ngram_buckets(pieces)
+            _owned(ids, bounds, own)
             for i, row in enumerate(self.logp):
                 gathered = row[ids[0]].astype(np.float64)
                 for one in ids[1:]:
                     gathered += row[one]
-                total[full, i] = np.add.reduceat(gathered, bounds[:-1][full])
-            top = total.max(axis=1, keepdims=True)
-            best[a:b], score[a:b] = total.argmax(axis=1), 1 / np.exp(total - top).sum(axis=1)
-        return best, score
+                np.add.at(total[:, i], rows, np.add.reduceat(gathered, bounds[:-1]))
+        top = total.max(axis=1, keepdims=True)
+        full = np.array([len(t) > 0 for t in texts], bool)
+        return np.where(full, total.argmax(axis=1), 0), np.where(full, 1 / np.exp(total - top).sum(axis=1), 0.0)
 
 
 def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -139,6 +148,7 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
 
         m = shared.value
         best, score = m.predict(texts.tolist())
+        release_memory()
         return pd.DataFrame({"lang_pred": np.array(m.langs, object)[best], "score": np.clip(score, 0.0, 1.0)})
 
     if not model.langs:
@@ -157,7 +167,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str, least_score: float = 0.5) -> DataFrame:
-    """Pipeline stage: documents whose language is known with at least ``least_score``."""
+    """Pipeline stage: documents whose language is known with at least ``least_score``.
+
+    Null texts and texts without a letter go, like those no language claims; with no labelled document all go.
+    Repeated rows share their fate, an empty table stays empty, other columns pass through.
+    """
     model = LanguageModel.fit(docs)
     judged = identify(docs, model)
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select(*docs.columns)

@@ -74,13 +74,18 @@ def sainte_lague(seats: int, weights, caps=None) -> list[int]:
             low = mid
         else:
             high = mid
-    got = at(high)
+    got = at(high * (1 + 1e-9))  # what rounding could misplace is dealt below
     while got.sum() < seats:
         quotient = np.where(got < cap, w / (2 * got + 1), -1.0)
         got[int(quotient.argmax())] += 1
     return got.tolist()
 
 
+def order_key(key: str, text: str, seed: int):
+    """A seeded 64-bit key of a row's id and text."""
+    return F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col(text))
+
+
 def mix(df: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", weights=WEIGHTS, most_epochs: int = 3, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, most_shards: int = MOST_SHARDS, seed: int = 7) -> DataFrame:
     """All columns with size, source_size, target and taken (tokens of the row that the mix takes, repeats counted)."""
     spark = df.sparkSession
@@ -94,9 +99,9 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", key: str = "d
     shard_tokens = max(shard_tokens, -(-sum(sizes) // most_shards))
     n_shards = [max(1, -(-s // shard_tokens)) for s in sizes]
     plan = spark.createDataFrame([(name, i, n, s, t) for i, ((name, s), n, t) in enumerate(zip(by_source, n_shards, share))], "_source string, _i int, _n int, source_size long, target double")
-    order = F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col(text))
+    order = order_key(key, text, seed)
     rows = df.drop("source_size", "target", "taken").join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("_source")))
-    rows = rows.withColumns({"_order": order, "_shard": F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key).cast("string"), F.col(text)), F.col("_n")).cast("int")})
+    rows = rows.withColumns({"_order": order, "_shard": F.pmod(order_key(key, text, seed + 1), F.col("_n")).cast("int")})
     shards: dict[int, list] = {}
     for r in rows.groupBy("_i", "_shard").agg(F.sum("size").alias("s")).collect():
         shards.setdefault(r["_i"], []).append((r["_shard"], r["s"]))

@@ -16,11 +16,12 @@ documents in numpy; so what travels is each block's vocabulary, not its text's g
 
 ``adaptive_code_lengths`` is the other use: each document alone, its trie growing byte by byte.
 
-Words and grams are kept as 64-bit keys: grams exactly (9 bits a symbol), words by hash.
+Words and grams are kept as 64-bit keys: grams exactly (9 bits a symbol), words by BLAKE2b digest.
 
 Defined results: null text is empty (one end token, one end symbol); a null id counts as
 empty text in the fold; with no training document all symbols are equally likely and every
-token has count 0; rows repeating an id are scored each by its own text.
+token has count 0; rows repeating an id are scored each by its own text. A text of any length is
+read in pieces of bounded size. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, crc_fold, forget, save, span_hashes, table, word_spans
+from .common import crc_fold, forget, release_memory, save, table, word_keys
 
 ORDER = 4
 END, START, BITS = 256, 257, 9
 SYMBOLS = 257
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES, PART_BYTES = 16_000_000, 1_500_000
 _END_WORD = np.int64(1)
 
 
@@ -50,25 +51,42 @@ def grams_of(data: np.ndarray, bounds: np.ndarray, order: int = ORDER) -> tuple[
     place = np.arange(len(data)) + np.repeat(np.arange(rows) * (order + 1) + order, sizes)
     wide[place] = data
     wide[np.cumsum(sizes + order + 1) - 1] = END
-    gram = wide.copy()
-    for j in range(1, order + 1):
-        gram[j:] |= wide[:-j] << (BITS * j)
     own = np.ones(len(wide), bool)
     first = np.concatenate([[0], np.cumsum(sizes + order + 1)[:-1]]).astype(np.int64)
     for j in range(order):
         own[first + j] = False
-    return gram[own], np.concatenate([[0], np.cumsum(sizes + 1)])
+    return _rolled(wide, order)[own], np.concatenate([[0], np.cumsum(sizes + 1)])
+
 
+def _rolled(symbols: np.ndarray, order: int) -> np.ndarray:
+    gram = symbols.copy()
+    for j in range(1, order + 1):
+        gram[j:] |= symbols[:-j] << (BITS * j)
+    return gram
 
-def tokens_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words of every row, and the row of each."""
-    low = ascii_lower(data)
-    starts, ends, rows = word_spans(low, bounds)
-    h = span_hashes(low, starts, ends).view(np.int64)
-    return np.where(h == _END_WORD, np.int64(2), h), rows
+
+def gram_parts(texts, order: int, most: int = PART_BYTES):
+    """(first row, grams, rows' bounds) of runs of texts of bounded size; a longer text comes alone, in several parts."""
+    for at, raw, bounds in _chunks(texts, most):
+        data = np.frombuffer(raw, np.uint8)
+        if len(data) <= most or len(bounds) > 2:
+            yield at, *grams_of(data, bounds, order)
+            continue
+        for begin in range(0, len(data), most):
+            before = data[max(begin - order, 0) : begin]
+            symbols = [np.full(order - len(before), START), before, data[begin : begin + most], [END] if begin + most >= len(data) else []]
+            gram = _rolled(np.concatenate(symbols).astype(np.int64), order)[order:]
+            yield at, gram, np.array([0, len(gram)])
 
 
-def _chunks(texts, most: int = 1_500_000):
+def token_parts(texts, most: int = PART_BYTES):
+    """(first row, keys of the words, words of each row) of runs of texts of bounded size; the end token is not among them."""
+    for at, raw, bounds in _chunks(texts, most):
+        keys, counts = word_keys(np.frombuffer(raw, np.uint8), bounds)
+        yield at, np.where(keys == _END_WORD, np.int64(2), keys), counts
+
+
+def _chunks(texts, most: int):
     """Rows of bytes in runs of bounded size: (first row, data, bounds)."""
     start, held = 0, 0
     for i in range(len(texts) + 1):
@@ -77,7 +95,7 @@ def _chunks(texts, most: int = 1_500_000):
                 some = [bytes(t) for t in texts[start:i]]
                 bounds = np.zeros(len(some) + 1, np.int64)
                 np.cumsum([len(t) for t in some], out=bounds[1:])
-                yield start, np.frombuffer(b"".join(some), np.uint8), bounds
+                yield start, b"".join(some), bounds
             start, held = i, 0
         if i < len(texts):
             held += len(texts[i])
@@ -98,7 +116,7 @@ def _distinct(keys: np.ndarray, weight: np.ndarray):
     return np.asarray(distinct, np.int64), np.bincount(code, weight, len(distinct))
 
 
-def _vocabulary(order: int):
+def _vocabulary(order: int, part_bytes: int):
     """Of a block's documents: (block, word, key, n), n counted in training documents only."""
 
     def run(pdf):
@@ -106,15 +124,16 @@ def _vocabulary(order: int):
 
         gram, word = ([], []), ([], [])
         train = pdf["train"].to_numpy()
-        for at, data, bounds in _chunks(pdf["raw"].to_numpy()):
-            here = train[at : at + len(bounds) - 1].astype(np.float64)
-            grams, own = grams_of(data, bounds, order)
-            words, rows = tokens_of(data, bounds)
-            for held, got in ((gram, _distinct(grams, np.repeat(here, np.diff(own)))), (word, _distinct(words, here[rows]))):
-                for one, x in zip(held, got):
-                    one.append(x)
+        raw, weight = pdf["raw"].to_numpy(), train.astype(np.float64)
+        for at, grams, own in gram_parts(raw, order, part_bytes):
+            for one, x in zip(gram, _distinct(grams, np.repeat(weight[at : at + len(own) - 1], np.diff(own)))):
+                one.append(x)
+        for at, words, counts in token_parts(raw, part_bytes):
+            for one, x in zip(word, _distinct(words, np.repeat(weight[at : at + len(counts)], counts))):
+                one.append(x)
         (gram, gram_n), (word, word_n) = _count(*gram), _count(*word)
         word, word_n = np.append(word, _END_WORD), np.append(word_n, train.sum())
+        release_memory()
         return pd.DataFrame({"block": pdf["block"].iloc[0], "word": np.repeat([False, True], [len(gram), len(word)]), "key": np.concatenate([gram, word]), "n": np.concatenate([gram_n, word_n])})
 
     return run
@@ -128,31 +147,29 @@ def code_lengths(counted: DataFrame, order: int = ORDER) -> DataFrame:
 
     # Counts of each level; level k holds contexts of k symbols. All grams that are asked for are rows.
     levels = [None] * (order + 1)
-    levels[order] = counted.select("gram", "n")
+    levels[order] = save(counted.select("gram", "n"), f"level{order}")
     for k in range(order - 1, -1, -1):
-        levels[k] = levels[k + 1].groupBy(suffix(F.col("gram"), k).alias("gram")).agg(F.sum("n").alias("n"))
-    levels = [save(x, f"level{k}") for k, x in enumerate(levels)]
+        levels[k] = save(levels[k + 1].groupBy(suffix(F.col("gram"), k).alias("gram")).agg(F.sum("n").alias("n")), f"level{k}")
     # Of each context: t counts of d symbols, and xt counts of xd symbols that they exclude from the next shorter context.
     total = []
-    for k in range(order + 1):
+    for k in range(1, order + 1):
         seen = levels[k].where("n > 0").select(F.shiftright("gram", BITS).alias("ctx"), "gram", "n")
-        own = seen.groupBy("ctx").agg(F.sum("n").alias("t"), F.count("*").alias("d"))
-        if k == 0:
-            total.append(own.select("ctx", "t", "d", F.lit(0).cast("long").alias("xt"), F.lit(0).cast("long").alias("xd")))
-            continue
         shorter = levels[k - 1].select(F.col("gram").alias("sg"), F.col("n").alias("sn"))
         # What the symbols of this context take out of the next shorter one.
         out = seen.withColumn("sg", suffix(F.col("gram"), k - 1)).join(shorter, "sg").groupBy("ctx").agg(F.sum("n").alias("t"), F.count("*").alias("d"), F.sum("sn").alias("xt"))
         total.append(out.select("ctx", "t", "d", "xt", F.col("d").alias("xd")))
     # From the longest context down: grams whose symbol it knows are done; the rest escape with what is excluded.
-    per = [save(x, f"contexts{k}") for k, x in enumerate(total)]
+    per = [None, *(save(x, f"contexts{k}") for k, x in enumerate(total, 1))]
+    t0, d0 = levels[0].where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()  # the empty context is one
     ask = levels[order].select("gram", "n", F.lit(0).cast("long").alias("xt"), F.lit(0).cast("long").alias("xd"), F.lit(0.0).alias("esc"))
-    done, tables = [], [*levels, *per]
+    done, tables = [], [*levels, *per[1:]]
     for k in range(order, -1, -1):
         last = ask.withColumns({"g": suffix(F.col("gram"), k)}).drop("n") if k < order else ask.withColumn("g", F.col("gram")).drop("n")
-        last = last.withColumn("ctx", F.shiftright("g", BITS)) if k else last.withColumn("ctx", F.lit(0).cast("long"))
-        here = last.join(levels[k].select(F.col("gram").alias("g"), "n"), "g")
-        here = here.join(per[k].select("ctx", "t", "d", F.col("xt").alias("nxt"), F.col("xd").alias("nxd")), "ctx", "left")
+        here = last.withColumn("ctx", F.shiftright("g", BITS)).join(levels[k].select(F.col("gram").alias("g"), "n"), "g")
+        if k:
+            here = here.join(per[k].select("ctx", "t", "d", F.col("xt").alias("nxt"), F.col("xd").alias("nxd")), "ctx", "left")
+        else:
+            here = here.withColumns({"t": F.lit(t0).cast("long"), "d": F.lit(d0).cast("long"), "nxt": F.lit(0).cast("long"), "nxd": F.lit(0).cast("long")})
         t, d = F.coalesce("t", F.lit(0)) - F.col("xt"), F.coalesce("d", F.lit(0)) - F.col("xd")
         here = here.withColumns({"t2": t, "d2": d})
         done.append(here.where("n > 0").select("gram", (F.col("esc") + F.log10(F.col("n") / (F.col("t2") + F.col("d2")))).alias("logp")))
@@ -172,7 +189,7 @@ def code_lengths(counted: DataFrame, order: int = ORDER) -> DataFrame:
     return out
 
 
-def _score(order: int, n_total: int, v_total: int):
+def _score(order: int, n_total: int, v_total: int, part_bytes: int):
     base_of = lambda c: np.log10((c + 0.5) / (n_total + 0.5 * (v_total + 1)))
 
     def run(docs, vocabulary):
@@ -184,9 +201,9 @@ def _score(order: int, n_total: int, v_total: int):
         # Words of other counts than the block's own came; the rest occur in this block alone.
         train = docs["train"].to_numpy()
         own_key, own_n = [np.array([_END_WORD])], [np.array([float(train.sum())])]
-        for at, data, bounds in _chunks(docs["raw"].to_numpy()):
-            words, rows = tokens_of(data, bounds)
-            k, n = _distinct(words, train[at : at + len(bounds) - 1].astype(np.float64)[rows])
+        raw, weight = docs["raw"].to_numpy(), train.astype(np.float64)
+        for at, words, counts in token_parts(raw, part_bytes):
+            k, n = _distinct(words, np.repeat(weight[at : at + len(counts)], counts))
             own_key.append(k)
             own_n.append(n)
         own_key, own_n = _count(own_key, own_n)
@@ -195,29 +212,29 @@ def _score(order: int, n_total: int, v_total: int):
         end_count = count[word_at.get_loc(_END_WORD)]
         n = len(docs)
         score, base, tokens, known = np.zeros(n), np.zeros(n), np.ones(n, np.int64), np.zeros(n, np.int64)
-        for at, data, bounds in _chunks(docs["raw"].to_numpy()):
-            rows = len(bounds) - 1
-            gram, own = grams_of(data, bounds, order)
-            found = logp[gram_at.get_indexer(gram)]
-            score[at : at + rows] = np.add.reduceat(found, own[:-1])
-            word, row = tokens_of(data, bounds)
-            c = count[word_at.get_indexer(word)]
-            tokens[at : at + rows] += np.bincount(row, minlength=rows)
+        for at, gram, own in gram_parts(raw, order, part_bytes):
+            score[at : at + len(own) - 1] += np.add.reduceat(logp[gram_at.get_indexer(gram)], own[:-1])
+        for at, words, counts in token_parts(raw, part_bytes):
+            rows, c = len(counts), count[word_at.get_indexer(words)]
+            row = np.repeat(np.arange(rows), counts)
+            tokens[at : at + rows] += counts
             known[at : at + rows] = np.bincount(row, c > 0, rows).astype(np.int64) + int(end_count > 0)
             base[at : at + rows] = np.bincount(row, base_of(c), rows) + base_of(end_count)
+        del gram_at, word_at
+        release_memory()
         return pd.DataFrame({"doc_id": docs["doc_id"], "held_out": ~docs["train"], "n_tokens": tokens, "n_known": known, "train_tokens": n_total, "base_score": base, "score": score})
 
     return run
 
 
-def score_documents(df: DataFrame, train, text: str = "text", key: str = "doc_id", order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score_documents(df: DataFrame, train, text: str = "text", key: str = "doc_id", order: int = ORDER, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; ``train``: boolean column of the rows to learn from."""
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(blocks)).cast("int")
     docs = df.select(F.col(key).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), raw.alias("raw"), block.alias("block"))
-    seen = save(docs.groupBy("block").applyInPandas(_vocabulary(order), "block int, word boolean, key long, n long"), "vocabulary")
+    seen = save(docs.groupBy("block").applyInPandas(_vocabulary(order, part_bytes), "block int, word boolean, key long, n long"), "vocabulary")
     # Words meet their total where they were dealt to: one shuffle serves the sums and the join.
     words = seen.where("word").select("block", "key", "n").repartition("key")
     totals = words.groupBy("key").agg(F.sum("n").alias("value"))
@@ -229,7 +246,8 @@ def score_documents(df: DataFrame, train, text: str = "text", key: str = "doc_id
     asked = of_words.union(of_grams)
     kind = df.schema[key].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return docs.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(_score(order, n_total, v_total), schema)
+    # ``seen`` and ``lengths`` stay until the result is read, in the shared folder.
+    return docs.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(_score(order, n_total, v_total, part_bytes), schema)
 
 
 def adaptive_code_lengths(texts: list[bytes], order: int = ORDER) -> list[float]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, byte_views, row_chunks, table
+from .common import bounded_batches, byte_views, row_chunks, table, tidy
 
 # Fixed by the JPEG standard: the raster position of each coefficient in zigzag order.
 ZIGZAG = np.array([u * 8 + v for s in range(15) for u, v in sorted(((i, s - i) for i in range(8) if 0 <= s - i < 8), key=lambda p: p[0] if s % 2 else p[1])])
@@ -484,7 +484,7 @@ def encode_texts(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
                 media = [encode_payload((raw := buf[off[i] : off[i + 1]].tobytes()) + bytes(-len(raw) % 64 if raw else 64)) for i in range(a, b)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=[*keep, "n_bytes", "media"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def decode_media(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ("doc_id",), tensors: bool = True) -> DataFrame:
@@ -516,22 +516,28 @@ def decode_media(df: DataFrame, media: str = "media", keep: tuple[str, ...] = ("
                 got = list(zip(*(one(x.as_py()) for x in column.slice(a, b - a))))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)), *(pa.array(x, t) for x, t in zip(got, kinds))], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
-def op3_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text stored as a progressive JPEG and read back from the stored bytes."""
-    media = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+def digest(df: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id and the digests of each text's media, payload read back, and tensor."""
+    media = encode_texts(df, text)
     media = media.withColumns({"media_bytes": F.length("media").cast("long"), "media_sha256": F.sha2("media", 256)})
-    back = decode_media(media, keep=("doc_id", "n_bytes", "media_bytes", "media_sha256"), tensors=False)
-    size = F.length("payload")
+    back = decode_media(media, keep=("doc_id", "n_bytes", "media_bytes", "media_sha256"))
     return back.select(
         "doc_id",
         "n_bytes",
-        size.cast("long").alias("payload_bytes"),
+        F.length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_sha256"),
         F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"),
         "media_bytes",
         "media_sha256",
         "feature",
+        F.length("rgb").cast("long").alias("tensor_bytes"),
+        F.sha2("rgb", 256).alias("tensor_sha256"),
     )
+
+
+def op3_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text stored as a progressive JPEG and read back from the stored bytes, with its full-resolution RGB tensor."""
+    return digest(table(spark, sf_dir, "documents").select("doc_id", "text"))

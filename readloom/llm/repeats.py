@@ -6,52 +6,71 @@ smaller id, or earlier in the same one. Strings never cross documents.
 1. Windows of ``length`` bytes are dealt to anchors: the least k-gram hash in the window. Equal
    windows have the same anchor k-gram at the same offset, so only windows whose anchor occurs
    twice can repeat. Consecutive windows of one anchor form a segment.
-2. Segments equal as a whole are settled by their first occurrence alone; all later ones repeat.
+2. Segments equal as a whole (by a BLAKE2b digest of their bytes) are settled by their first
+   occurrence alone; all later ones repeat.
 3. Where an anchor has several different segments, their first occurrences are indexed, anchors
    dealt to buckets of bounded text: suffix array, run-compressed Burrows-Wheeler transform, and
    at the run heads the sampled suffix positions with their match lengths. Between samples a match
    shrinks by one byte a step, so streaming from sample to sample yields the matching
    statistics of every position. Positions matching over ``length`` bytes form classes; all but
    the earliest of a class are marked.
-4. An anchor with more than ``MOST_SEGMENTS`` different segments would make its bucket too large.
-   Its windows are compared by their own hashes instead, spread over the cluster: same answer.
+4. An anchor whose different segments hold over ``BUCKET_BYTES`` is split by content: its segments alone
+   go through the same steps with longer k-grams (24, 62, 81, ... up to ``length`` bytes), which
+   more windows tell apart. A level has at most about twice the rows of what it splits.
 
-Hashes are 64-bit and stand for the bytes in steps 1, 2 and 4; step 3 compares bytes.
+Anchor hashes only decide which windows meet: a collision costs work, not right results.
 
 Defined results: null text is empty and loses nothing; a text shorter than ``length`` loses
 nothing; rows that repeat an id are ordered by a hash of their text, and rows repeating id and
 text are one document (nothing is removed for their sake, both rows get the same result); a null
-id sorts first. Other columns are not read.
+id sorts first. A text of any length is read in pieces of a megabyte. Other columns are not read.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BYTE_CODES, _powers, bounded_batches, byte_views, forget, mix64, row_chunks, save, span_hashes, table
+from .common import bounded_batches, byte_views, forget, mix64, release_memory, row_chunks, save, table, tidy
 
 LENGTH, GRAM = 100, 24
-BUCKET_BYTES, MOST_SEGMENTS = 250_000, 8_000
+BUCKET_BYTES, PIECE_BYTES = 250_000, 1 << 20
 _PLACE = (1 << 30) - 1
+_CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0x9E3779B97F4A7C15
+
+
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A 64-bit hash of the ``gram`` bytes at every position that has so many, by doubling."""
+    power, size = _CODES[data], 1
+    out, done = None, 0
+    while True:
+        if gram & size:
+            if out is None:
+                out = power
+            else:
+                tail = power[done:]
+                out = out[: len(tail)] * np.uint64(pow(_BASE, size, 1 << 64)) + tail
+            done += size
+        if done == gram:
+            return mix64(out)
+        power = power[:-size] * np.uint64(pow(_BASE, size, 1 << 64)) + power[size:]
+        size *= 2
 
 
 def segments(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Runs of window starts with one anchor: (row, start in row, windows, anchor hash, content hash)."""
+    """Runs of window starts with one anchor: (row, start in row, windows, anchor hash, content digest)."""
     n = len(data)
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.int64),) * 2
     sizes = np.diff(bounds)
     if n < length or not (sizes >= length).any():
-        return none
-    power, inverse = _powers(n)
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_CODES[data] * power[:-1], out=prefix[1:])
-    grams = mix64((prefix[gram:] - prefix[:-gram]) * inverse[: n - gram + 1])
-    key = (grams & ~np.uint64(_PLACE)) | np.arange(len(grams), dtype=np.uint64)
-    span = length - gram + 1
-    low, reach = key, 1
+        return (np.zeros(0, np.int64),) * 5
+    grams = gram_hashes(data, gram)
+    low = (grams & ~np.uint64(_PLACE)) | np.arange(len(grams), dtype=np.uint64)
+    span, reach = length - gram + 1, 1
     while reach * 2 <= span:
         low = np.minimum(low[:-reach], low[reach:])
         reach *= 2
@@ -62,17 +81,19 @@ def segments(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: i
     long_rows = sizes >= length
     np.add.at(inside, bounds[:-1][long_rows], 1)
     np.add.at(inside, bounds[1:][long_rows] - length + 1, -1)
-    valid = np.flatnonzero(np.cumsum(inside[: len(low)]) > 0)
+    valid = np.flatnonzero(np.cumsum(inside[: len(low)], dtype=np.int32) > 0)
     at = (low[valid] & np.uint64(_PLACE)).astype(np.int64)
     head = np.ones(len(valid), bool)
     head[1:] = (at[1:] != at[:-1]) | (valid[1:] != valid[:-1] + 1)
-    head[1:] |= np.searchsorted(bounds, valid[1:], side="right") != np.searchsorted(bounds, valid[:-1], side="right") if len(bounds) > 2 else False
+    begins = np.searchsorted(valid, bounds[:-1][long_rows])  # a row's first window starts a segment
+    head[begins] = True
     first = np.flatnonzero(head)
     starts, windows = valid[first], np.diff(np.append(first, len(valid)))
     rows = np.searchsorted(bounds, starts, side="right") - 1
-    ends = starts + windows + length - 1
-    content = mix64(((prefix[ends] - prefix[starts]) * inverse[starts]) ^ (windows.astype(np.uint64) << np.uint64(40)))
-    return rows, starts - bounds[rows], windows, grams[at[first]].astype(np.int64), content.astype(np.int64)
+    raw = data.tobytes()
+    ends = (starts + windows + length - 1).tolist()
+    content = np.frombuffer(b"".join([blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(starts.tolist(), ends)]), np.int64)
+    return rows, starts - bounds[rows], windows, grams[at[first]].astype(np.int64), content
 
 
 def suffix_array(symbols: np.ndarray, most: int) -> np.ndarray:
@@ -175,68 +196,98 @@ def _mark_bucket(length: int):
         which = np.searchsorted(index.ends, at)
         begin = index.ends[which] - np.array([len(p) for p in parts], np.int64)[which]
         start = pdf["start"].to_numpy()[which] + at - begin
+        del index
+        release_memory()
         return pd.DataFrame({"doc": pdf["doc"].astype("Int64").iloc[which].to_numpy(), "th": pdf["th"].to_numpy()[which], "start": start, "n": n})
 
     return run
 
 
-def repeat_ranges(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, most_segments: int = MOST_SEGMENTS) -> DataFrame:
-    """(doc, th, start, n): runs of n window starts that occur earlier; th is the hash of the document's text."""
-    docs = bounded_batches(df).select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
+def _pieces(off: np.ndarray, length: int, most: int):
+    """Row ranges of bounded bytes as (first row, bounds); a longer row comes alone in pieces that share ``length`` - 1 bytes, with its place as third."""
+    for a, b in row_chunks(off, most):
+        size = int(off[b] - off[a])
+        if b - a > 1 or size <= most + length:
+            yield a, off[a : b + 1], 0
+        else:
+            for at in range(0, size - length + 1, most):
+                yield a, off[a] + np.array([at, min(at + most + length - 1, size)]), at
+
 
-    def cut(batches):
+def _cut(length: int, gram: int, most: int):
+    def run(batches):
         for batch in batches:
-            buf, off = byte_views(batch.column(2))
-            for a, b in row_chunks(off, 1 << 20):
-                rows, starts, windows, anchor, content = segments(buf[off[a] : off[b]], off[a : b + 1] - off[a], length, gram)
+            buf, off = byte_views(batch.column(3))
+            for a, bounds, at in _pieces(off, length, most):
+                rows, starts, windows, anchor, content = segments(buf[bounds[0] : bounds[-1]], bounds - bounds[0], length, gram)
                 pick = pa.array(rows + a)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), batch.column(0).take(pick), batch.column(1).take(pick), pa.array(starts, pa.int64()), pa.array(windows, pa.int64())], names=["anchor", "content", "doc", "th", "start", "n"])
-
-    cuts = docs.mapInArrow(cut, "anchor long, content long, doc long, th long, start long, n long")
-    shared = save(cuts.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
-    rows = save(cuts.join(shared, "anchor", "left_semi"), "segments")
-    place = F.struct("doc", "th", "start")
-    first = save(rows.groupBy("anchor", "content").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.count("*").alias("copies")), "firsts")
-    repeated = first.where("copies > 1").select("anchor", "content", "first")
-    later = rows.join(repeated, ["anchor", "content"]).where(place > F.col("first")).select("doc", "th", "start", "n")
-    several = first.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    open_ = save(first.join(several, "anchor").select("anchor", "kinds", "first.doc", "first.th", "first.start", "n"), "open")
-    # The bytes of these segments, from their documents.
-    asked = open_.groupBy("doc", "th").agg(F.collect_list(F.struct("anchor", "kinds", "start", "n")).alias("asked")).select(F.col("doc").alias("_d"), F.col("th").alias("_t"), "asked")
-    found = docs.join(asked, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).select("doc", "th", "raw", F.explode("asked").alias("a"))
-    segment = F.substring("raw", (F.col("a.start") + 1).cast("int"), (F.col("a.n") + length - 1).cast("int"))
-    found = save(found.select("doc", "th", "a.anchor", "a.kinds", "a.start", "a.n", segment.alias("segment")), "open-text")
-    total = open_.agg(F.sum(F.col("n") + length)).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    small = found.where(F.col("kinds") <= most_segments).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    indexed = small.select("bucket", "doc", "th", "start", "segment").groupBy("bucket").applyInPandas(_mark_bucket(length), "doc long, th long, start long, n long")
-    ranges = later.unionByName(indexed).unionByName(_by_window(found.where(F.col("kinds") > most_segments), length))
-    out = save(ranges, "ranges")
-    forget(shared, rows, first, open_, found)
-    return out
+                place = [batch.column(i).take(pick) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(content), *place, pa.array((starts + at).astype(np.int32)), pa.array(windows.astype(np.int32))], names=["anchor", "content", "doc", "th", "base", "start", "n"])
 
+    return run
 
-def _by_window(found: DataFrame, length: int) -> DataFrame:
-    """The marks of anchors with too many segments for one index: windows compared by hash."""
 
-    def cut(batches):
-        for batch in batches:
-            buf, off = byte_views(batch.column(3))
-            for a, b in row_chunks(off, 1 << 20):
-                data, bounds = buf[off[a] : off[b]], off[a : b + 1] - off[a]
-                n = np.diff(bounds) - length + 1
-                rows = np.repeat(np.arange(b - a), n)
-                inner = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-                at = bounds[:-1][rows] + inner
-                h = span_hashes(data, at, at + length).astype(np.int64)
-                pick = pa.array(rows + a)
-                start = np.asarray(batch.column(2))[rows + a] + inner
-                yield pa.RecordBatch.from_arrays([pa.array(h), batch.column(0).take(pick), batch.column(1).take(pick), pa.array(start)], names=["h", "doc", "th", "start"])
+def repeat_ranges(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """(doc, th, start, n): runs of n window starts that occur earlier; th is the hash of the document's text."""
+    source = bounded_batches(df).select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.lit(0).alias("base"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"))
+    ranges, tables = [], []
+    while True:
+        more, heavy = _level(source, length, gram, bucket_bytes, piece_bytes)
+        ranges.append(more)
+        tables.append(heavy)
+        if gram == length or heavy.isEmpty():
+            break
+        source, gram = heavy.select("doc", "th", F.col("start").alias("base"), F.col("segment").alias("raw")), (gram + length + 1) // 2
+    forget(*tables)
+    out = ranges[0]
+    for x in ranges[1:]:
+        out = out.unionByName(x)
+    return out
 
-    windows = found.select("doc", "th", "start", "segment").mapInArrow(cut, "h long, doc long, th long, start long")
-    place = F.struct("doc", "th", "start")
-    first = windows.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").select("h", "first")
-    return windows.join(first, "h").where(place > F.col("first")).select("doc", "th", "start", F.lit(1).cast("long").alias("n"))
+
+def _level(source: DataFrame, length: int, gram: int, bucket_bytes: int, piece_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Marks of the windows of ``source(doc, th, base, raw)`` as far as one level of k-grams decides them, and the segments it leaves to the next."""
+    cuts = source.select("doc", "th", "base", "raw").mapInArrow(tidy(_cut(length, gram, piece_bytes)), "anchor long, content long, doc long, th long, base int, start int, n int")
+    cuts = save(cuts, "cuts")
+    shared = cuts.groupBy("anchor").count().where("count > 1").select("anchor")
+    rows = save(cuts.join(shared, "anchor", "left_semi").withColumn("at", F.col("base") + F.col("start")), "segments")
+    forget(cuts)
+    place = F.struct("doc", "th", "at")
+    first = rows.groupBy("anchor", "content").agg(F.min(F.struct("doc", "th", "at", "base", "start")).alias("first"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    first = save(first, "firsts")
+    repeated = first.where("copies > 1").select("anchor", "content", F.struct("first.doc", "first.th", "first.at").alias("first"))
+    later = rows.join(repeated, ["anchor", "content"]).where(place > F.col("first")).select("doc", "th", F.col("at").alias("start"), "n")
+    several = first.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + length).alias("bytes")).where("kinds > 1")
+    open_ = save(first.join(several, "anchor").select("anchor", "bytes", "first.doc", "first.th", "first.base", "first.start", "first.at", "n"), "open")
+    # The bytes of these segments, from where they were cut.
+    asked = open_.groupBy("doc", "th", "base").agg(F.collect_list(F.struct("anchor", "bytes", "start", "at", "n")).alias("asked")).toDF("_d", "_t", "_b", "asked")
+    found = source.join(asked, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")) & (F.col("base") == F.col("_b"))).select("doc", "th", "raw", F.explode("asked").alias("a"))
+    segment = F.substring("raw", F.col("a.start") + 1, F.col("a.n") + length - 1)
+    found = save(found.select("doc", "th", "a.anchor", "a.bytes", F.col("a.at").alias("start"), segment.alias("segment")), "open-text")
+    total = open_.where(F.col("bytes") <= bucket_bytes).agg(F.sum(F.col("n") + length)).first()[0] or 0
+    buckets = max(1, -(-total // bucket_bytes))
+    light = found.where(F.col("bytes") <= bucket_bytes).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
+    indexed = light.select("bucket", "doc", "th", "start", "segment").groupBy("bucket").applyInPandas(_mark_bucket(length), "doc long, th long, start int, n int")
+    marks = save(later.unionByName(indexed), "ranges")
+    heavy = save(found.where(F.col("bytes") > bucket_bytes).select("doc", "th", "start", "segment"), "heavy")
+    forget(rows, first, open_, found)
+    return marks, heavy
+
+
+def _without(raw: bytes, starts: np.ndarray, ends: np.ndarray, whole_chars: bool) -> tuple[int, int, bytes]:
+    """(bytes removed, maximal runs, what remains) of ``raw`` without its spans."""
+    if whole_chars:
+        data = np.frombuffer(raw, np.uint8)
+        for _ in range(3):
+            starts = starts - ((data[starts] & 0xC0) == 0x80)
+            ends = ends + ((ends < len(data)) & ((data[np.minimum(ends, len(data) - 1)] & 0xC0) == 0x80))
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    head = np.append(True, starts[1:] > reach[:-1])
+    first = np.flatnonzero(head)
+    starts, ends = starts[first], reach[np.append(first[1:], len(reach)) - 1]
+    kept = [raw[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(raw)])]
+    return int((ends - starts).sum()), len(starts), b"".join(kept)
 
 
 def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, whole_chars: bool = False, **options) -> DataFrame:
@@ -246,24 +297,16 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
     ``kept`` stays UTF-8.
     """
     ranges = repeat_ranges(df, text, key, length, **options)
-    spans = ranges.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "n")).alias("_spans")).select(F.col("doc").alias("_d"), F.col("th").alias("_t"), "_spans")
+    spans = ranges.groupBy("doc", "th").agg(F.collect_set(F.struct("start", "n")).alias("_spans")).select(F.col("doc").alias("_d"), F.col("th").alias("_t"), "_spans")
     names = [c for c in df.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
     rows = df.select(*names, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_raw"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h"), F.col(key).cast("long").alias("_k"))
     rows = rows.join(spans, F.col("_k").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_t")), "left")
     rows = rows.select(*names, "_raw", F.col("_spans.start").alias("_start"), F.col("_spans.n").alias("_n"))
     schema = rows.select(*names).schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
 
-    def one(raw: bytes, starts, counts):
-        data = np.frombuffer(raw, np.uint8)
-        cover = np.zeros(len(data) + 1, np.int64)
-        np.add.at(cover, starts, 1)
-        np.add.at(cover, starts + counts + (length - 1), -1)
-        gone = np.cumsum(cover[:-1]) > 0
-        if whole_chars:
-            begin = np.flatnonzero((data & 0xC0) != 0x80)
-            gone = np.repeat(np.logical_or.reduceat(gone, begin), np.diff(np.append(begin, len(data))))
-        runs = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
-        return int(gone.sum()), runs, data[~gone].tobytes()
+    def one(raw, starts, counts):
+        starts = np.asarray(starts).astype(np.int64)
+        return _without(raw.as_py(), starts, starts + np.asarray(counts) + (length - 1), whole_chars)
 
     def run(batches):
         for batch in batches:
@@ -272,10 +315,10 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
             for a, b in row_chunks(off, 2 << 20):
                 raws = batch.column(raw_at).slice(a, b - a)
                 starts, counts = batch.column(raw_at + 1).slice(a, b - a), batch.column(raw_at + 2).slice(a, b - a)
-                got = [(0, 0, raws[i].as_py()) if not starts[i].is_valid else one(raws[i].as_py(), np.asarray(starts[i].values), np.asarray(counts[i].values)) for i in range(b - a)]
+                got = [one(raws[i], starts[i].values, counts[i].values) if starts[i].is_valid else (0, 0, raws[i].as_py()) for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(raw_at)), pa.array(np.diff(off[a : b + 1])), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.binary())], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,7 +328,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without strings that an earlier document has; documents left empty by it go."""
+    """Pipeline stage: texts without strings that an earlier document has; documents left empty by it go.
+
+    Null and empty texts stay as they are, rows equal in id and text get equal texts, an empty table stays
+    empty; n_chars follows the text where it changes, other columns pass through.
+    """
     out = remove_repeats(docs, whole_chars=True)
     cleaned = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text"))
     emptied = (F.col("n_removed") > 0) & (F.length(F.trim(cleaned)) == 0)

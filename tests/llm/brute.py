@@ -41,8 +41,8 @@ def near_duplicates(rows, words, num, den):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
-def without_repeats(rows, length):
-    """{id: (bytes, removed, spans, kept)} of (id, text) rows with distinct ids."""
+def without_repeats(rows, length, whole_chars=False):
+    """{id: (bytes, removed, spans, kept)} of (id, text) rows with distinct ids; ``whole_chars``: characters go as a whole."""
     seen, out = set(), {}
     for d, t in sorted(rows):
         b = (t or "").encode()
@@ -52,6 +52,13 @@ def without_repeats(rows, length):
             if w in seen:
                 gone[i : i + length] = b"\x01" * length
             seen.add(w)
+        if whole_chars:
+            at = 0
+            for c in t or "":
+                n = len(c.encode())
+                if any(gone[at : at + n]):
+                    gone[at : at + n] = b"\x01" * n
+                at += n
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out[d] = (len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone) if not g))
     return out

@@ -23,6 +23,17 @@ def documents(spark, rows, schema="doc_id long, text string"):
     return spark.createDataFrame(rows, schema)
 
 
+def _alike():
+    """Two unlike words that every polynomial hash modulo a power of two takes for equal."""
+    word = b"a"
+    for _ in range(11):
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    return word, word.translate(bytes.maketrans(b"ab", b"ba"))
+
+
+ALIKE = _alike()
+
+
 @pytest.fixture(scope="module")
 def texts(spark, sf_dir):
     return [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
@@ -112,6 +123,15 @@ def test_urls(spark):
     assert got[0].host == "" and url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_many_rules_on_one_host(spark):
+    rng = random.Random(2)
+    rules = [(rng.choice(["allow", "block"]), f"{rng.choice(['com', 'a.com', 'b.a.com', 'org'])}/{''.join(rng.choice('ab/') for _ in range(rng.randint(0, 4)))}") for _ in range(60)]
+    rules = list({r: (v, r) for v, r in rules}.values())
+    df = spark.createDataFrame([(i, f"s://{rng.choice(['com', 'a.com', 'x.b.a.com', 'org', 'net'])}/{''.join(rng.choice('ab/') for _ in range(rng.randint(0, 6)))}") for i in range(200)], "page_id long, url string")
+    a, b = ({r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(df, rules, most_trie_rules=m).collect()} for m in (1000, 1))
+    assert a == b and len({v for v, _ in a.values()}) > 10
+
+
 # 3
 
 
@@ -226,6 +246,18 @@ def test_bpe_is_the_librarys(spark, texts):
     assert bpe.decode(empty).count() == 0 and bpe.encode(documents(spark, [])).count() == 0
 
 
+def test_other_tokenizers_encode_whole(spark, texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    assert not bpe.splits_as_known(t) and bpe.splits_as_known(Tokenizer.from_file(bpe.default_tokenizer()))
+    rows = texts[:30] + [(9001, "Two  spaces, CAPS and\n\nlines"), (9002, None)]
+    got = {r.doc_id: r.ids for r in bpe.encode(documents(spark, rows).withColumn("ids", F.lit("clash")), tokenizer=path).collect()}
+    assert all(got[d] == t.encode(x or "", add_special_tokens=False).ids for d, x in rows)
+
+
 def test_bpe_caches_may_empty(monkeypatch):
     monkeypatch.setattr(bpe, "MOST_WORDS", 5)
     monkeypatch.setattr(bpe, "MOST_CHUNKS", 2)
@@ -239,9 +271,10 @@ def test_bpe_caches_may_empty(monkeypatch):
 
 
 def test_ppm_scores(spark, texts):
-    rows = [(d, t) for d, t in ODD if d] + [(d + 100, t) for d, t in texts[:60]]
+    a, b = (x.decode() for x in ALIKE)
+    rows = [(d, t) for d, t in ODD if d] + [(d + 100, t) for d, t in texts[:60]] + [(901, f"x {a}"), (902, f"x {b}"), (903, f"{b} x")]
     train = [d for d, _ in rows if zlib.crc32(str(d).encode()) % 5 != 1]
-    got = {r.doc_id: r for r in ppm.score_documents(documents(spark, rows), ppm.crc_fold(F.col("doc_id")) != 1, block_bytes=40_000).collect()}
+    got = {r.doc_id: r for r in ppm.score_documents(documents(spark, rows), ppm.crc_fold(F.col("doc_id")) != 1, block_bytes=40_000, part_bytes=1500).collect()}
     base, of = brute.base_scores(rows, train), dict(rows)
     trie: dict = {}
     for d in train:
@@ -267,6 +300,10 @@ def test_ppm_sums_to_one_and_adapts(spark):
     assert sum(10 ** ppm.symbol_logp(trie, (1,), s) for s in range(ppm.SYMBOLS)) == pytest.approx(1)
     a, b = ppm.adaptive_code_lengths([b"abababababababab", b"aqzxswcdevfrbgtn"], 2)
     assert a > b
+    rows = [(None, "ab ab"), (7, "ab"), (7, "ab"), (7, "cd")]
+    odd = ppm.score_documents(documents(spark, rows).withColumn("score", F.lit("clash")), F.col("doc_id") == 7).collect()
+    assert len(odd) == 4 and {(r.doc_id, r.held_out, r.n_tokens, r.n_known) for r in odd} == {(None, True, 3, 3), (7, False, 2, 2)} and len({r.score for r in odd}) == 3
+    assert ppm.score_documents(documents(spark, []), F.lit(True)).count() == 0
     nothing = ppm.score_documents(documents(spark, [(1, "ab")]), F.lit(False)).first()
     assert nothing.n_known == 0 and nothing.score == pytest.approx(-3 * np.log10(257))
 
@@ -274,13 +311,17 @@ def test_ppm_sums_to_one_and_adapts(spark):
 # 6
 
 
-@pytest.mark.parametrize("most", [repeats.MOST_SEGMENTS, 1])
-def test_repeats_against_brute_force(spark, texts, most):
+@pytest.mark.parametrize("bucket,piece", [(repeats.BUCKET_BYTES, repeats.PIECE_BYTES), (600, 257)])
+def test_repeats_against_brute_force(spark, texts, bucket, piece):
+    """With small bounds, anchors are split over several levels of longer grams and long texts are cut in pieces."""
     rng = random.Random(6)
     passage = "".join(rng.choice("abcdefgh ") for _ in range(260))
     rows = [(d, t) for d, t in ODD if d] + [(d + 100, t) for d, t in texts[:80]]
+    a, b = (x.decode() for x in ALIKE)
+    rows += [(700, f"left {a} right"), (701, f"left {b} right"), (702, f"other {b} end")]
+    rows += [(800 + i, "".join(rng.choice("abcdefgh ") for _ in range(90)) + passage[:80] + "".join(rng.choice("abcdefgh ") for _ in range(90))) for i in range(25)]
     rows += [(500 + i, passage[i : i + 150] + str(i) + passage[100 : 199 + i % 3] + passage) for i in range(12)] + [(600, "ab" * 300), (601, "z" * 99), (602, "z" * 100), (603, "z" * 101)]
-    got = repeats.remove_repeats(documents(spark, rows).withColumn("kept", F.lit("clash")), most_segments=most)
+    got = repeats.remove_repeats(documents(spark, rows).withColumn("kept", F.lit("clash")), bucket_bytes=bucket, piece_bytes=piece)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()}
     assert got == brute.without_repeats(rows, 100)
 
@@ -349,6 +390,55 @@ def test_mixing(spark, sf_dir):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_taken_against_plain_dealing(spark, sf_dir):
+    """Blocks dealt one at a time, documents laid out in order and counted word by word."""
+    from fractions import Fraction
+
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    block, per_shard = 16, 3000
+    got = {r.doc_id: r for r in mixing.mix(df, block_tokens=block, shard_tokens=per_shard).collect()}
+    rows = df.select("doc_id", "source", mixing.order_key("doc_id", "text", 7).alias("o"), mixing.order_key("doc_id", "text", 8).alias("s"), "text").collect()
+    size = {r.doc_id: len(brute.WORD.findall(r.text or "")) for r in rows}
+    names = sorted({r.source for r in rows}, key=lambda x: (x is None, x or ""))
+    total = {x: sum(size[r.doc_id] for r in rows if r.source == x) for x in names}
+    share, open_, left = {}, set(names), Fraction(sum(total.values()))
+    weight = {x: Fraction((5, 2, 1)[i % 3]) for i, x in enumerate(names)}
+    while open_:
+        over = [x for x in open_ if left * weight[x] / sum(weight[y] for y in open_) > 3 * total[x]]
+        if not over:
+            share |= {x: left * weight[x] / sum(weight[y] for y in open_) for x in open_}
+            break
+        share |= {x: Fraction(3 * total[x]) for x in over}
+        left -= sum(share[x] for x in over)
+        open_ -= set(over)
+    assert all(got[r.doc_id].target == pytest.approx(float(share[r.source])) for r in rows)
+
+    def deal(seats, weights, caps):
+        out = {k: 0 for k in weights}
+        for _ in range(min(seats, sum(caps[k] for k in weights if weights[k] > 0))):
+            k = max((k for k in weights if weights[k] > 0 and out[k] < caps[k]), key=lambda k: (weights[k] / (2 * out[k] + 1), [-list(weights).index(k)]))
+            out[k] += 1
+        return out
+
+    share = {x: Fraction(float(share[x])) for x in names}
+    blocks = deal(round(sum(share.values()) / block), share, {x: 3 * total[x] // block for x in names})
+    for i, x in enumerate(names):
+        n = max(1, -(-total[x] // per_shard))
+        shards = {}
+        for r in sorted((r for r in rows if r.source == x), key=lambda r: (r.o, r.doc_id)):
+            shards.setdefault(r.s % n, []).append(r.doc_id)
+        tokens = {k: sum(size[d] for d in v) for k, v in sorted(shards.items())}
+        quota = deal(blocks[x], {k: Fraction(v) for k, v in tokens.items()}, {k: 3 * v // block for k, v in tokens.items()})
+        for k, docs in shards.items():
+            owner = [d for d in docs for _ in range(size[d])]
+            start = zlib.crc32(f"7/{i}/{k}".encode()) % max(1, -(-len(owner) // block)) * block
+            whole, rest = divmod(quota[k] * block, len(owner)) if owner else (0, 0)
+            want = {d: whole * size[d] for d in docs}
+            for j in range(rest):
+                want[owner[(start + j) % len(owner)]] += 1
+            assert {d: got[d].taken for d in docs} == want
+
+
 # 8
 
 
@@ -367,6 +457,14 @@ def test_near_duplicates_against_brute_force(spark, texts, words, similarity):
 
 
 def test_near_duplicate_rows_and_blocks(spark, monkeypatch):
+    a, b = (x.decode() for x in ALIKE)
+    rows = [(10, f"alpha beta {a} gamma"), (11, f"alpha beta {b} gamma"), (12, a), (13, b), (14, b.upper())]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, rows), words=3, similarity=(17, 20)).collect()}
+    assert got == {10: 10, 11: 11, 12: 12, 13: 13, 14: 13}
+    text = " ".join(f"w{i}" for i in range(60))  # rows without id link too, and share no class with others' ids
+    rows = [(None, text), (5, text + " end"), (6, text + " end more"), (6, "something else than that altogether"), (None, "once again a wholly different text here")]
+    got = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.component_id, r.n_shingles) for r in got), key=repr) == sorted([(None, 5, 56), (5, 5, 57), (6, 5, 58), (6, 6, 1), (None, None, 3)], key=repr)
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (None, "a b c d e f"), (None, None), (3, "q")]
     got = sorted(minhash.near_duplicates(documents(spark, rows)).collect(), key=repr)
     assert len(got) == 6 and {(r.doc_id, r.component_id) for r in got} >= {(1, 1), (2, 1), (3, 3)}
@@ -376,9 +474,77 @@ def test_near_duplicate_rows_and_blocks(spark, monkeypatch):
     assert minhash.estimate(0) == 1 and abs(minhash.estimate(minhash.HASHES * 0.75)) < 1e-9
 
 
+def test_one_of_each_row(spark, sf_dir):
+    one, other = "the same text of several words here", "quite another text that is unlike it"
+    rows = [(1, one), (1, one), (2, one), (2, other), (3, other.upper()), (4, None), (4, None), (None, one), (5, "")]
+    df = documents(spark, rows).withColumns({"_id": F.lit(1), "grouped": F.lit("clash")})
+    stage = dict(corpus_pipeline.STAGES)["minhash"]
+    got = stage(spark, df, sf_dir)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(1, one), (2, other), (4, None), (4, None), (5, "")], key=repr)
+    assert stage(spark, df.limit(0), sf_dir).count() == 0
+
+
+def test_long_texts(spark):
+    """Texts beyond every piece bound: about 3 MB each, with one repeated passage and one changed word."""
+    rng = random.Random(12)
+    words = [f"{rng.choice('bcdfg')}{rng.randrange(10**6)}" for _ in range(400_000)]
+    long = " ".join(words)
+    words[200_000] = "changed"
+    rows = [(1, long), (2, " ".join(words)), (3, "short text")]
+    df = documents(spark, rows).withColumn("n", F.lit("clash"))
+    near = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df).collect()}
+    assert near[1][1] == near[2][1] == 1 and near[3] == (1, 3) and near[1][0] == len({tuple(long.split()[i : i + 5]) for i in range(399_996)})
+    got = {r.doc_id: r for r in repeats.remove_repeats(df).collect()}
+    a, b = long.encode(), rows[1][1].encode()
+    at = next(i for i in range(len(a)) if a[i] != b[i])
+    assert got[1].n_removed == 0 and got[2].n_spans in (2, 3) and b"changed" in bytes(got[2].kept) and got[2].n_removed >= len(b) - 20 and at > 0
+    model = language_id.LanguageModel(["x", "y"], np.random.default_rng(1).normal(size=(2, language_id.BUCKETS + 1)).astype(np.float32))
+    model.logp[:, -1] = 0
+    parts, whole = model.predict([long[:50_000], "ab"], piece_chars=777), model.predict([long[:50_000], "ab"])
+    assert np.allclose(parts[1], whole[1]) and (parts[0] == whole[0]).all()
+    scored = ppm.score_documents(df.where("doc_id <> 2"), F.col("doc_id") == 1).collect()
+    assert {r.doc_id: r.n_tokens for r in scored} == {1: 400_001, 3: 3}
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(bpe.default_tokenizer()).encode(long, add_special_tokens=False).ids
+    coded = {r.doc_id: len(r.ids) for r in bpe.encode(df).collect()}
+    assert coded[1] == len(ids)
+    media = {r.doc_id: (r.payload_bytes, r.payload_sha256) for r in jpeg.digest(df).collect()}
+    padded = a + bytes(-len(a) % 64)
+    assert media[1] == (len(padded), brute.sha(padded))
+
+
 # 9
 
 
+def test_language_against_plain_bayes(spark, texts):
+    """Counts, smoothing and posterior recomputed n-gram by n-gram with dictionaries."""
+    import collections
+    import math
+
+    rows = [(d, t, ["aa", "bb", "cc"][d % 3]) for d, t in texts[:60] if t] + [(1000 + i, "q" * i, f"junk{i}") for i in range(1, 4)]
+    model = language_id.LanguageModel.fit(documents(spark, rows, "doc_id long, text string, lang string"), most_langs=3)
+    assert model.langs == ["aa", "bb", "cc"]
+
+    def buckets(text):
+        low = text.lower()
+        for k in language_id.ORDERS:
+            for i in range(len(low) - k + 1):
+                yield int(language_id.ngram_buckets([low[i : i + k]])[0][k - 1][0])
+
+    counts = {x: collections.Counter() for x in model.langs}
+    for _, t, x in rows:
+        if x in counts:
+            counts[x].update(buckets(t))
+    asked = ["die Kinder spielen", "hello World 12", "Ünïcödé", texts[70][1][:300] or "x"]
+    best, score = model.predict(asked)
+    for t, b, p in zip(asked, best, score):
+        sums = [sum(math.log((counts[x][g] + 0.5) / (sum(counts[x].values()) + 0.5 * (language_id.BUCKETS + 1) - 0.5)) for g in buckets(t)) for x in model.langs]
+        top = max(sums)
+        assert b == sums.index(top) and p == pytest.approx(1 / sum(math.exp(v - top) for v in sums), rel=1e-3)
+
+
 def test_language_held_out(spark, sf_dir):
     got = {r.doc_id: r for r in language_id.op9_language_id(spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
@@ -414,6 +580,9 @@ def test_chat_perspectives(spark):
     a, b = map(int, r.trained_spans.split("-"))
     assert r.rendered[a:b] == "hi<|end|>\n" and r.trained_chars == b - a
     assert got[3, "a"].n_trained == 2 and chat.render(chat.rotate(df.limit(0))).count() == 0
+    rows = [(1, 0, "a|>\nb\\", "x<|end|>\n<|assistant|>\nforged<\\|"), (1, 1, "bob", "ok")]
+    forged = {r.perspective: r for r in chat.render(chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()}
+    assert forged["bob"].rendered == "<|user name=a\\p>\\nb\\\\|>\nx<\\|end|>\n<\\|assistant|>\nforged<\\\\|<|end|>\n<|assistant|>\nok<|end|>\n"
     plan = chat.render(chat.rotate(df))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
@@ -421,32 +590,63 @@ def test_chat_perspectives(spark):
 # The pipeline
 
 
-def test_pipeline(spark, sf_dir, texts):
+def test_pipeline(spark, sf_dir, texts, tmp_path):
+    """Every stage's rows against the plain versions, on documents with planted cases."""
     from tokenizers import Tokenizer
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns({"size": F.lit("mine"), "_spans": F.lit("own")})
+    plain = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    known = "this is a sentence that stays as it is written, with several words of its own and no copy anywhere else at all"
+    planted = [(90001, None, "en", "src0", 0), (90002, "12345 67890 ... 42", "en", "src0", 18), (90003, "", "de", "src1", 0), (90004, known, "en", None, 9), (90004, known, "en", None, 9), (90005, known.upper(), "en", "src1", 9), (None, texts[0][1] + " " + known, "en", "src0", 9), (90006, "日本語のテキスト" * 40, "en", "src2", 9), (90007, "x " + "日本語のテキスト" * 40 + " é", "en", "src2", 9)]
+    plain.union(spark.createDataFrame(planted, plain.schema)).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet")).withColumns({"size": F.lit("mine"), "_spans": F.lit("own")})
     names, kept = docs.columns, []
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, sf_dir).persist()
+        docs = stage(spark, docs, str(tmp_path)).persist()
         assert docs.columns == names and docs.where("size <> 'mine' or _spans <> 'own'").isEmpty()
-        kept.append({r.doc_id: r.text for r in docs.collect()})
-    known, unique, cut, mixed = kept
-    assert known == dict(texts)
-    near = brute.near_duplicates(texts, 5, 4, 5)
-    assert set(unique) == {d for d, (_, c) in near.items() if d == c}
-    want = brute.without_repeats([(d, known[d]) for d in unique], 100)
-    assert all(cut[d] == (want[d][3].decode() if d in cut and want[d][1] and want[d][3].isascii() else cut[d]) for d in cut)
-    assert all(cut[d] == unique[d] for d in cut if not want[d][1]) and set(mixed) <= set(cut)
-    rows = corpus_pipeline.run(spark, sf_dir).collect()
+        kept.append([(r.doc_id, r.text) for r in docs.collect()])
+    every = [(r[0], r[1]) for r in [*((d, t) for d, t in texts), *planted]]
+    known_rows, unique, cut, mixed = kept
+    # Language: without a letter, nothing is known.
+    assert sorted(known_rows, key=repr) == sorted([(d, t) for d, t in every if t and any(c.isalpha() for c in t)], key=repr)
+    # Near-duplicates: one row of each group, of the least id.
+    number = {k: (d if d is not None else 10**9, t) for k, (d, t) in enumerate(sorted(set(known_rows), key=lambda r: (r[0] is None, r[0] or 0)))}
+    near = brute.near_duplicates([(k, t) for k, (_, t) in number.items()], 5, 4, 5)
+    want = sorted((number[k] for k, (_, c) in near.items() if k == c), key=repr)
+    assert sorted(((d if d is not None else 10**9, t) for d, t in unique), key=repr) == want and len(unique) < len(known_rows)
+    # Repeats: what remains of every text, characters whole.
+    order = sorted(unique, key=lambda r: (r[0] is not None, r[0] or 0))
+    left = brute.without_repeats(list(enumerate(t for _, t in order)), 100, whole_chars=True)
+    want = [(d, left[k][3].decode() if left[k][1] else t) for k, (d, t) in enumerate(order) if not left[k][1] or left[k][3].decode().strip(" ")]
+    assert sorted(cut, key=repr) == sorted(want, key=repr) and any(a != b for a, b in zip(sorted(cut, key=repr), sorted(unique, key=repr)))
+    # The mix: whole documents, as often as their words are taken.
+    taken = mixing.mix(spark.createDataFrame([(d, t, s) for (d, t), s in zip(cut, [None] * len(cut))], "doc_id long, text string, source string").drop("source").join(docs.select("doc_id", "source").distinct(), "doc_id", "left")).count()
+    assert taken >= len(cut) and set(mixed) <= set(cut)
+    # Codes: every row of the run.
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     t = Tokenizer.from_file(bpe.default_tokenizer())
-    assert {r.doc_id for r in rows} == set(mixed)
-    for r in rows[:40]:
-        assert r.n_tokens == len(t.encode(mixed[r.doc_id], add_special_tokens=False).ids)
+
+    def coded(d, x):
+        ids = t.encode(x, add_special_tokens=False).ids
+        return d, len(ids), brute.sha(" ".join(map(str, ids))), brute.sha(t.decode(ids, skip_special_tokens=False))
+
+    assert sorted((tuple(r) for r in rows), key=repr) == sorted((coded(d, x) for d, x in mixed), key=repr)
+
+
+def test_mix_stage_repeats_documents(spark, sf_dir):
+    """The stage's copies of every document are the nearest count to the words taken of it."""
+    import collections
+
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    taken = {r.doc_id: (r.size, r.taken) for r in mixing.mix(df).collect()}
+    copies = collections.Counter(r.doc_id for r in mixing.mix_stage(spark, df, sf_dir).collect())
+    assert all(copies[d] == (int(k / n + 0.5) if n else 0) for d, (n, k) in taken.items())
 
 
 def test_stages_take_odd_rows(spark, sf_dir):
     rows = [(d, t, "en", None if d == 4 else "s", 1) for d, t in ODD] + [(8, "x y z " * 400, None, "s", None)]
     docs = spark.createDataFrame(rows, DOC)
-    for _, stage in corpus_pipeline.STAGES:
-        stage(spark, docs, sf_dir).count()
-        stage(spark, docs.limit(0), sf_dir).count()
+    want = {"language_id": 10, "minhash": 11, "suffix_dedup": 12, "mixing": None, "bpe": 13}
+    for name, stage in corpus_pipeline.STAGES:
+        n = stage(spark, docs, sf_dir).count()
+        assert want[name] is None or n == want[name], name
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
