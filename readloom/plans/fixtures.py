@@ -80,17 +80,8 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, lang, seq: the first 300 letters of texts, as in ``SQL``, as bases with an A tail."""
-    return _reads(spark, sf_dir, lambda letters: F.substring(letters, 1, 300))
-
-
-def whole_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lang, seq: whole texts as bases with an A tail."""
-    return _reads(spark, sf_dir, lambda letters: letters)
-
-
-def _reads(spark: SparkSession, sf_dir: str, part) -> DataFrame:
-    letters = F.upper(part(F.regexp_replace("text", "[^a-zA-Z]", "")))
+    letters = F.upper(F.regexp_replace("text", "[^a-zA-Z]", ""))
     seq = F.concat(F.translate(letters, "BDEFHIJKLMNOPQRSUVWXYZ", "CGTACGTACGTACGTACGTACG"), F.repeat(F.lit("A"), (F.col("n_chars") % 40).cast("int")))
     return table(spark, sf_dir, "documents").select("doc_id", "lang", seq.alias("seq"))
 
@@ -141,7 +132,7 @@ WITH fx_raw AS (
     CAST(sum(len) AS BIGINT) AS aligned, CAST(sum(CASE WHEN gap % 3 = 0 THEN len - 1 ELSE len END) AS BIGINT) AS matches, max(e) - min(s) AS span
   FROM (SELECT *, max(exon_no) OVER (PARTITION BY tx) AS last FROM fx_exons) GROUP BY tx, chrom, strand
 ), fx_reads AS (
-  SELECT doc_id, lang, translate(upper(substr(regexp_replace(text, '[^a-zA-Z]', '', 'g'), 1, 300)), 'BDEFHIJKLMNOPQRSUVWXYZ', 'CGTACGTACGTACGTACGTACG') || repeat('A', CAST(n_chars % 40 AS INT)) AS seq FROM documents
+  SELECT doc_id, lang, translate(upper(regexp_replace(text, '[^a-zA-Z]', '', 'g')), 'BDEFHIJKLMNOPQRSUVWXYZ', 'CGTACGTACGTACGTACGTACG') || repeat('A', CAST(n_chars % 40 AS INT)) AS seq FROM documents
 ), fx_hits AS (
   SELECT l_orderkey AS qid, l_partkey AS sid, 50.0e0 + CAST(l_partkey % 500 AS DOUBLE) / 10 AS pid, l_partkey % 50 + 1 AS qstart, l_partkey % 50 + 21 + CAST(l_quantity AS BIGINT) AS qend,
     l_suppkey % 60 + 1 AS sstart, -10 - l_suppkey % 90 AS log10_e, CAST(l_linenumber AS BIGINT) AS ln

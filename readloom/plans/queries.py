@@ -124,23 +124,37 @@ def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.measure(X.alignments(spark, sf_dir), R.QualityLimits()).select("tx", "strand", "clip5", "tes", "per_id", "good")
 
 
-_GAINS = {k: f"CAST('{v!r}' AS DOUBLE)" for k, v in (("{ga}", P.GAIN_A), ("{go}", P.GAIN_OTHER), ("{cl}", P.COST_LEAVE))}
-_TAIL = """, bases AS (
-  SELECT doc_id, lang, length(seq) AS n, unnest(range(1, length(seq) + 1)) AS k, reverse(seq) AS r FROM fx_reads
+_GAINS = {"{ga}": P.GAIN_A, "{go}": P.GAIN_OTHER, "{cl}": P.COST_LEAVE}
+_SCORED = """, bases AS (
+  SELECT doc_id, length(seq) AS n, unnest(range(1, length(seq) + 1)) AS k, unnest(string_split(reverse(seq), '')) AS base FROM fx_reads
 ), scored AS (
-  SELECT doc_id, lang, n, k, CAST(sum(CASE WHEN substr(r, CAST(k AS INT), 1) = 'A' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS INT) AS a FROM bases
-), best AS (
-  SELECT doc_id, lang, k, row_number() OVER (PARTITION BY doc_id ORDER BY a * {ga} + (k - a) * {go} + CASE WHEN k < n THEN {cl} ELSE 0.0e0 END DESC, k) AS place,
-    a * {ga} + (k - a) * {go} + CASE WHEN k < n THEN {cl} ELSE 0.0e0 END AS score
-  FROM scored
+  SELECT doc_id, n, k, a * {ga} + (k - a) * {go} AS score
+  FROM (SELECT *, CAST(sum(CASE WHEN base = 'A' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY k) AS INT) AS a FROM bases)
+)"""
+for _k, _v in _GAINS.items():
+    _SCORED = _SCORED.replace(_k, f"CAST('{_v!r}' AS DOUBLE)")
+_LEAVE = f"CAST('{P.COST_LEAVE!r}' AS DOUBLE)"
+_TAIL = _SCORED + f""", ends AS (
+  SELECT doc_id, k, score + CASE WHEN k < n THEN {_LEAVE} ELSE 0.0e0 END AS score FROM scored
 ), tails AS (
-  SELECT d.doc_id, d.lang, CAST(coalesce(b.k, 0) AS INT) AS tail FROM fx_reads d LEFT JOIN best b ON d.doc_id = b.doc_id AND b.place = 1 AND b.score > 1e-9
+  SELECT d.doc_id, d.lang, CAST(coalesce(b.k, 0) AS INT) AS tail FROM fx_reads d
+  LEFT JOIN (SELECT doc_id, min(k) AS k FROM ends JOIN (SELECT doc_id, max(score) AS best FROM ends GROUP BY doc_id HAVING max(score) > 1e-9) USING (doc_id) WHERE score = best GROUP BY doc_id) b ON d.doc_id = b.doc_id
 )
 """
-
-
-for _k, _v in _GAINS.items():
-    _TAIL = _TAIL.replace(_k, _v)
+# The suffix grows by 50 for as long as all of it is tail; then its own tail counts.
+_READ_TAIL = _SCORED + f""", whole AS (
+  SELECT doc_id, k FROM (SELECT *, max(score + {_LEAVE}) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM scored)
+  WHERE score > greatest(coalesce(before, 1e-9), 1e-9)
+), asked AS (
+  SELECT doc_id, length(seq) AS n, unnest(range(20, greatest(length(seq), 20) + 51, 50)) AS m FROM fx_reads
+), stopped AS (
+  SELECT asked.doc_id, least(min(m), any_value(n)) AS m FROM asked LEFT JOIN whole ON asked.doc_id = whole.doc_id AND k = m WHERE k IS NULL GROUP BY asked.doc_id
+), ends AS (
+  SELECT doc_id, k, score + CASE WHEN k < m THEN {_LEAVE} ELSE 0.0e0 END AS score FROM scored JOIN stopped USING (doc_id) WHERE k <= m
+)
+SELECT d.doc_id, CAST(coalesce(b.k, 0) AS INT) AS tail FROM fx_reads d
+LEFT JOIN (SELECT doc_id, min(k) AS k FROM ends JOIN (SELECT doc_id, max(score) AS best FROM ends GROUP BY doc_id HAVING max(score) > 1e-9) USING (doc_id) WHERE score = best GROUP BY doc_id) b ON d.doc_id = b.doc_id
+"""
 
 
 @query(_TAIL + "SELECT doc_id, tail FROM tails")
@@ -154,9 +168,9 @@ def polya_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tails.groupBy("lang").agg(F.count("*").alias("n_reads"), F.sum("tail").alias("total_tail"), F.max("tail").alias("longest"))
 
 
-@query()
+@query(_READ_TAIL)
 def polya_read_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.whole_reads(spark, sf_dir).select("doc_id", P.read_tail_length(F.col("seq"), F.lit(20)).alias("tail"))
+    return X.reads(spark, sf_dir).select("doc_id", P.read_tail_length(F.col("seq"), F.lit(20)).alias("tail"))
 
 
 @query("SELECT doc_id, reverse(translate(seq, 'ATGCatgc', 'TACGtacg')) AS rc FROM fx_reads")
@@ -190,16 +204,16 @@ def neighbour_exon(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT a.doc_id, substr(b.seq, 1, 1 + CAST(a.doc_id % 3 AS INT)) = substr(a.seq, 1, 1 + CAST(a.doc_id % 3 AS INT)) AS matched
   FROM fx_reads a JOIN fx_reads b ON b.doc_id = a.doc_id + 1""")
 def clip_prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = X.whole_reads(spark, sf_dir)
+    a = X.reads(spark, sf_dir)
     b = a.select((F.col("doc_id") - 1).alias("doc_id"), F.col("seq").alias("exon"))
     clip = F.lower(F.substring("seq", F.lit(1), (F.col("doc_id") % 3 + 1).cast("int")))
     return a.join(b, "doc_id").select("doc_id", S.begins_with(F.col("exon"), clip).alias("matched"))
 
 
-def _correction_inputs(spark: SparkSession, sf_dir: str, of=None):
-    """Reads ending at internal exons whose clip spells the next exon (or not), made from the exon table; ``of`` restricts the transcripts that give reads."""
+def _correction_inputs(spark: SparkSession, sf_dir: str):
+    """Reads ending at internal exons whose clip spells the next exon (or not), made from the exon table."""
     e = X.exons(spark, sf_dir).withColumn("seq", F.substring(F.translate(F.sha2(F.concat_ws(":", "tx", "exon_no"), 256), "0123456789abcdef", "ACGTACGTACGTACGT"), 1, 12))
-    inner = intervals.internal_exons(intervals.neighbours(e, columns=("s", "e", "seq"))).where(F.lit(True) if of is None else of)
+    inner = intervals.internal_exons(intervals.neighbours(e, columns=("s", "e", "seq")))
     minus = F.col("strand") == "-"
     n = (F.col("e") - F.col("s")).cast("string")
     clip = F.when(F.col("exon_no") % 2 == 0, F.col("next_seq")).otherwise(F.lit("ACGTTGCAACGT"))
@@ -211,7 +225,44 @@ def _correction_inputs(spark: SparkSession, sf_dir: str, of=None):
     return reads, e.select("tx", "exon_no", "chrom", "strand", "s", "e"), e.select("tx", "exon_no", "seq")
 
 
-@query()
+# Reads end where their exon does; each meets the internal exons ending within 3 bases of it, its clip shifted by the difference.
+_MATCHES = """, spelled AS (
+  SELECT *, substr(translate(sha256(CAST(tx AS VARCHAR) || ':' || CAST(exon_no AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 12) AS seq FROM fx_exons
+), inside AS (
+  SELECT x.tx, x.exon_no, x.chrom, x.strand, x.s, x.e, CASE WHEN x.strand = '-' THEN x.s ELSE x.e END AS at, y.s AS next_s, y.e AS next_e, y.seq AS next_seq
+  FROM spelled x JOIN fx_tx t USING (tx) JOIN spelled y ON y.tx = x.tx AND y.exon_no = x.exon_no + CASE WHEN x.strand = '-' THEN -1 ELSE 1 END
+  WHERE x.s <> t.s AND x.e <> t.e
+), ending AS (
+  SELECT *, CAST(tx AS VARCHAR) || ':' || CAST(exon_no AS VARCHAR) AS read_id,
+    CASE WHEN strand = '-' THEN 'CCC' ELSE 'GGG' END || CASE WHEN exon_no % 2 = 0 THEN next_seq ELSE 'ACGTTGCAACGT' END AS tail
+  FROM inside
+), met AS (
+  SELECT r.read_id, r.strand, r.s, r.e, i.tx, i.exon_no, i.next_s, i.next_e, i.next_seq, CASE WHEN r.strand = '-' THEN i.at - r.at ELSE r.at - i.at END AS off,
+    substr(r.tail, CAST(4 - CASE WHEN r.strand = '-' THEN i.at - r.at ELSE r.at - i.at END AS INT)) AS clip
+  FROM ending r JOIN inside i ON r.chrom = i.chrom AND r.strand = i.strand AND r.at BETWEEN i.at - 3 AND i.at + 3
+), matched AS (
+  SELECT * FROM met WHERE length(clip) > 4 AND starts_with(next_seq, clip)
+)
+"""
+
+
+@query(_MATCHES + """, bent AS (
+  SELECT *, length(clip) AS n, e - s AS body, CASE WHEN strand = '-' THEN s - next_e ELSE next_s - e END AS gap FROM matched
+), cigars AS (
+  SELECT read_id, tx, exon_no, strand,
+    CASE WHEN strand = '-' THEN (17 - n + abs(off))::INT || 'S' || n || '=' || (gap + abs(off))::INT || 'N' || (body - abs(off))::INT || '=3S'
+      ELSE '3S' || (body - off)::INT || '=' || (gap + off)::INT || 'N' || n || '=' || (17 - n + off)::INT || 'S' END AS cigar,
+    s + 1 - CASE WHEN strand = '-' THEN gap + CASE WHEN off < 0 THEN 1 ELSE 0 END + n ELSE 0 END AS pos
+  FROM bent
+), once AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY read_id, cigar ORDER BY tx, exon_no) AS k FROM cigars) WHERE k = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY tx, exon_no, cigar) AS place FROM once
+)
+SELECT read_id, 'r' || replace(read_id, ':', '-') || '_PerID1.000_5Clip3_3Clip0_PolyA5' AS name, CAST(CASE WHEN place > 1 THEN 256 ELSE 0 END + CASE WHEN strand = '-' THEN 16 ELSE 0 END AS INT) AS flag, pos, cigar FROM ranked
+UNION ALL
+SELECT read_id, 'r' || replace(read_id, ':', '-') || '_PerID1.000_5Clip3_3Clip12_PolyA5', CAST(CASE WHEN strand = '-' THEN 16 ELSE 0 END AS INT), s + 1, CASE WHEN strand = '-' THEN '17S' || (e - s) || '=3S' ELSE '3S' || (e - s) || '=17S' END
+FROM ending WHERE read_id NOT IN (SELECT read_id FROM matched)""")
 def cigar_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return correction.correct(*_correction_inputs(spark, sf_dir)).select("read_id", "name", "flag", "pos", "cigar")
 
@@ -329,12 +380,11 @@ def coding_noncoding_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coding.select("tx", F.lit("coding").alias("kind"), "thick_start").union(rest.select("tx", F.lit("noncoding"), "thick_start"))
 
 
-@query("SELECT count(*) AS n_reads FROM (SELECT x.tx, x.exon_no FROM fx_exons x JOIN fx_tx t USING (tx) WHERE x.s <> t.s AND x.e <> t.e AND x.tx % 4 = 0)")
+@query(_MATCHES + "SELECT read_id FROM ending WHERE read_id NOT IN (SELECT read_id FROM matched)")
 def uncorrected_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads, e, seqs = _correction_inputs(spark, sf_dir, F.col("tx") % 4 == 0)  # as in its SQL
+    reads, e, seqs = _correction_inputs(spark, sf_dir)
     matches = correction.clip_matches(reads, e, seqs)
-    hit = matches.where("matched").select("read_id").distinct()
-    return reads.join(hit, "read_id", "left_anti").select("read_id").union(reads.join(hit, "read_id", "left_semi").select("read_id")).agg(F.count("*").alias("n_reads"))
+    return reads.join(matches.where("matched").select("read_id"), "read_id", "left_anti").select("read_id")
 
 
 @query("""SELECT tx, exon_no AS x, s AS start FROM (SELECT *, min(CASE WHEN tx % 3 = 0 AND exon_no = 2 THEN exon_no END) OVER (PARTITION BY tx) AS gap_at FROM fx_exons)
