@@ -1,28 +1,29 @@
 """Embedding near-duplicates over robust-pruned flat graphs (operator 1).
 
 0. Vectors of one label that are equal once scaled by their largest component (to ``GRID``, so that multiples
-   count as equal) collapse to the least id, which carries their number; only it is searched, and its cosines hold for all of them.
-1. Centroids: for each (label, dimension) about one a ``SHARD_VECTORS`` vectors, at most
-   ``MOST_CENTROIDS``, fitted by spherical k-means on a bounded sample (``SAMPLE_PER_CENTROID``
-   vectors a centroid). They alone are broadcast.
-2. Every such vector goes to the cluster of its nearest centroid (its home) and to the next
-   ``OVERLAP - 1`` nearest. A cluster of over ``MOST_NODES`` vectors, such as a large group of
-   near copies, is split by a hash of the id into shards of at most about that many.
+   count as equal) collapse to one node, which carries their number; only it is searched, and its cosines hold for all of them.
+1. Centroids: for each (label, dimension) about one a ``SHARD_VECTORS`` nodes, at most
+   ``MOST_CENTROIDS``, fitted by spherical k-means in a task of its own on a bounded sample
+   (``SAMPLE_PER_CENTROID`` nodes a centroid, at most ``MOST_SAMPLE``). Nodes meet the centroids of
+   their label in portions of ``PORTION``; nothing is broadcast and nothing passes the driver.
+2. Every node goes to the cluster of its nearest centroid (its home) and to the next
+   ``OVERLAP - 1`` nearest. A cluster of over ``MOST_NODES`` nodes, such as a large group of
+   near copies, is split by a hash of the node into shards of at most about that many.
 3. Each shard builds a graph: nearest candidates and some random ones, robust-pruned (a neighbour
    goes if it is ``ALPHA`` times nearer to a kept, closer neighbour), with reverse edges.
-4. A vector's adjacency lists from all its shards are united.
-5. Each vector searches every shard of its home cluster: a greedy beam search from the shard's medoids,
-   which then expands its range through all neighbours of found vectors until nothing new
-   lies within the radius. Vectors of a cluster search in blocks of at most ``MOST_NODES``.
+4. A node's adjacency lists from all its shards are united.
+5. Each node searches every shard of its home cluster: a greedy beam search from the shard's medoids,
+   which then expands its range through all neighbours of found nodes until nothing new
+   lies within the radius. Nodes of a cluster search in blocks of at most ``MOST_NODES``.
 6. Every pair returned has its cosine computed in double precision against the threshold. A block returns, for each
-   searching vector, how many it found (copies included), and a spanning forest of the links, never the pairs.
+   searching node, how many it found (copies included), and a spanning forest of the links, never the pairs.
 
 ``audit_recall`` compares n_links with brute force for a stated set of vectors.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and
 vectors without label, link with nothing and are kept; vectors of different dimensions do not
-link; rows repeating an id count once, by their least (label, vector). A null id is dropped from
-the graph and gets one row of its own. Only the three named columns are read.
+link; every row is a vector, also where ids repeat or are null (such a component's id is its least
+id, null where no member has one). Only the three named columns are read.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, save, table
+from .common import components, forget, release_memory, save, table
 
-SHARD_VECTORS, MOST_NODES, MOST_CENTROIDS, SAMPLE_PER_CENTROID = 500, 2048, 2048, 40
+SHARD_VECTORS, MOST_NODES, MOST_CENTROIDS, SAMPLE_PER_CENTROID, MOST_SAMPLE, PORTION = 500, 2048, 2048, 40, 20_000, 8192
 OVERLAP, DEGREE, CANDIDATES, RANDOM, ALPHA, BEAM = 4, 24, 64, 8, 1.2, 24
 GRID = 2.0**-44
 
@@ -48,7 +49,7 @@ def fit_centroids(sample: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     rng = np.random.default_rng(seed)
     c = sample[rng.choice(len(sample), min(k, len(sample)), replace=False)]
     for _ in range(4):
-        near = (sample @ c.T).argmax(axis=1)
+        near = np.concatenate([(sample[at : at + 2048] @ c.T).argmax(axis=1) for at in range(0, len(sample), 2048)])
         total = np.zeros_like(c)
         np.add.at(total, near, sample)
         size = np.linalg.norm(total, axis=1, keepdims=True)
@@ -177,20 +178,20 @@ def range_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, radius:
 def _build(pdf):
     import pandas as pd
 
-    ids, x = pdf["vec_id"].to_numpy(), unit(np.stack(pdf["vec"].to_numpy()))
+    ids, x = pdf["node"].to_numpy(), unit(np.stack(pdf["vec"].to_numpy()))
     graph = build_graph(x)
-    return pd.DataFrame({"vec_id": ids, "near": [ids[g[g >= 0]] for g in graph]})
+    return pd.DataFrame({"node": ids, "near": [ids[g[g >= 0]] for g in graph]})
 
 
 def _search(radius: float):
     def run(pdf):
         import pandas as pd
 
-        nodes, asks = pdf[~pdf["asks"]].sort_values("vec_id"), pdf[pdf["asks"]].sort_values("vec_id")
+        nodes, asks = pdf[~pdf["asks"]].sort_values("node"), pdf[pdf["asks"]].sort_values("node")
         if not len(nodes) or not len(asks):
-            return pd.DataFrame({"vec_id": [], "found": [], "root": []}).astype("int64")
-        ids, x = nodes["vec_id"].to_numpy(), unit(np.stack(nodes["vec"].to_numpy()))
-        q_ids, q = asks["vec_id"].to_numpy(), unit(np.stack(asks["vec"].to_numpy()))
+            return pd.DataFrame({"node": [], "found": [], "root": []}).astype("int64")
+        ids, x = nodes["node"].to_numpy(), unit(np.stack(nodes["vec"].to_numpy()))
+        q_ids, q = asks["node"].to_numpy(), unit(np.stack(asks["vec"].to_numpy()))
         lists = [np.asarray(v, np.int64) if v is not None else np.zeros(0, np.int64) for v in nodes["near"]]
         # United lists may name vectors of other shards; those are not here.
         flat = np.concatenate(lists)
@@ -221,104 +222,127 @@ def _search(radius: float):
                 break
             root = new
         touched = np.unique(np.concatenate([a, b]))
-        rows = pd.DataFrame({"vec_id": both[touched], "found": 0, "root": both[root[touched]]})
-        asked = pd.DataFrame({"vec_id": q_ids, "found": found, "root": both[root[np.searchsorted(both, q_ids)]]})
-        rows = rows[~rows["vec_id"].isin(q_ids)]
+        rows = pd.DataFrame({"node": both[touched], "found": 0, "root": both[root[touched]]})
+        asked = pd.DataFrame({"node": q_ids, "found": found, "root": both[root[np.searchsorted(both, q_ids)]]})
+        rows = rows[~rows["node"].isin(q_ids)]
         return pd.concat([asked, rows]).astype("int64")
 
     return run
 
 
+def _fit(pdf):
+    import pandas as pd
+
+    pdf = pdf.sort_values("node")
+    c = fit_centroids(unit(np.stack(pdf["vec"].to_numpy())), int(pdf["k"].iloc[0]))
+    release_memory()
+    return pd.DataFrame({"label": pdf["label"].iloc[0], "dim": pdf["dim"].iloc[0], "cluster": np.arange(len(c), dtype=np.int32), "centroid": list(c)})
+
+
+def _assign(nodes, centroids):
+    import pandas as pd
+
+    nodes = nodes.drop(columns="portion")
+    if len(nodes) and len(centroids):
+        c = np.stack(centroids.sort_values("cluster")["centroid"].to_numpy())
+        x = unit(np.stack(nodes["vec"].to_numpy()))
+        near = [np.argsort(-(x[at : at + 1024] @ c.T), axis=1, kind="stable")[:, :OVERLAP] for at in range(0, len(x), 1024)]
+        nodes["clusters"] = list(np.concatenate(near).astype(np.int32))
+    else:
+        nodes["clusters"] = pd.Series([[0]] * len(nodes), index=nodes.index)
+    release_memory()
+    return nodes
+
+
+def _nodes(good: DataFrame) -> DataFrame:
+    """(_a, _b, node, least_id, copies) of equal vectors: the node's number is its least id, or 63 bits of its digest below zero where it has none or another node has it."""
+    equal = save(good.groupBy("_a", "_b").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies")), "equal")
+    spare = F.col("_a").bitwiseOR(F.lit(-(1 << 63)))
+    twice = equal.where("least_id is not null").groupBy("least_id").agg(F.count("*").alias("n"), F.min(F.struct("_a", "_b")).alias("first")).where("n > 1").select(F.col("least_id").alias("_l"), "first")
+    if twice.isEmpty():
+        return equal.withColumn("node", F.coalesce("least_id", spare))
+    own = F.col("_l").isNull() | (F.col("first") == F.struct("_a", "_b"))
+    return equal.join(twice, F.col("least_id") == F.col("_l"), "left").withColumn("node", F.coalesce(F.when(own, F.col("least_id")), spare)).drop("_l", "first")
+
+
 def vector_links(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", least_cosine: float = 0.98) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept, and whether it could be compared."""
-    rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("vec"))
-    vectors = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min(F.struct("label", "vec")).alias("v")).select("vec_id", "v.label", "v.vec")
+    rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<double>").alias("vec"))
     fine = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    usable = F.coalesce(F.col("label").isNotNull() & fine & F.exists("vec", lambda v: v != 0), F.lit(False))
-    vectors = save(vectors.withColumn("usable", usable), "vectors")
-    good = vectors.where("usable").select("vec_id", F.col("label").cast("string").alias("label"), F.size("vec").alias("dim"), "vec")
+    rows = rows.withColumn("usable", F.coalesce(F.col("label").isNotNull() & fine & F.exists("vec", lambda v: v != 0), F.lit(False)))
     # Components of extreme size would overflow a norm; scaling by the largest leaves the cosine as it is.
-    good = good.withColumn("_largest", F.array_max(F.transform("vec", lambda v: F.abs(v))))
-    good = good.select("vec_id", "label", "dim", F.transform("vec", lambda v: v / F.col("_largest")).alias("vec"))
+    rows = rows.withColumn("_largest", F.when(F.col("usable"), F.array_max(F.transform("vec", lambda v: F.abs(v)))))
+    rows = rows.select("vec_id", "usable", "label", F.size("vec").alias("dim"), F.transform("vec", lambda v: v / F.col("_largest")).alias("vec"))
     grid = F.transform("vec", lambda v: F.rint(v / GRID).cast("long"))
-    good = good.withColumns({"_a": F.xxhash64("label", "dim", grid), "_b": F.xxhash64(F.lit(7), "label", "dim", grid)})
-    equal = save(good.groupBy("_a", "_b").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "equal")
-    good, every = good.drop("_a", "_b").join(equal.select("vec_id", "copies"), "vec_id"), good.select("vec_id", "_a", "_b")
-    plan, centroids = {}, []
-    groups = good.groupBy("label", "dim").count().collect()
-    for g in groups:
-        plan[g["label"], g["dim"]] = min(MOST_CENTROIDS, -(-g["count"] // SHARD_VECTORS))
-    many = {k: v for k, v in plan.items() if v > 1}
-    if many:
-        wanted = df.sparkSession.createDataFrame([(lab, dim, SAMPLE_PER_CENTROID * k / next(g["count"] for g in groups if (g["label"], g["dim"]) == (lab, dim))) for (lab, dim), k in many.items()], "label string, dim int, rate double")
-        draw = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-        sample = good.join(F.broadcast(wanted), ["label", "dim"]).where(draw < F.col("rate")).select("label", "dim", "vec_id", "vec").toPandas().sort_values("vec_id")
-        for (lab, dim), part in sample.groupby(["label", "dim"]):
-            centroids.append(((lab, int(dim)), fit_centroids(unit(np.stack(part["vec"].to_numpy())), many[lab, int(dim)])))
-    shared = df.sparkSession.sparkContext.broadcast(dict(centroids))
-
-    @F.pandas_udf("array<int>")
-    def clusters(labels, dims, vecs):
-        import pandas as pd
-
-        out = pd.Series([[0]] * len(vecs))
-        keys = pd.Series(list(zip(labels, dims)))
-        for k, at in keys.groupby(keys).groups.items():
-            c = shared.value.get(k)
-            if c is not None and len(c) > 1:
-                sim = unit(np.stack(vecs.iloc[list(at)].to_numpy())) @ c.T
-                near = np.argsort(-sim, axis=1, kind="stable")[:, :OVERLAP]
-                out.iloc[list(at)] = pd.Series(list(near.astype(np.int32)), index=list(at))
-        return out
-
-    placed = save(good.withColumn("clusters", clusters("label", "dim", "vec")), "placed")
-    spread = placed.select("vec_id", "copies", "label", "dim", "vec", F.posexplode("clusters").alias("rank", "cluster"))
+    keyed = {name: F.when(F.col("usable"), F.xxhash64(F.lit(seed), "label", "dim", grid)) for name, seed in (("_a", 3), ("_b", 7))}
+    rows = save(rows.withColumns(keyed), "vectors")
+    good = rows.where("usable")
+    equal = save(_nodes(good), "nodes")
+    every = rows.select("vec_id", "usable", "_a", "_b")
+    of_node = good.groupBy("_a", "_b").agg(F.first("label").alias("label"), F.first("dim").alias("dim"), F.first("vec").alias("vec"))
+    nodes = save(of_node.join(equal.select("_a", "_b", "node", "copies"), ["_a", "_b"]).select("node", "copies", "label", "dim", "vec"), "node-vectors")
+    wanted = F.least(F.lit(MOST_CENTROIDS), F.ceil(F.col("n") / SHARD_VECTORS)).cast("int")
+    groups = nodes.groupBy("label", "dim").agg(F.count("*").alias("n")).withColumns({"k": wanted, "portions": F.ceil(F.col("n") / PORTION).cast("int")})
+    groups = save(groups, "groups")
+    rate = F.least(F.lit(MOST_SAMPLE), F.col("k") * SAMPLE_PER_CENTROID) / F.col("n")
+    draw = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    sample = nodes.join(groups.where("k > 1"), ["label", "dim"]).where(draw < rate).select("label", "dim", "node", "vec", "k")
+    centroids = save(sample.groupBy("label", "dim").applyInPandas(_fit, "label string, dim int, cluster int, centroid array<double>"), "centroids")
+    dealt = centroids.join(groups.select("label", "dim", "portions"), ["label", "dim"]).withColumn("portion", F.explode(F.sequence(F.lit(0), F.col("portions") - 1))).drop("portions")
+    portioned = nodes.join(groups.select("label", "dim", "portions"), ["label", "dim"]).withColumn("portion", F.pmod(F.xxhash64("node", F.lit(9)), F.col("portions")).cast("int")).drop("portions")
+    by = ["label", "dim", "portion"]
+    placed = portioned.select("node", "copies", "label", "dim", "vec", "portion").groupBy(*by).cogroup(dealt.groupBy(*by)).applyInPandas(_assign, "node long, copies long, label string, dim int, vec array<double>, clusters array<int>")
+    placed = save(placed, "placed")
+    spread = placed.select("node", "copies", "label", "dim", "vec", F.posexplode("clusters").alias("rank", "cluster"))
     sizes = spread.groupBy("label", "dim", "cluster").agg(F.count("*").alias("members"), F.count(F.when(F.col("rank") == 0, 1)).alias("home"))
     cut = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / MOST_NODES)).cast("int")
-    sizes = save(sizes.select(F.col("label").alias("l"), F.col("dim").alias("m"), F.col("cluster").alias("c"), cut("members").alias("shards"), cut("home").alias("blocks")), "clusters")
-    spread = spread.join(F.broadcast(sizes) if len(groups) <= 1000 else sizes, (F.col("label") == F.col("l")) & (F.col("dim") == F.col("m")) & (F.col("cluster") == F.col("c"))).drop("l", "m", "c")
-    nodes = spread.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
-    near = nodes.groupBy("label", "dim", "cluster", "shard").applyInPandas(_build, "vec_id long, near array<long>")
-    united = save(near.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    nodes = nodes.join(united, "vec_id").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
-    asks = spread.where("rank = 0").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col("blocks")).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    sizes = save(sizes.select("label", "dim", "cluster", cut("members").alias("shards"), cut("home").alias("blocks")), "clusters")
+    spread = spread.join(sizes, ["label", "dim", "cluster"])
+    members = spread.withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
+    near = members.groupBy("label", "dim", "cluster", "shard").applyInPandas(_build, "node long, near array<long>")
+    united = save(near.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
+    members = members.join(united, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False))
+    asks = spread.where("rank = 0").withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     asks = asks.withColumns({"asks": F.lit(True), "near": F.lit(None).cast("array<long>")})
-    columns = ["label", "dim", "cluster", "shard", "block", "vec_id", "copies", "vec", "near", "asks"]
-    got = nodes.select(*columns).union(asks.select(*columns)).groupBy("label", "dim", "cluster", "shard", "block").applyInPandas(_search(least_cosine), "vec_id long, found long, root long")
+    columns = ["label", "dim", "cluster", "shard", "block", "node", "copies", "vec", "near", "asks"]
+    got = members.select(*columns).union(asks.select(*columns)).groupBy("label", "dim", "cluster", "shard", "block").applyInPandas(_search(least_cosine), "node long, found long, root long")
     got = save(got, "found")
-    links = got.groupBy("vec_id").agg(F.sum("found").alias("n_links"))
-    label_of = components(got.where("vec_id <> root").select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    least = equal.join(links, "vec_id", "left").join(label_of.select(F.col("id").alias("vec_id"), "component_id"), "vec_id", "left")
-    least = least.select("_a", "_b", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    out = vectors.select("vec_id", "usable").join(every.join(least, ["_a", "_b"]).drop("_a", "_b"), "vec_id", "left")
+    links = got.groupBy("node").agg(F.sum("found").alias("n_links"))
+    label_of = save(components(got.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))), "labels")
+    least = equal.join(links, "node", "left").join(label_of.select(F.col("id").alias("node"), "component_id"), "node", "left").withColumn("component", F.coalesce("component_id", "node"))
+    least = save(least.select("_a", "_b", "least_id", "component", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "linked")
+    named = least.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    of_class = save(least.join(named, "component").select("_a", "_b", "n_links", "component_id"), "classes")
+    forget(nodes, groups, centroids, placed, sizes, united, got, label_of, least, equal)
+    out = every.join(of_class, ["_a", "_b"], "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"), "usable")
-    nameless = rows.where("vec_id is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(False).alias("usable"))
-    return out.union(nameless).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"), "usable")
+    return out.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"), "usable")
 
 
-def audit_recall(df: DataFrame, found: DataFrame, every: int = 50, key: str = "vec_id", vector: str = "embedding", label: str = "label", least_cosine: float = 0.98) -> tuple[int, int]:
+def audit_recall(df: DataFrame, found: DataFrame, every: int = 50, key: str = "vec_id", vector: str = "embedding", label: str = "label", least_cosine: float = 0.98, portion: int = PORTION) -> tuple[int, int]:
     """(links found, links there are) of the vectors whose id is divisible by ``every``, against brute force over all rows.
 
-    The checked vectors are broadcast in pieces of at most 20,000 to a scan of the table.
+    Stated vectors and rows meet in portions of at most about ``portion`` a side of one (label, dimension); only counts come back.
     """
-    rows = df.select(F.col(key).alias("vec_id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("vec")).where("label is not null and vec is not null")
-    picked = rows.where(F.col("vec_id") % every == 0).toPandas()
-    there = 0
-    for at in range(0, len(picked), 20_000):
-        part = picked.iloc[at : at + 20_000]
-        shared = df.sparkSession.sparkContext.broadcast((part["vec_id"].to_numpy(), part["label"].to_numpy(), unit(np.stack(part["vec"].to_numpy()))))
-
-        def count(batches):
-            import pandas as pd
-
-            ids, labels, x = shared.value
-            for pdf in batches:
-                if len(pdf):
-                    sim = unit(np.stack(pdf["vec"].to_numpy())) @ x.T >= least_cosine
-                    sim &= (pdf["label"].to_numpy()[:, None] == labels) & (pdf["vec_id"].to_numpy()[:, None] != ids)
-                    yield pd.DataFrame({"n": [int(sim.sum())]})
-
-        there += rows.mapInPandas(count, "n long").agg(F.sum("n")).first()[0] or 0
+    rows = df.select(F.col(key).alias("vec_id"), F.col(label).cast("string").alias("label"), F.size(vector).alias("dim"), F.col(vector).cast("array<double>").alias("vec")).where("label is not null and vec is not null and dim > 0")
+    picked = F.col("vec_id") % every == 0
+    groups = rows.groupBy("label", "dim").agg(F.ceil(F.count("*") / portion).cast("int").alias("parts"), F.greatest(F.lit(1), F.ceil(F.count(F.when(picked, 1)) / portion)).cast("int").alias("asks"))
+    rows = rows.join(groups, ["label", "dim"]).withColumns({"part": F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"), "ask": F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col("asks")).cast("int")})
+    every_row = rows.withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1))).select("label", "dim", "part", "ask", "vec_id", "vec")
+    asked = rows.where(picked).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*[F.col(c).alias(f"q_{c}") for c in ("label", "dim", "part", "ask", "vec_id", "vec")])
+    by = ["label", "dim", "part", "ask"]
+
+    def count(one, two):
+        import pandas as pd
+
+        n = 0
+        if len(one) and len(two):
+            ids, x, y = one["vec_id"].to_numpy(), unit(np.stack(one["vec"].to_numpy())), unit(np.stack(two["q_vec"].to_numpy()))
+            for at in range(0, len(y), 512):
+                n += int(((y[at : at + 512] @ x.T >= least_cosine) & (two["q_vec_id"].to_numpy()[at : at + 512, None] != ids)).sum())
+        return pd.DataFrame({"n": [n]})
+
+    there = every_row.groupBy(*by).cogroup(asked.groupBy(*[f"q_{c}" for c in by])).applyInPandas(count, "n long").agg(F.sum("n")).first()[0] or 0
     got = found.where(F.col("vec_id") % every == 0).agg(F.sum("n_links")).first()[0] or 0
     return got, there
 

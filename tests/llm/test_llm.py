@@ -82,8 +82,12 @@ def test_vectors_against_brute_force(spark):
     want = link.sum(axis=1)
     assert sum(got[i][0] for i in range(700)) >= 0.99 * want.sum() and all(got[i][0] <= want[i] for i in range(700))
     assert got[0][1] == 0 and got[6][1] == 0 and got[3][1] == 3
-    assert all(got[i] == (0, i, True) for i in range(1000, 1007))
-    good = df.where("vec_id < 700")
+    assert all(got[i] == (0, i, True) for i in range(1000, 1006)) and got[1006] == (1, 1006, True) and got[None] == (1, 1006, False)
+    again = [(1, rows[0][1], 0), (1, rows[0][1], None), (2, rows[0][1], 0), (2, rows[1][1], 0), (None, rows[0][1], 0)]
+    more = sorted(((r.vec_id, r.n_links, r.component_id) for r in flat_graph.vector_links(spark.createDataFrame(again, df.drop("n_links").schema)).collect()), key=repr)
+    assert more == sorted([(1, 2, 1), (1, 0, 1), (2, 2, 1), (2, 0, 2), (None, 2, 1)], key=repr)
+    assert flat_graph.vector_links(df.limit(0)).count() == 0
+    good = df.where("vec_id < 700 or vec_id = 1006")
     a, b = flat_graph.audit_recall(good, found)
     assert a >= 0.9 * b > 0
 
@@ -100,6 +104,22 @@ def test_identical_vectors_all_link(spark):
     assert got == want
 
 
+def test_many_clusters_and_a_hot_one(spark):
+    """6,000 vectors of one label: several clusters, one of them over a shard's bound; links of ids divisible by 50 against brute force."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 12))
+    x = np.concatenate([centres[rng.integers(0, 40, 3400)] + 0.12 * rng.normal(size=(3400, 12)), centres[0] + 0.05 * rng.normal(size=(2600, 12))])
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = flat_graph.vector_links(df).persist()
+    a, b = flat_graph.audit_recall(df, found)
+    u = flat_graph.unit(x)
+    link = u @ u.T >= 0.98
+    np.fill_diagonal(link, False)
+    assert b == link[::50].sum() and b >= a >= 0.9 * b > 0
+    got = {r.vec_id: r.n_links for r in found.collect()}
+    assert all(got[i] <= n for i, n in enumerate(link.sum(axis=1)))
+
+
 def test_graph_is_pruned_and_searched():
     x = flat_graph.unit(np.random.default_rng(2).normal(size=(300, 8)))
     g = flat_graph.build_graph(x)
