@@ -6,7 +6,7 @@ times what it has; a source's blocks go to its shards the same way, by shard siz
 shard, documents stand in seeded order; whole epochs take every block, and the rest of the
 quota takes consecutive blocks of that order from a seeded place, round the end.
 
-Only one row a source and shard reaches the driver: at most ``most_shards`` and one more a
+One row a source and shard reaches the driver, and no text passes the window: at most ``most_shards`` and one more a
 source. A shard holds about ``shard_tokens`` tokens, or more where that bound asks for it, so a
 hot source has many shards and no window is larger than a shard.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, table
+from .common import WORD, save, table
 
 BLOCK_TOKENS = 16
 SHARD_TOKENS = 50_000
@@ -86,11 +86,21 @@ def order_key(key: str, text: str, seed: int):
     return F.xxhash64(F.lit(seed), F.col(key).cast("string"), F.col(text))
 
 
+def sized(df: DataFrame, text: str = "text", key: str = "doc_id", seed: int = 7) -> DataFrame:
+    """All columns with size, and the seeded ``_order``, ``_deal`` and ``_tie`` that place a row; the text itself is no longer needed."""
+    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    return df.withColumns({"size": size, "_order": order_key(key, text, seed), "_deal": order_key(key, text, seed + 1), "_tie": order_key(key, text, seed + 2)})
+
+
 def mix(df: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", weights=WEIGHTS, most_epochs: int = 3, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, most_shards: int = MOST_SHARDS, seed: int = 7) -> DataFrame:
     """All columns with size, source_size, target and taken (tokens of the row that the mix takes, repeats counted)."""
+    kept = [c for c in df.columns if c not in ("size", "source_size", "target", "taken")]
+    return mix_sized(sized(df, text, key, seed), source, key, weights, most_epochs, block_tokens, shard_tokens, most_shards, seed).select(*kept, "size", "source_size", "target", "taken")
+
+
+def mix_sized(df: DataFrame, source: str = "source", key: str = "doc_id", weights=WEIGHTS, most_epochs: int = 3, block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, most_shards: int = MOST_SHARDS, seed: int = 7) -> DataFrame:
+    """:func:`mix` of rows that :func:`sized` has measured."""
     spark = df.sparkSession
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    df = df.withColumn("size", size)
     by_source = [(r[0], r[1]) for r in df.groupBy(F.col(source)).agg(F.sum("size")).collect()]
     by_source.sort(key=lambda r: (r[0] is None, r[0] or ""))
     sizes = [s for _, s in by_source]
@@ -99,9 +109,8 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", key: str = "d
     shard_tokens = max(shard_tokens, -(-sum(sizes) // most_shards))
     n_shards = [max(1, -(-s // shard_tokens)) for s in sizes]
     plan = spark.createDataFrame([(name, i, n, s, t) for i, ((name, s), n, t) in enumerate(zip(by_source, n_shards, share))], "_source string, _i int, _n int, source_size long, target double")
-    order = order_key(key, text, seed)
     rows = df.drop("source_size", "target", "taken").join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("_source")))
-    rows = rows.withColumns({"_order": order, "_shard": F.pmod(order_key(key, text, seed + 1), F.col("_n")).cast("int")})
+    rows = rows.withColumn("_shard", F.pmod(F.col("_deal"), F.col("_n")).cast("int"))
     shards: dict[int, list] = {}
     for r in rows.groupBy("_i", "_shard").agg(F.sum("size").alias("s")).collect():
         shards.setdefault(r["_i"], []).append((r["_shard"], r["s"]))
@@ -118,7 +127,7 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", key: str = "d
             quotas.append((i, shard, s, whole, rest, start))
     quota = spark.createDataFrame(quotas, "_qi int, _qs int, _total long, _whole long, _rest long, _start long")
     rows = rows.join(F.broadcast(quota), (F.col("_i") == F.col("_qi")) & (F.col("_shard") == F.col("_qs")))
-    w_shard = W.partitionBy("_i", "_shard").orderBy("_order", F.col(key), F.col(text)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    w_shard = W.partitionBy("_i", "_shard").orderBy("_order", F.col(key), "_tie").rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("_end", F.sum("size").over(w_shard)).withColumn("_begin", F.col("_end") - F.col("size"))
 
     def overlap(a, b):
@@ -127,7 +136,7 @@ def mix(df: DataFrame, source: str = "source", text: str = "text", key: str = "d
     first = overlap(F.col("_start"), F.least(F.col("_start") + F.col("_rest"), F.col("_total")))
     wrapped = overlap(F.lit(0), F.col("_start") + F.col("_rest") - F.col("_total"))
     taken = F.col("_whole") * F.col("size") + first + wrapped
-    return rows.withColumn("taken", taken.cast("long")).select(*df.drop("source_size", "target", "taken").columns, "source_size", "target", "taken")
+    return rows.withColumn("taken", taken.cast("long")).drop("_source", "_i", "_n", "_shard", "_qi", "_qs", "_total", "_whole", "_rest", "_start", "_end", "_begin")
 
 
 def repeat_documents(mixed: DataFrame) -> DataFrame:
@@ -138,10 +147,14 @@ def repeat_documents(mixed: DataFrame) -> DataFrame:
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 5, 2, 1 by source."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    docs = save(sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"), "sizes")
+    return mix_sized(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: whole documents, each as often as the mix of sources takes it (also never)."""
+    """Pipeline stage: whole documents, each as often as the mix of sources takes it (also never).
+
+    Documents without words are never taken; a null source is a source of its own; rows repeating an id or
+    all of a document are documents of their own; an empty table stays empty; other columns pass through.
+    """
     return repeat_documents(mix(docs)).select(*docs.columns)
