@@ -24,24 +24,41 @@ def compatible(rows: DataFrame, allowed_stop: str | None = None) -> DataFrame:
     start, lens, starts, strand = F.col("start"), F.col("block_lens"), F.col("block_starts"), F.col("strand")
     entry = F.when(minus, F.col("toga_stop")).otherwise(F.col("toga_start"))
     inside = B.in_block(F.when(minus, F.col("toga_stop")).otherwise(F.col("toga_start") + 1), start, F.col("stop"), lens, starts)
-    rows = rows.withColumn("_from", B.genomic_to_sequence(entry, start, lens, starts, strand).cast("int"))
-    stops = F.when(F.col("_from") >= 0, S.stop_positions(F.col("seq"), F.col("_from")))
-    rows = rows.withColumn("_stops", stops)
-    s = F.col("_stops")
-    if allowed_stop is None:
-        last = F.when(F.size(s) >= 2, F.get(s, F.lit(1))).otherwise(F.get(s, F.size(s) - 1))
-    else:
+    first = B.genomic_to_sequence(entry, start, lens, starts, strand).cast("int")
+
+    def ending(s):
+        if allowed_stop is None:
+            return F.when(F.size(s) >= 2, F.get(s, F.lit(1))).otherwise(F.get(s, F.size(s) - 1))
         permitted = F.col(allowed_stop)
         # On +: the permitted one aside, the second stop ends the scan. On -: the first is tolerated, then the permitted one.
         others = F.filter(s, lambda i: i != permitted)
-        plus_end = F.get(others, F.lit(1))
         after = F.filter(F.slice(s, F.lit(2), F.greatest(F.size(s) - 1, F.lit(0))), lambda i: i != permitted)
-        end = F.when(minus, F.get(after, F.lit(0))).otherwise(plus_end)
-        last = F.coalesce(end, F.get(s, F.size(s) - 1))
-    rows = rows.withColumn("_last", last.cast("long"))
-    edge = B.sequence_to_genomic(F.col("_last"), start, lens, starts, strand)
-    fits = F.when(minus, edge - 3 == F.col("toga_start")).otherwise(edge + 3 == F.col("toga_stop"))
-    return rows.withColumn("compatible", F.coalesce(inside & fits, F.lit(False))).drop("_from", "_stops", "_last")
+        end = F.when(minus, F.get(after, F.lit(0))).otherwise(F.get(others, F.lit(1)))
+        return F.coalesce(end, F.get(s, F.size(s) - 1))
+
+    # Each step is bound once: the next ones use it several times.
+    stops = _bound(first, lambda at: F.when(at >= 0, S.stop_positions(F.col("seq"), at)))
+    last = _bound(stops, lambda s: ending(s).cast("long"))
+    edge = _bound(last, lambda k: B.sequence_to_genomic(k, start, lens, starts, strand))
+    fits = _bound(edge, lambda e: F.when(minus, e - 3 == F.col("toga_start")).otherwise(e + 3 == F.col("toga_stop")))
+    return rows.withColumn("compatible", F.coalesce(inside & fits, F.lit(False)))
+
+
+def _bound(value, use):
+    """``use`` of a value that is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def candidates(transcripts: DataFrame, projections: DataFrame, sequences: DataFrame, allowed_stop: str | None = None) -> DataFrame:
+    """Projections with their transcript's blocks and sequence, and whether they fit (``compatible``).
+
+    transcripts: BED12 columns, the name being canonical_id. projections: canonical_id, toga_id, toga_label,
+    toga_pid, toga_start, toga_stop, toga_coords (and more). sequences: id (canonical_id), seq. Projections
+    without transcript or sequence are left out.
+    """
+    blocks = transcripts.select(F.col("name").alias("_name"), "start", "stop", "strand", "block_lens", "block_starts")
+    rows = projections.join(blocks, F.col("canonical_id") == F.col("_name")).join(sequences.select(F.col("id").alias("_id"), "seq"), F.col("canonical_id") == F.col("_id"))
+    return compatible(rows, allowed_stop).drop("_name", "_id", "start", "stop", "strand", "block_lens", "block_starts", "seq")
 
 
 def overrule_low_scores(predictions: DataFrame, candidates: DataFrame, threshold: float = 0.03) -> DataFrame:

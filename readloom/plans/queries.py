@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import blocks as B
@@ -408,24 +409,91 @@ def class_colours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("tx", "coords", selection.colour(F.col("p"), 0.3).alias("rgb"), selection.colour(F.col("p"), 0.3, F.col("tx") % 2 == 0).alias("labelled"))
 
 
-@query("""SELECT canonical_id, coords AS genomic_coords, toga_id, toga_label, (p * 100) / 100 AS class1_probability, true AS toga_overrule FROM (
-  SELECT *, row_number() OVER (PARTITION BY canonical_id, toga_label ORDER BY p * 100 DESC, toga_id) AS k FROM (
-    SELECT tx AS canonical_id, coords, 't' || coords AS toga_id, CASE exon_no % 3 WHEN 0 THEN 'FI' WHEN 1 THEN 'I' ELSE 'PI' END AS toga_label, p, exon_no, max(p / 20) OVER (PARTITION BY tx) AS best FROM fx_pred)
-  WHERE best <= 0.03e0 AND exon_no % 2 = 0) WHERE k = 1""")
+def _projections(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Transcripts, three projections of each, and sequences with two in-frame stops; a projection ends at the second one or a base beside it."""
+    t = X.transcripts(spark, sf_dir)
+    own = W.partitionBy("tx")
+    e = X.exons(spark, sf_dir).withColumns({"exonic": F.sum("len").over(own), "before": F.coalesce(F.sum("len").over(own.orderBy("exon_no").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))})
+    stop1, stop2 = F.floor(F.col("exonic") / 12) * 3, F.floor(F.col("exonic") / 6) * 3 + 3
+    k = F.when(F.col("strand") == "-", F.col("exonic") - stop2).otherwise(stop2)
+    ends = e.where((k > F.col("before")) & (k <= F.col("before") + F.col("len"))).select("tx", (F.col("s") + k - F.col("before")).alias("at"))
+    size = F.aggregate("block_lens", F.lit(0).cast("long"), lambda n, x: n + x)
+    sized = t.select("tx", "name", size.alias("exonic"))
+    seq = F.concat(F.repeat(F.lit("C"), stop1.cast("int")), F.lit("TAA"), F.repeat(F.lit("G"), (stop2 - stop1 - 3).cast("int")), F.lit("TGA"), F.repeat(F.lit("C"), (F.col("exonic") - stop2 - 3).cast("int")))
+    v = t.select("tx", "name", "chrom", "start", "stop", "strand", F.explode(F.array(*map(F.lit, range(3)))).alias("v")).join(ends, "tx")
+    minus, beside = F.col("strand") == "-", F.when((F.col("tx") + F.col("v")) % 3 == 0, 1).otherwise(0)
+    v = v.withColumns({"toga_start": F.when(minus, F.col("at") - 3 + beside).otherwise(F.col("start")), "toga_stop": F.when(minus, F.col("stop")).otherwise(F.col("at") + 3 + beside)})
+    rows = v.select(
+        F.col("name").alias("canonical_id"),
+        F.concat_ws("_", F.lit("t"), "tx", "v").alias("toga_id"),
+        F.when(F.col("v") % 2 == 0, "FI").otherwise("I").alias("toga_label"),
+        (F.lit(50.0) + (F.col("tx") * 7 + F.col("v") * 13) % 50).alias("toga_pid"),
+        ((F.col("tx") + F.col("v")) % 4 != 0).alias("toga_masked"),
+        "toga_start",
+        "toga_stop",
+        S.coordinates(F.col("chrom"), F.col("toga_start"), F.col("toga_stop"), F.col("strand")).alias("toga_coords"),
+    )
+    return t, rows, sized.select(F.col("name").alias("id"), seq.alias("seq"))
+
+
+_PROJECTIONS = """, ended AS (
+  SELECT tx, chrom, strand, s + k - before AS edge FROM (SELECT *, CASE WHEN strand = '-' THEN exonic - (exonic // 6 * 3 + 3) ELSE exonic // 6 * 3 + 3 END AS k FROM fx_cum) WHERE k > before AND k <= before + len
+), projected AS (
+  SELECT t.tx, v, t.chrom, t.strand, CASE WHEN v % 2 = 0 THEN 'FI' ELSE 'I' END AS label, 50.0e0 + (t.tx * 7 + v * 13) % 50 AS pid, (t.tx + v) % 4 <> 0 AS masked, (t.tx + v) % 3 <> 0 AS fits,
+    CASE WHEN t.strand = '-' THEN edge - 3 + CASE WHEN (t.tx + v) % 3 = 0 THEN 1 ELSE 0 END ELSE t.s END AS b, CASE WHEN t.strand = '-' THEN t.e ELSE edge + 3 + CASE WHEN (t.tx + v) % 3 = 0 THEN 1 ELSE 0 END END AS f
+  FROM fx_tx t JOIN ended USING (tx), (SELECT unnest(range(3)) AS v)
+), candidates AS (
+  SELECT *, CAST(tx AS VARCHAR) AS canonical_id, 't_' || tx || '_' || v AS toga_id, concat_ws('|', chrom, CAST(b AS VARCHAR), CAST(f AS VARCHAR), strand) AS coords FROM projected
+)
+"""
+_CHOSEN = "SELECT canonical_id, coords AS genomic_coords, toga_id, label AS toga_label, pid / 100 AS class1_probability, true AS toga_overrule FROM (SELECT *, row_number() OVER (PARTITION BY canonical_id, label ORDER BY pid DESC, toga_id) AS k FROM candidates WHERE fits AND {where}) WHERE k = 1"
+
+
+@query(_PROJECTIONS + "SELECT canonical_id, toga_id, fits AS compatible FROM candidates")
+def compatible_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overrules.candidates(*_projections(spark, sf_dir)).select("canonical_id", "toga_id", "compatible")
+
+
+@query(_PROJECTIONS + _CHOSEN.format(where="tx % 10 <= 6"))
 def overrule_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type A on transcripts scored low, with candidates of random compatibility."""
-    p = X.predictions(spark, sf_dir)
-    scored = p.select(F.col("tx").alias("canonical_id"), F.col("coords").alias("genomic_coords"), (F.col("p") / 20).alias("class1_probability"))
-    label = F.element_at(F.array(F.lit("FI"), F.lit("I"), F.lit("PI")), (F.col("exon_no") % 3 + 1).cast("int"))
-    candidates = p.select(F.col("tx").alias("canonical_id"), F.concat(F.lit("t"), "coords").alias("toga_id"), label.alias("toga_label"), (F.col("p") * 100).alias("toga_pid"), F.col("coords").alias("toga_coords"), (F.col("exon_no") % 2 == 0).alias("compatible"))
-    return overrules.overrule_low_scores(scored, candidates)
+    """Type A: of transcripts scored low, per label the fitting projection of highest identity."""
+    t, projections, sequences = _projections(spark, sf_dir)
+    scored = t.select(F.col("name").alias("canonical_id"), S.coordinates(F.col("chrom"), F.col("start"), F.col("stop"), F.col("strand")).alias("genomic_coords"), ((F.col("tx") % 10) / 200).alias("class1_probability"))
+    return overrules.overrule_low_scores(scored, overrules.candidates(t, projections, sequences))
+
+
+def _masked(spark: SparkSession, sf_dir: str, any_masked: bool) -> DataFrame:
+    t, projections, sequences = _projections(spark, sf_dir)
+    found = overrules.candidates(t, projections, sequences)
+    best = projections.where(F.col("toga_id").endswith("_1")).select("canonical_id", F.col("toga_coords").alias("genomic_coords"), F.lit(0.9).alias("class1_probability"))
+    return overrules.overrule_masked(best.union(best.select("canonical_id", F.lit("other"), F.lit(0.1))), found, any_masked)
+
+
+_BEST = "coords <> (SELECT min(o.coords) FROM candidates o WHERE o.tx = candidates.tx AND o.v = 1) AND (tx, label) IN (SELECT (tx, label) FROM candidates GROUP BY tx, label HAVING {masked}(masked))"
+
+
+@query(_PROJECTIONS + _CHOSEN.format(where=_BEST.format(masked="bool_and")))
+def overrule_all_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type B: labels whose projections are all masked, where the best scored frame is another one."""
+    return _masked(spark, sf_dir, False)
+
+
+@query(_PROJECTIONS + _CHOSEN.format(where=_BEST.format(masked="bool_or")))
+def overrule_any_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masked(spark, sf_dir, True)
 
 
 @query()
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames scored by a forest trained on every fifth transcript's evidence."""
-    h = X.hits(spark, sf_dir)
-    frame = h.select("qid", "ln", F.col("pid").alias("blast_pid"), F.col("log10_e").alias("blast_e-value"), (F.col("sstart") - F.col("qstart")).alias("blast_offset"), ((F.col("qend") - F.col("qstart")) / 100).alias("blast_percentage_aligned"), *[(F.col("sid") % (7 + i)).alias(c) for i, c in enumerate(scoring.FEATURES[4:])])
-    label = ((F.col("blast_pid") > 75) & (F.col("blast_offset") < 10)).cast("double")
+    """Frames scored by a forest trained on every fifth transcript: hits against predictions and projections of the same frame."""
+    h = evidence.hit_metrics(X.hits(spark, sf_dir), X.transcripts(spark, sf_dir).select(F.col("tx").alias("id"), B.total(F.col("block_lens")).alias("length")))
+    h = h.select("qid", "ln", F.col("pid").alias("blast_pid"), F.col("log10_e").alias("blast_e-value"), F.col("offset").alias("blast_offset"), F.col("percentage_aligned").alias("blast_percentage_aligned"))
+    p = X.predictions(spark, sf_dir).select(F.col("tx").alias("qid"), (F.col("exon_no") + 1).alias("ln"), "p", F.col("coords"))
+    frame = h.join(p, ["qid", "ln"], "left").na.fill(0.0)
+    over = X.exons(spark, sf_dir).select(F.col("tx").alias("qid"), (F.col("exon_no") + 1).alias("ln"), "len", "gap")
+    frame = frame.join(over, ["qid", "ln"], "left").na.fill(0)
+    rest = {c: x for c, x in zip(scoring.FEATURES[4:], (F.col("p"), 1 - F.col("p"), F.col("len"), F.col("gap"), F.col("len") / (F.col("len") + F.col("gap") + 1)))}
+    frame = frame.withColumns(rest)
+    label = ((F.col("blast_pid") > 75) & (F.col("p") > 0.4)).cast("double")
     model = scoring.train(frame.where(F.col("qid") % 5 == 0).withColumn("label", label), "label", trees=8, depth=4)
     return scoring.score(frame, model).select("qid", "ln", "class1_probability")
