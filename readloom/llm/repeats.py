@@ -249,9 +249,10 @@ def _level(source: DataFrame, length: int, gram: int, bucket_bytes: int, piece_b
     """Marks of the windows of ``source(doc, th, base, raw)`` as far as one level of k-grams decides them, and the segments it leaves to the next."""
     cuts = source.select("doc", "th", "base", "raw").mapInArrow(tidy(_cut(length, gram, piece_bytes)), "anchor long, content long, doc long, th long, base int, start int, n int")
     cuts = save(cuts, "cuts")
-    shared = cuts.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written first, so that the join below may split what it reads of a hot anchor.
+    shared = save(cuts.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     rows = save(cuts.join(shared, "anchor", "left_semi").withColumn("at", F.col("base") + F.col("start")), "segments")
-    forget(cuts)
+    forget(cuts, shared)
     place = F.struct("doc", "th", "at")
     first = rows.groupBy("anchor", "content").agg(F.min(F.struct("doc", "th", "at", "base", "start")).alias("first"), F.first("n").alias("n"), F.count("*").alias("copies"))
     first = save(first, "firsts")
