@@ -4,6 +4,11 @@ Each stage works on all that its predecessor kept, and its decisions take effect
 documents go, one document of each near-duplicate group stays, repeated passages are cut out,
 documents are dropped or repeated to meet the sources' weights, and the rest is encoded.
 All but the last stage return the columns they were given.
+
+Defined results: documents with null or empty texts, or texts without a letter, leave at the first stage; a null id is an
+id of its own that comes first; rows repeating an id are told apart by their texts, and of rows equal in both one
+stays; ties go to the least id; a null source is a source of its own; columns beyond those of documents pass
+through up to the last stage, whatever their names; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from readloom.llm.bpe import encode_stage
-from readloom.llm.common import save, table
+from readloom.llm.common import forget, save, table
 from readloom.llm.language_id import keep_identified
 from readloom.llm.minhash import keep_one_of_each
 from readloom.llm.mixing import mix_stage
@@ -46,10 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to ``documents``; each stage's rows are written and read again."""
+    """Apply STAGES to ``documents``; each stage's rows are written, read again, and deleted when the next stage's are there."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = save(docs, name)
-    return docs
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, save(stage(spark, docs, sf_dir), name)
+        if k:
+            forget(before)
+    return STAGES[-1][1](spark, docs, sf_dir)

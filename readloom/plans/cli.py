@@ -29,6 +29,12 @@ def main(argv: list[str] | None = None, runners: dict | None = None) -> list[str
     config = Config.read(args.config)
     choice = {k: getattr(args, k) for k in ("first", "last", "only", "skip")} if args.command == "run-step" else {}
     config.select(**choice)
+    if runners is None and not args.dry_run:
+        from pyspark.sql import SparkSession
+
+        from .runners import runners as own
+
+        runners = own(SparkSession.builder.appName("readloom").getOrCreate())
     said = run_steps(config, runners or {}, config.run_folder(args.output), args.dry_run)
     print("\n".join(said))
     return said

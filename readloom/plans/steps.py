@@ -69,6 +69,6 @@ def run_steps(config: Config, runners: dict[Step, Callable], run_folder: str, dr
         if dry_run:
             continue
         if step not in runners:
-            raise NotImplementedError(f"no runner for step {step.label}")
+            raise ValueError(f"step {step.label} is an external program: give it a runner, or leave it out")
         runners[step](config, before, after)
     return said

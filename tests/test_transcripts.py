@@ -263,7 +263,7 @@ def test_steps_and_config(tmp_path):
     (tmp_path / "c.toml").write_text(text)
     said = main(["run-step", "--config", str(tmp_path / "c.toml"), "--only", "6", "--dry-run"])
     assert len(said) == 1 and said[0].startswith("6 polya")
-    with pytest.raises(NotImplementedError):
+    with pytest.raises(ValueError):
         main(["run", "--config", str(tmp_path / "c.toml")])
 
 
@@ -374,3 +374,39 @@ def test_correction_of_all_internal_exons(spark, sf_dir):
     assert sorted(map(tuple, got)) == sorted(candidates) and any(c[1] for c in candidates)
     assert sorted(map(tuple, Q.cigar_extend(spark, sf_dir).collect())) == sorted(rows)
     assert len({r[0] for r in rows}) == len(inner)
+
+
+def test_cli_runs_the_tail_step(spark, tmp_path):
+    """SAM, annotation and genome as files; the corrected read is where brute force puts it."""
+    from readloom.plans import cli, runners
+
+    genome = "".join("ACGT"[(i * i + i // 3) % 4] for i in range(600))
+    exons = [(100, 200), (300, 360), (400, 480)]
+    (tmp_path / "g.fa").write_text(f">chr1 x\n{genome}\n")
+    blocks = ",".join(str(b - a) for a, b in exons), ",".join(str(a - 100) for a, _ in exons)
+    (tmp_path / "a.bed").write_text(f"chr1\t100\t480\ttx1\t0\t+\t100\t480\t0\t3\t{blocks[0]}\t{blocks[1]}\n")
+    clip = genome[400:412]
+    seq = genome[300:360] + clip + "A" * 8
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/x.sam").write_text(f"@SQ\tSN:chr1\tLN:600\nr1\t0\tchr1\t301\t60\t60=20S\t*\t0\t0\t{seq}\t*\n")
+    config = tmp_path / "c.toml"
+    config.write_text(f'[global]\ninput_dir = "{tmp_path}/in"\n[params.polya]\nannotation = "{tmp_path}/a.bed"\ngenome = "{tmp_path}/g.fa"\n')
+    chosen = runners.runners(spark)
+    step = {runners.Step.POLYA: lambda c, before, after: chosen[runners.Step.POLYA](c, f"{tmp_path}/in", after)}
+    said = cli.main(["run-step", "--config", str(config), "--output", str(tmp_path / "out"), "--only", "polya"], step)
+    folder = said[0].split(" -> ")[1]
+    got = [r.value.split("\t") for r in spark.read.text(f"{folder}/sam").collect()]
+    assert [(r[3], r[5]) for r in got] == [("301", "60=40N12=8S")]
+    assert spark.read.text(f"{folder}/bed").first().value.split("\t")[:3] == ["chr1", "300", "412"]
+    with pytest.raises(ValueError):
+        cli.main(["run-step", "--config", str(config), "--output", str(tmp_path / "no"), "--only", "ccs"], chosen)
+
+
+def test_slices_over_tiles(spark):
+    from readloom.sources import tables as T
+
+    genome = spark.createDataFrame([("a", "ACGTACGTTTGCA" * 3), ("b", "")], "chrom string, seq string")
+    spans = spark.createDataFrame([("a", 0, 39, "+"), ("a", 4, 5, "-"), ("a", 7, 24, "-"), ("a", 7, 24, "-"), ("c", 1, 2, "+")], "chrom string, start long, stop long, strand string")
+    whole = "ACGTACGTTTGCA" * 3
+    turned = whole[7:24][::-1].translate(str.maketrans("ACGT", "TGCA"))
+    assert sorted(r.seq for r in T.slice_genome(genome, spans, tile=5).collect()) == sorted([whole, "T", turned, turned])
