@@ -220,7 +220,8 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", word
     # The full sets of classes that share a bucket, from the texts of their least documents.
     wanted = save(busy.select("class").distinct().join(classes.select("class", "least_id", "d1", "d2"), "class"), "wanted")
     source = df.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
-    texts = source.join(wanted.select(F.col("least_id").alias("_w")).distinct(), F.col("_id").eqNullSafe(F.col("_w")), "left_semi")
+    # The hint gives small and large inputs the same plan.
+    texts = source.join(wanted.select(F.col("least_id").alias("_w")).distinct().hint("merge"), F.col("_id").eqNullSafe(F.col("_w")), "left_semi")
     sets = _sets(texts, words).join(wanted.select("class", "d1", "d2"), ["d1", "d2"]).select("class", "shingles").dropDuplicates(["class"])
     sets = save(sets, "full-sets")
     # A pivot's set meets the others where they are: only the other side's own sets travel with the pairs.
