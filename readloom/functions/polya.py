@@ -65,16 +65,16 @@ def _read_tail(seq: str, first: int, step: int, piece: int = 4096) -> int:
     return _tail(seq, min(at_best, len(seq)))
 
 
-@F.pandas_udf(T.IntegerType())
-def _tails(seqs):
-    import pandas as pd
+def tail_length(seq: Column) -> Column:
+    """Length of the A tail at the end of ``seq``."""
 
-    return pd.Series([None if x is None else _tail(x, len(x)) for x in seqs], dtype="Int32")
+    @F.pandas_udf(T.IntegerType())
+    def tails(seqs):
+        import pandas as pd
 
+        return pd.Series([None if x is None else _tail(x, len(x)) for x in seqs], dtype="Int32")
 
-def tail_length(seq: Column) -> Column:
-    """Length of the A tail at the end of ``seq``."""
-    return _tails(seq)
+    return tails(seq)
 
 
 def read_tail_length(seq: Column, suffix_length: Column, step: int = 50) -> Column:

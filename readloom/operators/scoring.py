@@ -27,6 +27,6 @@ def load(path: str) -> RandomForestClassificationModel:
 
 
 def score(df: DataFrame, model: RandomForestClassificationModel, features=FEATURES) -> DataFrame:
-    """class0_probability and class1_probability of every row."""
+    """class0_probability and class1_probability of every row; 0 for a class that training never showed."""
     p = vector_to_array("probability")
-    return model.transform(assemble(df, features)).withColumns({"class0_probability": p[0], "class1_probability": p[1]}).drop("features", "rawPrediction", "probability", "prediction")
+    return model.transform(assemble(df, features)).withColumns({"class0_probability": p[0], "class1_probability": F.coalesce(F.get(p, F.lit(1)), F.lit(0.0))}).drop("features", "rawPrediction", "probability", "prediction")

@@ -494,6 +494,6 @@ def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = frame.join(over, ["qid", "ln"], "left").na.fill(0)
     rest = {c: x for c, x in zip(scoring.FEATURES[4:], (F.col("p"), 1 - F.col("p"), F.col("len"), F.col("gap"), F.col("len") / (F.col("len") + F.col("gap") + 1)))}
     frame = frame.withColumns(rest)
-    label = ((F.col("blast_pid") > 75) & (F.col("p") > 0.4)).cast("double")
+    label = ((F.col("blast_pid") > 60) & (F.col("p") > 0.4)).cast("double")
     model = scoring.train(frame.where(F.col("qid") % 5 == 0).withColumn("label", label), "label", trees=8, depth=4)
     return scoring.score(frame, model).select("qid", "ln", "class1_probability")
