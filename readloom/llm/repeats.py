@@ -262,9 +262,10 @@ def _level(source: DataFrame, length: int, gram: int, bucket_bytes: int, piece_b
     open_ = save(first.join(several, "anchor").select("anchor", "bytes", "first.doc", "first.th", "first.base", "first.start", "first.at", "n"), "open")
     # The bytes of these segments, from where they were cut.
     asked = open_.groupBy("doc", "th", "base").agg(F.collect_list(F.struct("anchor", "bytes", "start", "at", "n")).alias("asked")).toDF("_d", "_t", "_b", "asked")
-    found = source.join(asked, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")) & (F.col("base") == F.col("_b"))).select("doc", "th", "raw", F.explode("asked").alias("a"))
-    segment = F.substring("raw", F.col("a.start") + 1, F.col("a.n") + length - 1)
-    found = save(found.select("doc", "th", "a.anchor", "a.bytes", F.col("a.at").alias("start"), segment.alias("segment")), "open-text")
+    met = source.join(asked, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")) & (F.col("base") == F.col("_b")))
+    # Cut before the rows are spread, so that no row carries the text it was cut from.
+    piece = lambda a: F.struct(a["anchor"].alias("anchor"), a["bytes"].alias("bytes"), a["at"].alias("start"), F.substring(F.col("raw"), a["start"] + 1, a["n"] + length - 1).alias("segment"))
+    found = save(met.select("doc", "th", F.explode(F.transform("asked", piece)).alias("a")).select("doc", "th", "a.*"), "open-text")
     total = open_.where(F.col("bytes") <= bucket_bytes).agg(F.sum(F.col("n") + length)).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     light = found.where(F.col("bytes") <= bucket_bytes).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))

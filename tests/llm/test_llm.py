@@ -505,34 +505,36 @@ def test_one_of_each_row(spark, sf_dir):
     assert stage(spark, df.limit(0), sf_dir).count() == 0
 
 
-def test_long_texts(spark):
-    """Texts beyond every piece bound: over a megabyte each, with one repeated passage and one changed word."""
+def test_long_texts():
+    """A text beyond every piece bound (a megabyte and more) gives what it gives in one piece."""
+    from tokenizers import Tokenizer
+
     rng = random.Random(12)
     words = [f"{rng.choice('bcdfg')}{rng.randrange(10**6)}" for _ in range(160_000)]
-    long = " ".join(words)
-    words[80_000] = "changed"
-    rows = [(1, long), (2, " ".join(words)), (3, "short text")]
-    df = documents(spark, rows).withColumn("n", F.lit("clash"))
-    near = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df).collect()}
-    assert near[1][1] == near[2][1] == 1 and near[3] == (1, 3) and near[1][0] == len({tuple(long.split()[i : i + 5]) for i in range(159_996)})
-    got = {r.doc_id: r for r in repeats.remove_repeats(df).collect()}
-    a, b = long.encode(), rows[1][1].encode()
-    at = next(i for i in range(len(a)) if a[i] != b[i])
-    assert got[1].n_removed == 0 and got[2].n_spans in (2, 3) and b"changed" in bytes(got[2].kept) and got[2].n_removed >= len(b) - 20 and at > 0
+    long = " ".join(words).encode()
+    data, bounds = np.frombuffer(long, np.uint8), np.array([0, len(long)])
+    assert len(minhash.shingle_sets(data, bounds, 5)[0]) == len({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+    one = np.frombuffer(b"x" * 1_100_000 + b" y", np.uint8)  # one word across pieces
+    assert minhash.word_keys(one, np.array([0, len(one)]))[1].tolist() == [2]
+    windows = []
+    for most in (1 << 20, 1 << 30):
+        parts = [(at + rows_start, n, anchor) for _, edge, at in repeats._pieces(bounds, 100, most) for _, rows_start, n, anchor, _ in [repeats.segments(data[edge[0] : edge[-1]], edge - edge[0])]]
+        windows.append([(int(s) + j, int(x)) for start, n, anchor in parts for s, k, x in zip(start, n, anchor) for j in range(int(k))])
+    assert windows[0] == windows[1] and len(windows[0]) == len(long) - 99
+    grams = [np.concatenate([g for _, g, _ in ppm.gram_parts([long], 4, most)]) for most in (100_000, 1 << 30)]
+    assert (grams[0] == grams[1]).all() and len(grams[0]) == len(long) + 1
     model = language_id.LanguageModel(["x", "y"], np.random.default_rng(1).normal(size=(2, language_id.BUCKETS + 1)).astype(np.float32))
     model.logp[:, -1] = 0
-    parts, whole = model.predict([long[:50_000], "ab"], piece_chars=777), model.predict([long[:50_000], "ab"])
+    parts, whole = (model.predict([long.decode()[:50_000], "ab"], piece_chars=n) for n in (777, 1 << 30))
     assert np.allclose(parts[1], whole[1]) and (parts[0] == whole[0]).all()
-    scored = ppm.score_documents(df.where("doc_id <> 2"), F.col("doc_id") == 1).collect()
-    assert {r.doc_id: r.n_tokens for r in scored} == {1: 160_001, 3: 3}
-    from tokenizers import Tokenizer
-
-    ids = Tokenizer.from_file(bpe.default_tokenizer()).encode(long, add_special_tokens=False).ids
-    coded = {r.doc_id: len(r.ids) for r in bpe.encode(df).collect()}
-    assert coded[1] == len(ids)
-    media = {r.doc_id: (r.payload_bytes, r.payload_sha256) for r in jpeg.digest(df).collect()}
-    padded = a + bytes(-len(a) % 64)
-    assert media[1] == (len(padded), brute.sha(padded))
+    cuts = bpe.chunk_cuts(data)
+    ids = np.frombuffer(bpe.ChunkEncoder(bpe.default_tokenizer()).encode([long], [cuts[cuts < len(long)]])[0], "<i4")
+    assert ids.tolist() == Tokenizer.from_file(bpe.default_tokenizer()).encode(long.decode(), add_special_tokens=False).ids
+    padded = long + bytes(-len(long) % 64)
+    image = jpeg.read_coefficients(jpeg.encode_payload(padded))
+    assert jpeg.stored_payload(image) == padded and jpeg.render(image).ndim == 3
+    kept = repeats._without(long, np.array([5, 50, 900_000]), np.array([60, 160, 1_000_000]), False)
+    assert kept == (155 + 100_000, 2, long[:5] + long[160:900_000] + long[1_000_000:])
 
 
 # 9
