@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 
 from .common import bounded_batches, byte_views, mix64, row_chunks, table, tidy
 
-MOST_WORDS = 180_000
-MOST_CHUNKS = 30_000
+MOST_WORDS = 90_000
+MOST_CHUNKS = 15_000
 CUT_BITS = 8
 _MARKS = b".,;:!?*$%&#)"
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(32)).astype(np.uint32)
@@ -195,11 +195,13 @@ def _encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def encode(df: DataFrame, text: str = "text", tokenizer: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``ids`` array<int> of each text."""
+def encode(df: DataFrame, text: str = "text", tokenizer: str | None = None, keep: tuple[str, ...] = ("doc_id",), decoded: bool = False) -> DataFrame:
+    """``keep`` columns and ``ids`` array<int> of each text; with ``decoded`` also what these ids decode to, in the same pass."""
     path = tokenizer or default_tokenizer()
     rows = bounded_batches(df).select(*keep, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"))
     schema = rows.drop("_text").schema.add("ids", T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = schema.add("decoded", "string")
 
     def run(batches):
         encoder = _encoder(path)
@@ -215,8 +217,9 @@ def encode(df: DataFrame, text: str = "text", tokenizer: str | None = None, keep
                 ids = encoder.encode(texts, inner, wide[bounds[1:]] == wide[bounds[:-1]])
                 ends = np.zeros(b - a + 1, np.int32)
                 np.cumsum([len(x) // 4 for x in ids], out=ends[1:])
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)), pa.ListArray.from_arrays(pa.array(ends), values)], names=[*keep, "ids"])
+                coded = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32()))
+                more = [_texts_of(coded, path)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)), coded, *more], names=schema.names)
         encoder.forget()
 
     return rows.mapInArrow(tidy(run), schema)
@@ -233,6 +236,23 @@ def _vocabulary(path: str):
     return pa.array(tokens, pa.string()), t.decoder is None
 
 
+def _texts_of(column, path: str):
+    """The decoded texts of an Arrow column of id lists."""
+    tokens, plain = _vocabulary(path)
+    if not plain:
+        tok = _encoder(path).tokenizer
+        return pa.array([x if x is None else tok.decode(x, skip_special_tokens=False) for x in column.to_pylist()], pa.string())
+    flat = column.flatten()
+    known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
+    if flat.null_count or not pc.all(known, min_count=0).as_py():  # ids of no token are left out
+        return pa.array([x if x is None else " ".join(t for i in x if i is not None and 0 <= i < len(tokens) and (t := tokens[i].as_py()) is not None) for x in column.to_pylist()], pa.string())
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    ends = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=ends[1:])
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), tokens.take(flat)), " ")
+    return pc.if_else(pc.is_null(column), pa.scalar(None, pa.string()), texts) if column.null_count else texts
+
+
 def decode(df: DataFrame, ids: str = "ids", tokenizer: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``decoded`` text of each array of ids, special tokens kept; null ids give null."""
     path = tokenizer or default_tokenizer()
@@ -240,39 +260,22 @@ def decode(df: DataFrame, ids: str = "ids", tokenizer: str | None = None, keep:
     schema = rows.drop("_ids").schema.add("decoded", "string")
 
     def run(batches):
-        tokens, plain = _vocabulary(path)
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
-            if plain:
-                flat = column.flatten()
-                known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
-                if flat.null_count or not pc.all(known, min_count=0).as_py():  # ids of no token are left out
-                    texts = pa.array([x if x is None else " ".join(t for i in x if i is not None and 0 <= i < len(tokens) and (t := tokens[i].as_py()) is not None) for x in column.to_pylist()], pa.string())
-                else:
-                    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
-                    ends = np.zeros(len(sizes) + 1, np.int32)
-                    np.cumsum(sizes, out=ends[1:])
-                    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), tokens.take(flat)), " ")
-                    if column.null_count:
-                        texts = pc.if_else(pc.is_null(column), pa.scalar(None, pa.string()), texts)
-            else:
-                tok = _encoder(path).tokenizer
-                texts = pa.array([x if x is None else tok.decode(x, skip_special_tokens=False) for x in column.to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), texts], names=[*keep, "decoded"])
+            texts = _texts_of(batch.column(batch.num_columns - 1), path)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), texts], names=schema.names)
 
     return rows.mapInArrow(tidy(run), schema)
 
 
-def digest(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of what :func:`encode` returned."""
-    coded = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
-    back = decode(coded, keep=("doc_id", "n_tokens", "ids_sha256"), tokenizer=tokenizer)
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+def digest(df: DataFrame, text: str = "text", tokenizer: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text; one Python worker a task encodes and decodes."""
+    coded = encode(df, text, tokenizer, decoded=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
-    return digest(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -280,4 +283,4 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     A null text has no ids; repeated rows give a row each; columns besides doc_id and text end here.
     """
-    return digest(encode(docs))
+    return digest(docs)
