@@ -2,6 +2,7 @@
 
 from .bpe import op4_bpe
 from .chat import OP10_SQL, op10_perspective_rotation
+from .filter_audit import OP11_SQL, op11_filter_audit
 from .flat_graph import op1_flat_graph
 from .language_id import op9_language_id
 from .minhash import op8_minhash
@@ -24,7 +25,8 @@ QUERIES = {
         op8_minhash,
         op9_language_id,
         op10_perspective_rotation,
+        op11_filter_audit,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op10_perspective_rotation": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op10_perspective_rotation": OP10_SQL, "op11_filter_audit": OP11_SQL}
