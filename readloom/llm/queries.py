@@ -8,6 +8,7 @@ from .language_id import op9_language_id
 from .minhash import op8_minhash
 from .mixing import op7_mix_sources
 from .ppm import op5_ppm
+from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .progressive_jpeg import op3_progressive_jpeg
 from .repeats import op6_suffix_dedup
 from .url_filter import OP2_SQL, op2_url_filter
@@ -26,7 +27,8 @@ QUERIES = {
         op9_language_id,
         op10_perspective_rotation,
         op11_filter_audit,
+        op12_prefix_trie,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op10_perspective_rotation": OP10_SQL, "op11_filter_audit": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op10_perspective_rotation": OP10_SQL, "op11_filter_audit": OP11_SQL, "op12_prefix_trie": OP12_SQL}
