@@ -53,9 +53,10 @@ def failure_masks(docs: DataFrame, text: str = "text", key: str = "doc_id", part
         return rows.drop("digest")
     rows = save(rows, "masks")  # both sides of the join read it, the texts are read once
     first = rows.where("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most")).where("_least < _most").select("digest", "_least")
+    first = save(first, "repeated")  # a table of its own: the join is then of two shuffles, whose hot keys adaptive execution splits
     copy = F.coalesce(F.col("doc_id") > F.col("_least"), F.lit(False))
     out = rows.join(first, "digest", "left").select("part", "doc_id", (F.col("mask") + F.when(copy, 1 << filters.index(COPY)).otherwise(0)).alias("mask"))
-    out._sources = [rows]
+    out._sources = [rows, first]
     return out
 
 
