@@ -10,6 +10,7 @@ from .mixing import op7_mix_sources
 from .ppm import op5_ppm
 from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .progressive_jpeg import op3_progressive_jpeg
+from .quality_rules import op13_quality_rules
 from .repeats import op6_suffix_dedup
 from .url_filter import OP2_SQL, op2_url_filter
 
@@ -28,6 +29,7 @@ QUERIES = {
         op10_perspective_rotation,
         op11_filter_audit,
         op12_prefix_trie,
+        op13_quality_rules,
     )
 }
 
