@@ -14,12 +14,6 @@ def total(lens: Column) -> Column:
     return F.aggregate(lens, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def before(lens: Column) -> Column:
-    """Bases before each block, and after the last: size + 1 values."""
-    zero = F.array(F.lit(0).cast("long"))
-    return F.aggregate(lens, zero, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-
-
 def _first(flags: Column) -> Column:
     """0-based place of the first true; null without."""
     at = F.array_position(flags, True)
@@ -36,9 +30,18 @@ def in_block(pos: Column, start: Column, stop: Column, lens: Column | None = Non
 
 def base_block(pos: Column, lens: Column) -> Column:
     """struct<block, rest>: the first block reaching base ``pos`` of the exonic sequence; (-1, -1) beyond the end."""
-    cum = before(lens)
-    at = _first(F.transform(F.slice(cum, F.lit(2), F.greatest(F.size(lens), F.lit(1))), lambda c: c >= pos))
-    return F.struct(F.coalesce(at, F.lit(-1)).alias("block"), F.coalesce(pos - F.get(cum, at), F.lit(-1)).cast("long").alias("rest"))
+    start = F.struct(F.lit(0).alias("i"), pos.cast("long").alias("left"), F.lit(-1).alias("block"), F.lit(-1).cast("long").alias("rest"))
+
+    def step(acc, n):
+        here = (acc["block"] < 0) & (acc["left"] <= n)
+        return F.struct(
+            (acc["i"] + 1).alias("i"),
+            (acc["left"] - n).alias("left"),
+            F.when(here, acc["i"]).otherwise(acc["block"]).alias("block"),
+            F.when(here, acc["left"]).otherwise(acc["rest"]).alias("rest"),
+        )
+
+    return F.aggregate(lens, start, step, lambda acc: F.struct(acc["block"].alias("block"), acc["rest"].alias("rest")))
 
 
 def genomic_to_block(pos: Column, start: Column, lens: Column, starts: Column) -> Column:
@@ -57,7 +60,7 @@ def block_to_genomic(pos: Column, start: Column, lens: Column, starts: Column) -
 
 def genomic_to_sequence(pos: Column, start: Column, lens: Column, starts: Column, strand: Column) -> Column:
     b = genomic_to_block(pos, start, lens, starts)
-    forward = F.get(before(lens), b["block"]) + b["delta"]
+    forward = total(F.slice(lens, F.lit(1), b["block"])) + b["delta"]
     return F.when(strand == "-", total(lens) - forward).otherwise(forward)
 
 
@@ -65,59 +68,68 @@ def sequence_to_genomic(pos: Column, start: Column, lens: Column, starts: Column
     return block_to_genomic(F.when(strand == "-", total(lens) - pos).otherwise(pos), start, lens, starts)
 
 
-def _cut_right(df: DataFrame, bp: Column) -> dict[str, Column]:
-    lens, starts, start = F.col("block_lens"), F.col("block_starts"), F.col("start")
-    b = base_block(total(lens) - bp, lens)
-    n = b["block"] + 1
-    new_lens = F.concat(F.slice(lens, F.lit(1), b["block"]), F.array(b["rest"]))
-    new_starts = F.slice(starts, F.lit(1), n)
-    stop = start + F.element_at(new_starts, -1) + b["rest"]
-    return {"start": start, "stop": stop, "block_lens": new_lens, "block_starts": new_starts, "thick_start": F.col("thick_start"), "thick_stop": F.least(F.col("thick_stop"), stop)}
-
-
-def _cut_left(df: DataFrame, bp: Column) -> dict[str, Column]:
-    lens, starts, start = F.col("block_lens"), F.col("block_starts"), F.col("start")
-    b = base_block(bp, lens)
-    whole = F.get(lens, b["block"]) == b["rest"]  # the block ends here: it goes altogether, if another follows
-    k = F.when(whole & (b["block"] + 1 < F.size(lens)), b["block"] + 1).otherwise(b["block"])
-    rest = F.when(k == b["block"], b["rest"]).otherwise(0)
-    shift = F.get(starts, k) + rest
-    new_lens = F.concat(F.array(F.get(lens, k) - rest), F.slice(lens, k + 2, F.size(lens)))
-    new_starts = F.transform(F.concat(F.array(shift), F.slice(starts, k + 2, F.size(starts))), lambda s: s - shift)
-    return {"start": start + shift, "stop": F.col("stop"), "block_lens": new_lens, "block_starts": new_starts, "thick_start": F.greatest(F.col("thick_start"), start + shift), "thick_stop": F.col("thick_stop")}
-
-
-def _trim(df: DataFrame, bp: Column, right_on_plus: bool, by_strand: bool) -> DataFrame:
-    """Rows trimmed; ``trim_error`` says why a row could not be (its blocks are then null)."""
-    df = df.withColumn("_bp", bp.cast("long"))
-    bp = F.col("_bp")
-    right, left = _cut_right(df, bp), _cut_left(df, bp)
+def _kept(left: Column, right: Column) -> Column:
+    """Blocks (s, n) between exonic bases ``left`` and ``right`` in genome order, in one pass; where nothing is between, one empty block at the cut.
+
+    At the left end the cut is the end of the block that it falls on.
+    """
+    zipped = F.arrays_zip(F.col("block_starts").alias("s"), F.col("block_lens").alias("n"))
+    none = F.array().cast("array<struct<s:bigint,n:bigint>>")
+    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
+
+    def step(acc, b):
+        end = acc["at"] + b["n"]
+        lo, hi = F.greatest(acc["at"], left), F.least(end, right)
+        piece = F.struct((b["s"] + lo - acc["at"]).cast("long").alias("s"), F.greatest(hi - lo, F.lit(0)).cast("long").alias("n"))
+        empty = (left >= right) & (F.size(acc["out"]) == 0) & (left <= end)
+        return F.struct(end.cast("long").alias("at"), F.when((hi > lo) | empty, F.concat(acc["out"], F.array(piece))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+
+
+def trim_ends(df: DataFrame, from5: Column, from3: Column, by_strand: bool = True) -> DataFrame:
+    """Rows without ``from5`` exonic bases at the 5' end and ``from3`` at the 3' end (the left and the right one unless ``by_strand``); none if <= 0.
+
+    ``trim_error`` says why a row could not be trimmed (its blocks are then null).
+    """
+    changed = ("start", "stop", "thick_start", "thick_stop", "block_lens", "block_starts")
     minus = (F.col("strand") == "-") if by_strand else F.lit(False)
-    over = bp > total(F.col("block_lens"))
-    out = {}
-    for c in right:
-        a, b = (right[c], left[c]) if right_on_plus else (left[c], right[c])
-        out[f"_new_{c}"] = F.when(bp <= 0, F.col(c)).when(over, F.lit(None).cast(df.schema[c].dataType)).when(minus, b).otherwise(a).cast(df.schema[c].dataType)
-    out["trim_error"] = F.when((bp > 0) & over, "trims more than there is")
-    # Under names of their own: inside lambdas a column that the same projection replaces may resolve to its new value.
-    df = df.withColumns(out).withColumns({c: F.col(f"_new_{c}") for c in right})
-    return df.withColumn("block_count", F.size("block_lens")).drop("_bp", *(f"_new_{c}" for c in right))
+    cut5, cut3 = F.greatest(from5.cast("long"), F.lit(0)), F.greatest(from3.cast("long"), F.lit(0))
+    # Under names of their own, each bound once: inside lambdas a column that the same projection replaces may resolve to its new value.
+    df = df.withColumns({"_left": F.when(minus, cut3).otherwise(cut5), "_right": F.when(minus, cut5).otherwise(cut3), "_total": total(F.col("block_lens"))})
+    df = df.withColumns({"_over": F.col("_left") + F.col("_right") > F.col("_total"), "_cut": (F.col("_left") > 0) | (F.col("_right") > 0)})
+    df = df.withColumn("_kept", F.when(F.col("_cut") & ~F.col("_over"), _kept(F.col("_left"), F.col("_total") - F.col("_right"))))
+    first, last = F.get("_kept", F.lit(0)), F.element_at("_kept", -1)
+    df = df.withColumns({"_shift": first["s"], "_end": F.col("start") + last["s"] + last["n"]})
+    new_start = F.col("start") + F.col("_shift")
+    new = {
+        "start": new_start,
+        "stop": F.when(F.col("_right") > 0, F.col("_end")).otherwise(F.col("stop")),
+        "thick_start": F.when(F.col("_left") > 0, F.greatest("thick_start", new_start)).otherwise(F.col("thick_start")),
+        "thick_stop": F.when(F.col("_right") > 0, F.least("thick_stop", "_end")).otherwise(F.col("thick_stop")),
+        "block_lens": F.transform("_kept", lambda b: b["n"]),
+        "block_starts": F.transform("_kept", lambda b: b["s"] - F.col("_shift")),
+    }
+    kinds = {c: df.schema[c].dataType for c in changed}
+    df = df.withColumns({f"_new_{c}": F.when(F.col("_over"), F.lit(None)).when(F.col("_cut"), new[c]).otherwise(F.col(c)).cast(kinds[c]) for c in changed} | {"trim_error": F.when(F.col("_over"), "trims more than there is")})
+    df = df.withColumns({c: F.col(f"_new_{c}") for c in changed}).withColumn("block_count", F.size("block_lens"))
+    return df.drop("_left", "_right", "_total", "_over", "_cut", "_kept", "_shift", "_end", *(f"_new_{c}" for c in changed))
 
 
 def trim_downstream(df: DataFrame, bp: Column, by_strand: bool = True) -> DataFrame:
     """Cut ``bp`` exonic bases off the 3' end (off the right end unless ``by_strand``); none if bp <= 0."""
-    return _trim(df, bp, True, by_strand)
+    return trim_ends(df, F.lit(0), bp, by_strand)
 
 
 def trim_upstream(df: DataFrame, bp: Column, by_strand: bool = True) -> DataFrame:
     """Cut ``bp`` exonic bases off the 5' end."""
-    return _trim(df, bp, False, by_strand)
+    return trim_ends(df, bp, F.lit(0), by_strand)
 
 
 def trim_to_position(df: DataFrame, pos: Column, downstream: bool) -> DataFrame:
     """Trim up to a genomic position: what lies downstream (or upstream) of it goes. A position outside the blocks is an error."""
     place = genomic_to_sequence(pos, F.col("start"), F.col("block_lens"), F.col("block_starts"), F.col("strand"))
     df = df.withColumn("_place", place)
-    bp = total(F.col("block_lens")) - F.col("_place") if downstream else F.col("_place")
-    out = _trim(df, F.coalesce(bp, F.lit(0)), downstream, True)
+    bp = F.coalesce(total(F.col("block_lens")) - F.col("_place") if downstream else F.col("_place"), F.lit(0))
+    out = trim_downstream(df, bp) if downstream else trim_upstream(df, bp)
     return out.withColumn("trim_error", F.when(F.col("_place").isNull(), "position is in no block").otherwise(F.col("trim_error"))).drop("_place")

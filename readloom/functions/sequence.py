@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .frames import STOP_CODONS, bytes_of, codon_numbers, codons
+
 
 def reverse_complement(seq: Column, upper: bool = False) -> Column:
     """Keeps case unless ``upper``; letters other than A, C, G and T pass through."""
@@ -86,12 +90,25 @@ def predictor_header(chrom: Column, start: Column, stop: Column, strand: Column,
     return F.format_string(">%s:%d-%d(%s)(%s)(0,0, )", chrom, start, stop, strand, name)
 
 
-# The stop codons.
-STOP_CODONS = ("TAA", "TAG", "TGA")
+def stop_sites(seq: Column) -> Column:
+    """Places (0-based) of all stop codons of a sequence in any frame, ascending, in one pass over its bytes; null without a sequence."""
+
+    @F.arrow_udf("array<int>")
+    def sites(column: pa.Array) -> pa.Array:
+        buf, off = bytes_of(column)
+        hit = np.flatnonzero(np.isin(codons(buf, off, False), codon_numbers(STOP_CODONS)))
+        ends = np.searchsorted(hit, off)
+        places = (hit - np.repeat(off[:-1], np.diff(ends))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(places), mask=column.is_null() if column.null_count else None)
+
+    return sites(seq.cast("binary"))
+
+
+def in_frame(sites: Column, start: Column) -> Column:
+    """Of codon places those in frame with ``start`` (0-based), from there on."""
+    return F.filter(sites, lambda i: (i >= start) & ((i - start) % 3 == 0))
 
 
 def stop_positions(seq: Column, start: Column) -> Column:
     """In-frame stop codons from ``start`` (0-based) on."""
-    last = F.length(seq) - 3
-    frames = F.when(last >= start, F.sequence(start, last, F.lit(3))).otherwise(F.array().cast("array<int>"))
-    return F.filter(frames, lambda i: F.upper(F.substring(seq, i + 1, F.lit(3))).isin(*STOP_CODONS))
+    return in_frame(stop_sites(seq), start)

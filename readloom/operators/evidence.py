@@ -120,10 +120,7 @@ def prediction_bed(transcripts: DataFrame, predictions: DataFrame, first_gets_co
     rows = transcripts.join(predictions, transcripts.name == predictions.id)
     stop = F.col("orf_stop") + F.when(F.col("variant") == 0, first_gets_codon).otherwise(0)
     rows = rows.withColumns({"_cut": B.total(F.col("block_lens")) - stop, "name": F.concat_ws("_", "name", F.col("variant").cast("string")), "score": ((F.col("p_start") + F.col("p_stop")) / 2 * 1000).cast("int").cast("string")})
-    rows = B.trim_downstream(rows, F.col("_cut"))
-    rows = rows.withColumnRenamed("trim_error", "_first_error")
-    rows = B.trim_upstream(rows, F.col("orf_start"))
-    return rows.withColumn("trim_error", F.coalesce("_first_error", "trim_error")).drop("_first_error", "_cut")
+    return B.trim_ends(rows, F.col("orf_start"), F.col("_cut")).drop("_cut")
 
 
 def nested_coding(orfs: DataFrame, nested: DataFrame) -> DataFrame:

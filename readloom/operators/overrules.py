@@ -16,10 +16,12 @@ LABELS = ("FI", "I", "PI")
 def compatible(rows: DataFrame, allowed_stop: str | None = None) -> DataFrame:
     """Does a transcript's frame from a projection's start end where the projection ends? Adds ``compatible``.
 
-    Rows hold the transcript's BED columns, seq (reading direction), and the projection's
-    toga_start and toga_stop. The first in-frame stop codon is tolerated and the scan ends at the
+    Rows hold the transcript's BED columns, ``stops`` (the places of its stop codons in reading direction) or seq, from which
+    they are found, and the projection's toga_start and toga_stop. The first in-frame stop codon is tolerated and the scan ends at the
     next; on + a permitted stop is passed over before that rule, on - after it.
     """
+    if "stops" not in rows.columns:
+        return compatible(rows.withColumn("stops", S.stop_sites(F.col("seq"))), allowed_stop).drop("stops")
     minus = F.col("strand") == "-"
     start, lens, starts, strand = F.col("start"), F.col("block_lens"), F.col("block_starts"), F.col("strand")
     entry = F.when(minus, F.col("toga_stop")).otherwise(F.col("toga_start"))
@@ -37,7 +39,7 @@ def compatible(rows: DataFrame, allowed_stop: str | None = None) -> DataFrame:
         return F.coalesce(end, F.get(s, F.size(s) - 1))
 
     # Each step is bound once: the next ones use it several times.
-    stops = _bound(first, lambda at: F.when(at >= 0, S.stop_positions(F.col("seq"), at)))
+    stops = _bound(first, lambda at: F.when(at >= 0, S.in_frame(F.col("stops"), at)))
     last = _bound(stops, lambda s: ending(s).cast("long"))
     edge = _bound(last, lambda k: B.sequence_to_genomic(k, start, lens, starts, strand))
     fits = _bound(edge, lambda e: F.when(minus, e - 3 == F.col("toga_start")).otherwise(e + 3 == F.col("toga_stop")))
@@ -50,15 +52,17 @@ def _bound(value, use):
 
 
 def candidates(transcripts: DataFrame, projections: DataFrame, sequences: DataFrame, allowed_stop: str | None = None) -> DataFrame:
-    """Projections with their transcript's blocks and sequence, and whether they fit (``compatible``).
+    """Projections with their transcript's blocks and stop codons, and whether they fit (``compatible``).
+
+    A sequence is scanned once, however many projections its transcript has; they meet its stop codons, not its bases.
 
     transcripts: BED12 columns, the name being canonical_id. projections: canonical_id, toga_id, toga_label,
     toga_pid, toga_start, toga_stop, toga_coords (and more). sequences: id (canonical_id), seq. Projections
     without transcript or sequence are left out.
     """
     blocks = transcripts.select(F.col("name").alias("_name"), "start", "stop", "strand", "block_lens", "block_starts")
-    rows = projections.join(blocks, F.col("canonical_id") == F.col("_name")).join(sequences.select(F.col("id").alias("_id"), "seq"), F.col("canonical_id") == F.col("_id"))
-    return compatible(rows, allowed_stop).drop("_name", "_id", "start", "stop", "strand", "block_lens", "block_starts", "seq")
+    rows = projections.join(blocks, F.col("canonical_id") == F.col("_name")).join(sequences.select(F.col("id").alias("_id"), S.stop_sites(F.col("seq")).alias("stops")), F.col("canonical_id") == F.col("_id"))
+    return compatible(rows, allowed_stop).drop("_name", "_id", "start", "stop", "strand", "block_lens", "block_starts", "stops")
 
 
 def overrule_low_scores(predictions: DataFrame, candidates: DataFrame, threshold: float = 0.03) -> DataFrame:
@@ -74,12 +78,11 @@ def overrule_low_scores(predictions: DataFrame, candidates: DataFrame, threshold
 
 def overrule_masked(predictions: DataFrame, candidates: DataFrame, any_masked: bool = False) -> DataFrame:
     """Type B: where all (or any) projections of a label are masked and the best frame is compatible, the projection's coordinates."""
-    masked = F.bool_or("toga_masked") if any_masked else F.bool_and("toga_masked")
-    groups = candidates.groupBy("canonical_id", "toga_label").agg(masked.alias("_m")).where("_m").drop("_m")
+    group = W.partitionBy("canonical_id", "toga_label")
+    masked = (F.bool_or if any_masked else F.bool_and)("toga_masked")
     best = predictions.groupBy("canonical_id").agg(F.max_by("genomic_coords", F.struct("class1_probability", "genomic_coords")).alias("_coords"))
-    fit = candidates.where("compatible").join(groups, ["canonical_id", "toga_label"], "left_semi").join(best, "canonical_id").where(F.col("toga_coords") != F.col("_coords")).drop("_coords")
-    w = W.partitionBy("canonical_id", "toga_label").orderBy(F.desc("toga_pid"), "toga_id")
-    return overruled(fit.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k"))
+    fit = candidates.withColumn("_m", masked.over(group)).where("_m and compatible").join(best, "canonical_id").where(F.col("toga_coords") != F.col("_coords")).drop("_m", "_coords")
+    return overruled(fit.withColumn("_k", F.row_number().over(group.orderBy(F.desc("toga_pid"), "toga_id"))).where("_k = 1").drop("_k"))
 
 
 def overruled(rows: DataFrame) -> DataFrame:

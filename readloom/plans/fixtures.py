@@ -109,6 +109,14 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("tx", "exon_no", F.concat_ws("|", "chrom", F.col("s").cast("string"), F.col("e").cast("string"), "strand").alias("coords"), p.alias("p"))
 
 
+def transcript_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, tx, seq: bases of every transcript in reading direction, drawn from digests of its exons."""
+    digest = F.concat(*[F.sha2(F.concat_ws(":", F.col("tx").cast("string"), F.col("exon_no").cast("string"), F.lit(k)), 256) for k in "012"])
+    e = exons(spark, sf_dir).withColumn("bases", F.substring(F.translate(digest, "0123456789abcdef", "ACGTACGTACGTACGT"), F.lit(1), F.col("len").cast("int")))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("exon_no", "bases"))), lambda x: x["bases"]), "")
+    return e.groupBy("tx").agg(joined.alias("seq")).select(F.col("tx").cast("string").alias("id"), "tx", "seq")
+
+
 #: The derivations in the oracle's dialect, to stand before a query.
 SQL = """
 WITH fx_raw AS (
@@ -137,6 +145,9 @@ WITH fx_raw AS (
   SELECT l_orderkey AS qid, l_partkey AS sid, 50.0e0 + CAST(l_partkey % 500 AS DOUBLE) / 10 AS pid, l_partkey % 50 + 1 AS qstart, l_partkey % 50 + 21 + CAST(l_quantity AS BIGINT) AS qend,
     l_suppkey % 60 + 1 AS sstart, -10 - l_suppkey % 90 AS log10_e, CAST(l_linenumber AS BIGINT) AS ln
   FROM lineitem
+), fx_txseq AS (
+  SELECT tx, CAST(tx AS VARCHAR) AS id, string_agg(substr(translate(sha256(tx || ':' || exon_no || ':0') || sha256(tx || ':' || exon_no || ':1') || sha256(tx || ':' || exon_no || ':2'), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, CAST(len AS INT)), '' ORDER BY exon_no) AS seq
+  FROM fx_exons GROUP BY tx
 ), fx_pred AS (
   SELECT tx, exon_no, concat_ws('|', chrom, CAST(s AS VARCHAR), CAST(e AS VARCHAR), strand) AS coords, CAST((tx * 7919 + exon_no * 613 + s) % 1000 AS DOUBLE) / 1000 AS p FROM fx_exons
 )
