@@ -65,6 +65,14 @@ def candidates(transcripts: DataFrame, projections: DataFrame, sequences: DataFr
     return compatible(rows, allowed_stop).drop("_name", "_id", "start", "stop", "strand", "block_lens", "block_starts", "stops")
 
 
+def projection_candidates(transcripts: DataFrame, projections: DataFrame, sequences: DataFrame, allowed_stop: str | None = None) -> DataFrame:
+    """:func:`candidates` of evidence rows, whose projections have ``toga_coords`` (``chrom|start|stop|strand``) alone; rows without are left out."""
+    c = F.split("toga_coords", r"\|")
+    rows = projections.where("toga_coords is not null and toga_coords <> '0'").dropDuplicates(["canonical_id", "toga_id"])
+    rows = rows.select("canonical_id", "toga_id", "toga_label", "toga_pid", "toga_masked", "toga_coords", F.get(c, F.lit(1)).cast("long").alias("toga_start"), F.get(c, F.lit(2)).cast("long").alias("toga_stop"))
+    return candidates(transcripts, rows, sequences, allowed_stop)
+
+
 def overrule_low_scores(predictions: DataFrame, candidates: DataFrame, threshold: float = 0.03) -> DataFrame:
     """Type A: where a transcript's best score is at most ``threshold``, per label the compatible projection of highest identity.
 

@@ -16,11 +16,15 @@ from . import fixtures as X
 from .queries import _MATCHES, _TRIM, _correction_inputs, _int_list, query
 
 
-def _file(lines: DataFrame, name: str) -> str:
-    """Write a ``value`` column as text where the driver and all executors can read it; returns the folder."""
-    spark = lines.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path where the driver and all executors can write and read."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/readloom-files"
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _file(lines: DataFrame, name: str) -> str:
+    """Write a ``value`` column as text to a shared path; returns the folder."""
+    path = shared_path(lines.sparkSession, name)
     sinks.write_lines(lines, path)
     return path
 

@@ -14,6 +14,7 @@ from ..operators import correction, evidence, intervals, overrules, scoring, sel
 from ..operators import reads as R
 from ..sources import tables as T
 from . import fixtures as X
+from . import steps
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -483,6 +484,60 @@ def overrule_any_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _masked(spark, sf_dir, True)
 
 
+_SELECTED = _PROJECTIONS + """, raw AS (
+  SELECT CAST(tx AS VARCHAR) AS canonical_id, coords, p FROM fx_pred WHERE 1 - p >= 0.7e0 OR exon_no % 9 <= 4 OR exon_no % 2 = 0
+), best AS (
+  SELECT canonical_id, max(p) AS p, arg_max(coords, (p, coords)) AS coords FROM raw GROUP BY canonical_id
+), ruled AS (
+  SELECT c.canonical_id, c.toga_id, c.label, c.coords, c.pid, c.fits, best.p <= 0.03e0 AS low, bool_and(c.masked) OVER (PARTITION BY c.canonical_id, c.label) AND c.coords <> best.coords AS hidden
+  FROM candidates c LEFT JOIN best ON c.canonical_id = best.canonical_id
+), picked AS (
+  SELECT DISTINCT canonical_id, coords, pid / 100 AS p FROM (
+    SELECT *, row_number() OVER (PARTITION BY canonical_id, label, 'a' ORDER BY pid DESC, toga_id) AS k FROM ruled WHERE fits AND low
+    UNION ALL
+    SELECT *, row_number() OVER (PARTITION BY canonical_id, label ORDER BY pid DESC, toga_id) FROM ruled WHERE fits AND hidden)
+  WHERE k = 1
+), chosen AS (
+  SELECT r.canonical_id, r.coords, r.p, false AS over FROM raw r JOIN best USING (canonical_id) WHERE r.p >= 0.3e0 AND r.p >= best.p - 0.025e0
+  UNION ALL
+  SELECT canonical_id, coords, p, true FROM picked
+), final AS (
+  SELECT canonical_id, coords, max(p) AS p, arg_max(over, p) AS over FROM chosen GROUP BY canonical_id, coords
+)
+"""
+
+
+def _selected(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Scored frames and their transcripts' projections through the whole selection, overrules on."""
+    t, projections, sequences = _projections(spark, sf_dir)
+    scored = X.predictions(spark, sf_dir).select(
+        F.col("tx").cast("string").alias("canonical_id"),
+        F.col("coords").alias("genomic_coords"),
+        F.col("p").alias("class1_probability"),
+        F.col("p").alias("blast_nested_offset"),
+        (F.col("exon_no") % 9).cast("int").alias("blast_nested"),
+        F.when(F.col("exon_no") % 2 == 0, "ai").otherwise("X").alias("translationAI_id"),
+        F.lit("0").alias("toga_coords"),
+    )
+    found = overrules.projection_candidates(t, projections.drop("toga_start", "toga_stop"), sequences)
+    return steps.selection_step(t, scored, 0.3, found)
+
+
+@query(_SELECTED + "SELECT canonical_id, coords AS genomic_coords, p AS class1_probability, over AS toga_overrule, row_number() OVER (PARTITION BY canonical_id ORDER BY p DESC, coords) - 1 AS rank FROM final")
+def final_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overruled rows join after the threshold and the relative filter."""
+    return _selected(spark, sf_dir)["final"].select("canonical_id", "genomic_coords", "class1_probability", "toga_overrule", "rank")
+
+
+@query(_SELECTED + """SELECT 'coding' AS kind, canonical_id || CASE WHEN over THEN '_OVERRULED' ELSE '' END AS name, CAST(split_part(coords, '|', 2) AS BIGINT) AS thick_start, CAST(split_part(coords, '|', 3) AS BIGINT) AS thick_stop, printf('%.2f', p * 1000) AS score FROM final
+  UNION ALL SELECT 'noncoding', CAST(tx AS VARCHAR), s, e, '0' FROM fx_tx WHERE CAST(tx AS VARCHAR) NOT IN (SELECT canonical_id FROM final)""")
+def final_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coding transcripts, one row a frame, and the others."""
+    out = _selected(spark, sf_dir)
+    rows = [out[k].select(F.lit(k).alias("kind"), "name", "thick_start", "thick_stop", "score") for k in ("coding", "noncoding")]
+    return rows[0].union(rows[1])
+
+
 @query()
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames scored by a forest trained on every fifth transcript: hits against predictions and projections of the same frame."""

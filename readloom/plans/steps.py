@@ -41,20 +41,34 @@ def projections_step(frames: DataFrame, annotation: DataFrame, meta: DataFrame,
 
 
 def orf_step(transcripts: DataFrame, blast: DataFrame, predicted: DataFrame, projections: DataFrame, model, threshold: float = 0.3, candidates: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Evidence to coding and non-coding transcripts; ``candidates`` switches the overrules on."""
+    """Evidence to coding and non-coding transcripts; ``candidates`` switches the overrules on.
+
+    Tables ``uncollapsed`` (every scored row) and those of :func:`selection_step`.
+    """
     frame = evidence.merge_evidence(blast, predicted)
     frame = evidence.fill_sentinels(evidence.attach_projections(frame, projections))
-    frame = selection.distinct_rows(frame)
-    raw = scoring.score(frame, model)
-    kept = selection.nested_cutoff(raw)
+    scored = scoring.score(selection.distinct_rows(frame), model)
+    return {"uncollapsed": scored, **selection_step(transcripts, scored, threshold, candidates)}
+
+
+def selection_step(transcripts: DataFrame, scored: DataFrame, threshold: float = 0.3, candidates: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Scored frames to coding and non-coding transcripts: tables ``raw``, ``final``, ``coding`` and ``noncoding``.
+
+    ``raw`` holds what the nested cutoff leaves. The overrules look at it, and their rows join the final set after the
+    threshold and the relative filter: an overruling projection neither raises its transcript's best score nor has
+    to come near it.
+    """
+    raw = selection.nested_cutoff(scored)
+    if candidates is not None:  # each is read several times below
+        raw, candidates = _written(raw), _written(candidates)
+    chosen = selection.relative_score_filter(selection.above_threshold(raw, threshold), "class1_probability", "canonical_id")
     if candidates is not None:
-        kept = overrules.with_overrules(kept, overrules.overrule_low_scores(kept, candidates), overrules.overrule_masked(kept, candidates))
-    chosen = selection.relative_score_filter(selection.above_threshold(kept, threshold), "class1_probability", "canonical_id")
+        chosen = overrules.with_overrules(chosen, overrules.overrule_low_scores(raw, candidates), overrules.overrule_masked(raw, candidates))
     best = selection.best_per_key(chosen, ("canonical_id", "genomic_coords"), "class1_probability")
     final = selection.rank_orfs(best, "class1_probability", "canonical_id", "genomic_coords")
     orfs = final.select(F.col("canonical_id").alias("name"), F.col("genomic_coords").alias("coords"), F.col("class1_probability").alias("p"), *([F.coalesce("toga_overrule", F.lit(False)).alias("overruled")] if "toga_overrule" in final.columns else []))
     coding, noncoding = selection.coding_split(transcripts, orfs, "name")
-    return {"raw": raw, "uncollapsed": kept, "final": final, "coding": coding, "noncoding": noncoding}
+    return {"raw": raw, "final": final, "coding": coding, "noncoding": noncoding}
 
 
 def run_steps(config: Config, runners: dict[Step, Callable], run_folder: str, dry_run: bool = False) -> list[str]:

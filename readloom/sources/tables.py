@@ -257,28 +257,3 @@ def is_compressed(spark: SparkSession, path: str) -> DataFrame:
         finally:
             stream.close()
     return spark.createDataFrame(rows, T.StructType().add("path", "string").add("compressed", "boolean"))
-
-
-#: Bases of a chromosome in one row of a genome cut for slicing.
-TILE = 1 << 16
-
-
-def slice_genome(genome: DataFrame, spans: DataFrame, tile: int = TILE) -> DataFrame:
-    """Sequences of (chrom, start, stop, strand) spans of a (chrom, seq) genome, reverse-complemented on -.
-
-    The genome is cut into tiles and each span meets only those it touches, so no span travels with a chromosome
-    and a long chromosome's spans spread over its tiles. Spans of unknown chromosomes are left out.
-    """
-    from ..functions.sequence import reverse_complement
-
-    tiles = genome.select("chrom", F.length("seq").alias("_n"), "seq").withColumn("_tile", F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.col("_n") - 1, F.lit(0)) / tile).cast("int"))))
-    tiles = tiles.select(F.col("chrom").alias("_chrom"), "_tile", F.substring("seq", F.col("_tile") * tile + 1, F.lit(tile)).alias("_part"))
-    keys = ("chrom", "start", "stop")
-    asked = spans.select(*keys).distinct().withColumn("_t", F.explode(F.sequence(F.floor(F.col("start") / tile).cast("int"), F.floor(F.greatest(F.col("start"), F.col("stop") - 1) / tile).cast("int"))))
-    met = asked.join(tiles, (F.col("chrom") == F.col("_chrom")) & (F.col("_t") == F.col("_tile")))
-    begin = F.greatest(F.col("start") - F.col("_t") * tile, F.lit(0))
-    part = F.substring("_part", (begin + 1).cast("int"), (F.least(F.col("stop") - F.col("_t") * tile, F.lit(tile)) - begin).cast("int"))
-    piece = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_t", part.alias("s")))), lambda x: x["s"]), "")
-    pieces = met.groupBy(*keys).agg(piece.alias("_piece"))
-    piece = F.col("_piece")
-    return spans.join(pieces, list(keys)).withColumn("seq", F.when(F.col("strand") == "-", reverse_complement(piece)).otherwise(piece)).select(*spans.columns, "seq")

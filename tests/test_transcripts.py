@@ -400,13 +400,3 @@ def test_cli_runs_the_tail_step(spark, tmp_path):
     assert spark.read.text(f"{folder}/bed").first().value.split("\t")[:3] == ["chr1", "300", "412"]
     with pytest.raises(ValueError):
         cli.main(["run-step", "--config", str(config), "--output", str(tmp_path / "no"), "--only", "ccs"], chosen)
-
-
-def test_slices_over_tiles(spark):
-    from readloom.sources import tables as T
-
-    genome = spark.createDataFrame([("a", "ACGTACGTTTGCA" * 3), ("b", "")], "chrom string, seq string")
-    spans = spark.createDataFrame([("a", 0, 39, "+"), ("a", 4, 5, "-"), ("a", 7, 24, "-"), ("a", 7, 24, "-"), ("c", 1, 2, "+")], "chrom string, start long, stop long, strand string")
-    whole = "ACGTACGTTTGCA" * 3
-    turned = whole[7:24][::-1].translate(str.maketrans("ACGT", "TGCA"))
-    assert sorted(r.seq for r in T.slice_genome(genome, spans, tile=5).collect()) == sorted([whole, "T", turned, turned])
