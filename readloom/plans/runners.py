@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import reads as R
 from ..operators import overrules, scoring
+from ..sources import alignments as A
 from ..sources import genomes as G
 from ..sources import sinks
 from ..sources import tables as T
@@ -21,16 +22,15 @@ from .steps import orf_step, polya_step
 
 def runners(spark: SparkSession) -> dict[Step, Callable[[Config, str, str], None]]:
     def polya(config: Config, before: str, after: str) -> None:
-        """SAM files in ``before``; parameters ``annotation`` (BED12) and ``genome`` (.2bit or FASTA). Writes good reads as SAM and BED12, and statistics."""
-        aligned = T.read_sam(spark, before).withColumn("read_id", F.concat_ws("/", "name", "file_pos")).drop("file_pos")
+        """SAM or BAM files in ``before``; parameters ``annotation`` (BED12) and ``genome`` (.2bit or FASTA). Writes good reads as sorted BAM (SAM if ``text`` is set) with the header of the input, as BED12, and statistics."""
+        aligned = A.read_alignments(spark, before).withColumn("read_id", F.concat_ws("/", "name", "file_pos")).drop("file_pos")
         exons = T.bed12_to_exons(T.parse_bed(T.lines(spark, config.get(Step.POLYA, "annotation"))).where("bed_error is null").drop("value", "file_pos"))
         exons = exons.select(F.col("name").alias("tx"), "exon_no", "chrom", "strand", "start", "stop")
         seqs = G.slices(G.genome_index(spark, config.get(Step.POLYA, "genome")), exons).select("tx", "exon_no", "seq")
         limits = [R.QualityLimits(config.get(Step.POLYA, "identity", default=x.per_id), config.get(Step.POLYA, "clip5", default=x.clip5), x.clip3, x.poly_a_read_suffix) for x in (R.FIRST_PASS, R.SECOND_PASS)]
         out = polya_step(aligned, exons.withColumnsRenamed({"start": "s", "stop": "e"}), seqs, *limits)
-        header = T.sam_header(spark, before).select("value").distinct()
-        sinks.write_lines(header, f"{after}/header")
-        sinks.write_lines(T.render_sam(out["good"].withColumn("name", F.col("tagged_name"))), f"{after}/sam")
+        good = out["good"].withColumn("name", F.col("tagged_name"))
+        A.write_alignments(good, f"{after}/alignments", A.header_of(before), "sam" if config.get(Step.POLYA, "text", default=False) else "bam")
         sinks.write_lines(T.render_bed(out["bed"]), f"{after}/bed")
         sinks.write_lines(sinks.read_statistics(out["measured"]), f"{after}/statistics")
 

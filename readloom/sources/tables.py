@@ -240,20 +240,3 @@ def list_files(spark: SparkSession, folder: str, ending: str = ".bam") -> DataFr
     """Paths in a folder (not below) that end so, whatever the case."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder).select("path", "length")
     return rows.where(F.lower("path").endswith(ending.lower()))
-
-
-def is_compressed(spark: SparkSession, path: str) -> DataFrame:
-    """(path, compressed): does the file begin with the gzip magic, as BAM does? Two bytes of each file are read."""
-    from pyspark.sql import types as T
-
-    sc = spark.sparkContext
-    hadoop, jvm = sc._jsc.hadoopConfiguration(), spark._jvm
-    rows = []
-    for f in list_files(spark, path, "").select("path").toLocalIterator():
-        where = jvm.org.apache.hadoop.fs.Path(f.path)
-        stream = where.getFileSystem(hadoop).open(where)
-        try:
-            rows.append((f.path, (stream.read(), stream.read()) == (0x1F, 0x8B)))
-        finally:
-            stream.close()
-    return spark.createDataFrame(rows, T.StructType().add("path", "string").add("compressed", "boolean"))

@@ -16,6 +16,7 @@ from readloom.plans import steps
 from readloom.plans.cli import main
 from readloom.plans.config import Config, Step, select_steps
 from readloom.plans.external import chunk_names, merge_groups, missing_tools, run_on_chunks
+from readloom.sources import alignments as A
 from readloom.sources import sinks
 from readloom.sources import tables as T
 
@@ -395,8 +396,8 @@ def test_cli_runs_the_tail_step(spark, tmp_path):
     step = {runners.Step.POLYA: lambda c, before, after: chosen[runners.Step.POLYA](c, f"{tmp_path}/in", after)}
     said = cli.main(["run-step", "--config", str(config), "--output", str(tmp_path / "out"), "--only", "polya"], step)
     folder = said[0].split(" -> ")[1]
-    got = [r.value.split("\t") for r in spark.read.text(f"{folder}/sam").collect()]
-    assert [(r[3], r[5]) for r in got] == [("301", "60=40N12=8S")]
+    got = A.read_bam(spark, f"{folder}/alignments").collect()
+    assert [(r.pos, r.cigar) for r in got] == [(301, "60=40N12=8S")] and A.header_of(f"{folder}/alignments") == "@SQ\tSN:chr1\tLN:600\n"
     assert spark.read.text(f"{folder}/bed").first().value.split("\t")[:3] == ["chr1", "300", "412"]
     with pytest.raises(ValueError):
         cli.main(["run-step", "--config", str(config), "--output", str(tmp_path / "no"), "--only", "ccs"], chosen)
