@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -62,6 +62,60 @@ def correct(reads: DataFrame, exons: DataFrame, exon_seqs: DataFrame, wiggle: in
     return corrected.unionByName(rest)
 
 
+def exons_of_reads(matches: DataFrame) -> DataFrame:
+    """(read_id, exons): the exons, ``tx#exon_no`` in order, that each read's clip reaches over to."""
+    exon = F.struct("tx", "exon_no")
+    return matches.where("matched").groupBy("read_id").agg(F.transform(F.array_sort(F.collect_set(exon)), lambda x: F.concat_ws("#", x["tx"].cast("string"), x["exon_no"].cast("string"))).alias("exons"))
+
+
+#: What a report tells of the hits: those off the exon's end, all matched and unmatched ones, reads with an unmatched hit, reads renamed by their matched
+#: clip, corrected alignments, and corrections that repeat another one of the read.
+KINDS = ("wiggle", "hit_true", "hit_false", "discarded", "matched_clip", "corrected", "collapsed")
+
+
+def report(reads: DataFrame, matches: DataFrame) -> DataFrame:
+    """Everything there is to say about the hits, in one pass over them: kind, read_id, tx, exon_no, clip, offset, name, flag, pos, cigar.
+
+    A read and its hits meet once, and one shuffle by read serves all the orders within it.
+    """
+    own = matches.select("read_id", F.col("strand").alias("_strand"), "read_start", "read_stop", "clip", "offset", "tx", "exon_no", "next_s", "next_e", "matched")
+    rows = reads.select("read_id", "name", "flag", "pos", "cigar").join(own, "read_id").withColumn("_ops", C.parse(F.col("cigar")))
+    minus, size = F.col("_strand") == "-", F.length("clip")
+    forward_gap, reverse_gap = F.col("next_s") - F.col("read_stop"), F.col("read_start") - F.col("next_e")
+    ops = F.when(minus, C.extend_reverse(F.col("_ops"), reverse_gap, size, F.col("offset"))).otherwise(C.extend_forward(F.col("_ops"), forward_gap, size, F.col("offset")))
+    shift = reverse_gap + F.when(F.col("offset") < 0, 1).otherwise(0) + size
+    rows = rows.withColumns({"_cigar": F.when(F.col("matched"), C.render(ops)), "_pos": F.when(minus, F.col("pos") - shift).otherwise(F.col("pos"))})
+    at = ("tx", "exon_no")
+    alike = W.partitionBy("read_id", "matched")
+    rows = rows.withColumns({"_same": F.row_number().over(W.partitionBy("read_id", "_cigar").orderBy(*at)), "_first": F.row_number().over(alike.orderBy(*at)), "_last": F.row_number().over(alike.orderBy(*[F.desc(c) for c in at]))})
+    rows = rows.withColumn("_rank", F.row_number().over(W.partitionBy("read_id").orderBy(F.desc("matched"), (F.col("_same") > 1).asc(), *at, "_cigar")))
+    flag = F.when(F.col("_rank") > 1, F.when(minus, 272).otherwise(256)).otherwise(F.col("flag")).cast("int")
+
+    def line(kind, when, name=None, flag=None, changed=False):
+        values = (F.lit(kind).alias("kind"), (F.col("name") if name is None else name).alias("name"), (F.col("flag") if flag is None else flag).cast("int").alias("flag"), F.col("_pos" if changed else "pos").cast("long").alias("pos"), F.col("_cigar" if changed else "cigar").alias("cigar"))
+        return F.when(when, F.struct(*values))
+
+    bare = S.without_clip3(F.col("name"))
+    lines = F.array(
+        line("wiggle", F.col("offset") != 0),
+        line("hit_true", F.col("matched")),
+        line("hit_false", ~F.col("matched")),
+        line("discarded", ~F.col("matched") & (F.col("_first") == 1)),
+        line("matched_clip", F.col("matched") & (F.col("_last") == 1), F.concat_ws("_", "name", "clip")),
+        line("corrected", F.col("matched") & (F.col("_same") == 1), bare, flag, True),
+        line("collapsed", F.col("matched") & (F.col("_same") > 1), bare, F.col("flag"), True),
+    )
+    return rows.select("read_id", "tx", "exon_no", "clip", "offset", F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("x")).select("x.kind", "read_id", "tx", "exon_no", "clip", "offset", "x.name", "x.flag", "x.pos", "x.cigar")
+
+
+def observed(matches: DataFrame, name: str = "correction") -> tuple[DataFrame, Observation]:
+    """``matches``, counted as they pass: n_hits, n_matched, n_off_end (hits beside the exon's end) and clip_bases of the matched."""
+    seen = Observation(name)
+    matched = F.col("matched").cast("long")
+    counted = matches.observe(seen, F.count("*").alias("n_hits"), F.coalesce(F.sum(matched), F.lit(0)).alias("n_matched"), F.coalesce(F.sum((F.col("offset") != 0).cast("long")), F.lit(0)).alias("n_off_end"), F.coalesce(F.sum(F.when(F.col("matched"), F.length("clip"))), F.lit(0)).cast("long").alias("clip_bases"))
+    return counted, seen
+
+
 def several_variants(corrected: DataFrame) -> DataFrame:
     """How many reads have more than one corrected alignment."""
     return corrected.groupBy("read_id").count().where("count > 1").agg(F.count("*").alias("n_reads"))

@@ -123,6 +123,21 @@ def prediction_bed(transcripts: DataFrame, predictions: DataFrame, first_gets_co
     return B.trim_ends(rows, F.col("orf_start"), F.col("_cut")).drop("_cut")
 
 
+def predictions_on_bed(predictions: DataFrame, bed: DataFrame) -> DataFrame:
+    """Scores of predictions (id, start_score, stop_score) with the coordinates of their trimmed blocks; ids are ``tx_variant``.
+
+    (translationAI_coords, translationAI_id, translationAI_orf_start, translationAI_orf_stop); blocks without prediction are left out.
+    """
+    rows = bed.select("chrom", "start", "stop", "strand", "name").join(predictions, F.col("name") == F.col("id"))
+    coords = S.coordinates(F.col("chrom"), F.col("start"), F.col("stop"), F.col("strand"))
+    return rows.select(coords.alias("translationAI_coords"), F.regexp_replace("name", "_[^_]*$", "").alias("translationAI_id"), F.col("start_score").alias("translationAI_orf_start"), F.col("stop_score").alias("translationAI_orf_stop"))
+
+
+def in_phase(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Lines whose last column is ``+``."""
+    return lines.where(F.trim(F.substring_index(value, "\t", -1)) == "+")
+
+
 def nested_coding(orfs: DataFrame, nested: DataFrame) -> DataFrame:
     """Nested frames cut out of their exported frames: ``offset`` codons and the start codon go from the 5' end.
 

@@ -192,3 +192,86 @@ def distinct_above_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = X.exons(spark, sf_dir).select("tx", F.concat(F.col("tx").cast("string"), F.lit(".p"), (F.col("tx") % 9).cast("string"), F.lit("_ORF"), (F.col("exon_no") + 1).cast("string")).alias("name"))
     return e.select("tx", "name", S.canonical_id(F.col("name")).alias("canonical"), S.nested_number(F.col("name")).alias("nested"))
+
+
+@query("""SELECT tx, strand, CASE WHEN strand = '-' THEN r ELSE l END AS clip5, raw - tail AS clip3, CAST(tail AS INT) AS poly_a, hard AS hard_clip3, CASE WHEN strand = '-' THEN pos ELSE pos + span - 1 END AS tes,
+  per_id * 100 >= 98 AND raw - tail <= 20 AND CASE WHEN strand = '-' THEN r ELSE l END <= 20 AS good
+  FROM (SELECT *, CASE WHEN hard THEN 0 ELSE raw - raw // 3 END AS tail FROM (
+    SELECT tx, pos, span, CAST(matches AS DOUBLE) / aligned AS per_id, tx % 30 AS l, tx % 45 AS r, tx % 11 = 1 AS hard, o.strand, CASE WHEN o.strand = '-' THEN tx % 30 ELSE tx % 45 END AS raw
+    FROM (SELECT * EXCLUDE (strand), CASE WHEN tx % 11 = 2 OR (strand = '-' AND tx % 11 <> 3) THEN '-' ELSE '+' END AS strand FROM fx_sam WHERE tx % 11 <> 0) o))""")
+def odd_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unmapped reads go, hard clips have no tail, flags tell the strand by value, and a clip is partly no tail."""
+    return R.measure(X.odd_alignments(spark, sf_dir), R.QualityLimits()).select("tx", "strand", "clip5", "clip3", "poly_a", "hard_clip3", "tes", "good")
+
+
+_REPORT = _MATCHES + """, bent AS (
+  SELECT *, length(clip) AS n, e - s AS body, CASE WHEN strand = '-' THEN s - next_e ELSE next_s - e END AS gap FROM matched
+), cigars AS (
+  SELECT read_id, tx, exon_no, strand, clip,
+    CASE WHEN strand = '-' THEN (17 - n + abs(off))::INT || 'S' || n || '=' || (gap + abs(off))::INT || 'N' || (body - abs(off))::INT || '=3S'
+      ELSE '3S' || (body - off)::INT || '=' || (gap + off)::INT || 'N' || n || '=' || (17 - n + off)::INT || 'S' END AS cigar,
+    s + 1 - CASE WHEN strand = '-' THEN gap + CASE WHEN off < 0 THEN 1 ELSE 0 END + n ELSE 0 END AS pos
+  FROM bent
+), same AS (
+  SELECT *, row_number() OVER (PARTITION BY read_id, cigar ORDER BY tx, exon_no) AS k FROM cigars
+), told AS (
+  SELECT *, length(clip) > 4 AND starts_with(next_seq, clip) AS ok, CASE WHEN strand = '-' THEN '17S' || (e - s) || '=3S' ELSE '3S' || (e - s) || '=17S' END AS cigar, s + 1 AS pos FROM met
+), kinds AS (
+  SELECT 'wiggle' AS kind, read_id, tx, exon_no, cigar, pos FROM told WHERE off <> 0
+  UNION ALL SELECT CASE WHEN ok THEN 'hit_true' ELSE 'hit_false' END, read_id, tx, exon_no, cigar, pos FROM told
+  UNION ALL SELECT * FROM (SELECT DISTINCT ON (read_id) 'discarded', read_id, tx, exon_no, cigar, pos FROM told WHERE NOT ok ORDER BY read_id, tx, exon_no)
+  UNION ALL SELECT * FROM (SELECT DISTINCT ON (read_id) 'matched_clip', read_id, tx, exon_no, cigar, pos FROM told WHERE ok ORDER BY read_id, tx DESC, exon_no DESC)
+  UNION ALL SELECT CASE WHEN k = 1 THEN 'corrected' ELSE 'collapsed' END, read_id, tx, exon_no, cigar, pos FROM same
+)
+"""
+
+
+@query(_REPORT + "SELECT * FROM kinds")
+def correction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All kinds written in one pass, and read back."""
+    reads, e, seqs = _correction_inputs(spark, sf_dir)
+    path = shared_path(spark, "report")
+    sinks.write_kinds(correction.report(reads, correction.clip_matches(reads, e, seqs)), path)
+    f = F.split("value", "\t")
+    back = spark.read.text(path).select("kind", f[0].alias("read_id"), f[1].cast("long").alias("tx"), f[2].cast("long").alias("exon_no"), f[7].cast("long").alias("pos"), f[8].alias("cigar"))
+    return back.select("kind", "read_id", "tx", "exon_no", "cigar", "pos")
+
+
+@query(_MATCHES + """SELECT CAST(count(*) AS BIGINT) AS n_hits, CAST(count(*) FILTER (ok) AS BIGINT) AS n_matched, CAST(count(*) FILTER (off <> 0) AS BIGINT) AS n_off_end, CAST(coalesce(sum(length(clip)) FILTER (ok), 0) AS BIGINT) AS clip_bases
+  FROM (SELECT *, length(clip) > 4 AND starts_with(next_seq, clip) AS ok FROM met)""")
+def correction_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted while the report is written, without another pass."""
+    reads, e, seqs = _correction_inputs(spark, sf_dir)
+    matches, seen = correction.observed(correction.clip_matches(reads, e, seqs), f"correction-{uuid.uuid4().hex}")
+    sinks.write_kinds(correction.report(reads, matches), shared_path(spark, "report"))
+    names = ("n_hits", "n_matched", "n_off_end", "clip_bases")
+    return spark.createDataFrame([tuple(seen.get[c] for c in names)], ", ".join(f"{c} long" for c in names))
+
+
+@query(_MATCHES + "SELECT read_id, string_agg(tx || '#' || exon_no, ',' ORDER BY tx, exon_no) AS exons FROM (SELECT DISTINCT read_id, tx, exon_no FROM matched) GROUP BY read_id")
+def exons_of_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads, e, seqs = _correction_inputs(spark, sf_dir)
+    return correction.exons_of_reads(correction.clip_matches(reads, e, seqs)).select("read_id", F.array_join("exons", ",").alias("exons"))
+
+
+@query(_MATCHES + "SELECT DISTINCT read_id FROM matched")
+def corrected_semijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads that have a matched hit."""
+    reads, e, seqs = _correction_inputs(spark, sf_dir)
+    return reads.join(correction.clip_matches(reads, e, seqs).where("matched"), "read_id", "left_semi").select("read_id")
+
+
+@query("""SELECT concat_ws('|', chrom, CAST(s AS VARCHAR), CAST(e AS VARCHAR), strand) AS "translationAI_coords", CAST(tx AS VARCHAR) AS "translationAI_id", CAST(tx % 10 AS DOUBLE) / 10 AS "translationAI_orf_start", CAST(v AS DOUBLE) AS "translationAI_orf_stop"
+  FROM fx_tx, (SELECT unnest(range(2)) AS v)""")
+def predictions_on_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two variants of each transcript, through the table of scores."""
+    t = X.transcripts(spark, sf_dir).withColumn("v", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("name", F.concat_ws("_", "name", F.col("v").cast("string")))
+    scores = T.read_clean_predictions(spark, _file(_tsv(t, "name", F.lit("x"), F.lit("y"), F.col("tx") % 10 / F.lit(10), "v"), "scores"))
+    return evidence.predictions_on_bed(scores, t)
+
+
+@query("SELECT tx, exon_no FROM fx_exons WHERE strand = '+'")
+def in_phase_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = T.lines(spark, _file(_tsv(X.exons(spark, sf_dir), "tx", "exon_no", "strand"), "phase"))
+    f = F.split("value", "\t")
+    return evidence.in_phase(lines).select(f[0].cast("long").alias("tx"), f[1].cast("long").alias("exon_no"))

@@ -79,6 +79,15 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("tx", F.col("tx").cast("string").alias("name"), F.when(F.col("strand") == "-", 16).otherwise(0).alias("flag"), "chrom", "pos", F.lit(60).alias("mapq"), cigar.alias("cigar"), seq.alias("seq"), F.array().cast("array<string>").alias("tags"))
 
 
+def odd_alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alignments with unmapped reads, hard clips, supplementary and secondary flags; a third of each clip is no tail."""
+    k, left, right = F.col("tx") % 11, (F.col("tx") % 30).cast("int"), (F.col("tx") % 45).cast("int")
+    part = lambda n: F.floor(n / 3).cast("int")
+    seq = F.concat(F.repeat(F.lit("T"), left - part(left)), F.repeat(F.lit("G"), part(left)), F.lit("GATTACAGATTACA"), F.repeat(F.lit("C"), part(right)), F.repeat(F.lit("A"), right - part(right)))
+    flag = F.when(k == 0, 4).when(k == 2, 2064).when(k == 3, 272).otherwise(F.col("flag")).cast("int")
+    return alignments(spark, sf_dir).withColumns({"flag": flag, "seq": seq, "cigar": F.when(k == 1, F.regexp_replace("cigar", "S$", "H")).otherwise(F.col("cigar"))})
+
+
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lang, seq: whole texts as bases with an A tail."""
     letters = F.upper(F.regexp_replace("text", "[^a-zA-Z]", ""))

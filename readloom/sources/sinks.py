@@ -38,6 +38,12 @@ def fasta_lines(df: DataFrame, distinct: bool = True) -> DataFrame:
     return (out.distinct() if distinct else out).select(F.concat(F.lit(">"), "id", F.lit("\n"), "seq").alias("value"))
 
 
+def write_kinds(report: DataFrame, path: str, kind: str = "kind") -> None:
+    """All kinds of a report in one pass: tab-separated rows in ``path/kind=...``; an existing output is refused."""
+    rest = [c for c in report.columns if c != kind]
+    report.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rest]).alias("value"), kind).write.mode("errorifexists").partitionBy(kind).text(path)
+
+
 def write_chunks(df: DataFrame, path: str, rows: int) -> None:
     """Text files of at most ``rows`` records; none is lost."""
     df.select("value").write.option("maxRecordsPerFile", rows).text(path)
