@@ -38,7 +38,7 @@ class _Paths:
     """Rules of one host below one run of whole segments."""
 
     below: dict = field(default_factory=dict)
-    partial: list = field(default_factory=list)  # (start of the next segment, rank, verdict, rule)
+    partial: dict = field(default_factory=dict)  # length: {start of the next segment: (rank, verdict, rule)}, the best of each start
 
 
 @dataclass
@@ -69,7 +69,9 @@ class UrlTrie:
             spot, parts = node.paths, path.split("/")
             for part in parts[:-1]:
                 spot = spot.below.setdefault(part, _Paths())
-            spot.partial.append((parts[-1], (len(host) + len(path), len(labels), verdict == "block"), verdict, host + path))
+            same, rank = spot.partial.setdefault(len(parts[-1]), {}), (len(host) + len(path), len(labels), verdict == "block")
+            if parts[-1] not in same or rank > same[parts[-1]][0]:
+                same[parts[-1]] = rank, verdict, host + path
 
     def find(self, host: str, path: str):
         """(verdict, rule) of the longest fitting rule, or None."""
@@ -80,9 +82,11 @@ class UrlTrie:
             if node.paths is not None:
                 spot = node.paths
                 for segment in segments:
-                    for start, rank, verdict, rule in spot.partial:
-                        if segment.startswith(start) and (best is None or rank > best[0]):
-                            best = rank, verdict, rule
+                    # Rules that end here have few lengths, however many they are: one look a length.
+                    for n, starts in spot.partial.items():
+                        got = starts.get(segment[:n]) if n <= len(segment) else None
+                        if got is not None and (best is None or got[0] > best[0]):
+                            best = got
                     spot = spot.below.get(segment)
                     if spot is None:
                         break
