@@ -6,7 +6,7 @@ times what it has; a source's blocks go to its shards the same way, by shard siz
 shard, documents stand in seeded order; whole epochs take every block, and the rest of the
 quota takes consecutive blocks of that order from a seeded place, round the end.
 
-One row a source and shard reaches the driver, and no text passes the window: at most ``most_shards`` and one more a
+One row a source and shard reaches the driver, and no text passes the query's and the stage's window: at most ``most_shards`` and one more a
 source. A shard holds about ``shard_tokens`` tokens, or more where that bound asks for it, so a
 hot source has many shards and no window is larger than a shard.
 
@@ -157,4 +157,9 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words are never taken; a null source is a source of its own; rows repeating an id or
     all of a document are documents of their own; an empty table stays empty; other columns pass through.
     """
-    return repeat_documents(mix(docs)).select(*docs.columns)
+    narrow = save(sized(docs).drop("text"), "sizes")
+    kept = repeat_documents(mix_sized(narrow))
+    # The texts meet the documents that are taken afterwards, by the 128 bits of id and text that place a row; null ones are never taken.
+    key = ("_order", "_deal")
+    texts = docs.where("text is not null").select(order_key("doc_id", "text", 7).alias("_order"), order_key("doc_id", "text", 8).alias("_deal"), "text").dropDuplicates(key)
+    return kept.join(texts, list(key)).select(*docs.columns)
