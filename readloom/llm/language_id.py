@@ -1,22 +1,25 @@
 """Language identification (operator 9).
 
 Multinomial naive Bayes over hashed character n-grams (1 to 3 characters, ``BUCKETS`` buckets,
-lower-cased). Counts come from a sample of labelled documents of at most about
-``sample_per_lang`` a language (all of a rarer language), chosen by a hash of the id, of the
-``most_langs`` most frequent languages (ties by name). The log-probability matrix, languages x
-buckets in float32, is broadcast: 26 MB at most, whatever the corpus holds. Batches are scored as sparse rows in numpy: bucket ids of all n-grams, gathered
-log-probabilities, sums by document.
+lower-cased). Counts come from a sample of labelled documents of about ``sample_per_lang`` a
+language (all of a rarer language), chosen by a hash of id and text. Every language is learned; the log-probability
+matrix is cut into groups of ``GROUP`` languages (17 MB in float32), of which one at a time is built, broadcast and
+scored, so that neither the driver nor a task ever holds more, whatever the corpus holds. Batches are scored as sparse rows in
+numpy: bucket ids of all n-grams, gathered log-probabilities, sums by document. With several groups each gives a
+document's best language and the sum of its likelihoods, and these are put together by id and text.
 
 ``score`` is the posterior probability of the predicted language under equal priors.
 
 Defined results: null text and text without a letter get ``und`` with score 0; with no labelled
 documents to learn from, everything is ``und``. A null id counts as empty text in the fold
-(crc32 0: held out). Repeated rows are labelled alike. Result columns replace input columns of
-the same name; other columns pass through. A text of any length is scored in pieces.
+(crc32 0: held out). Repeated rows are labelled alike, and drawn together; of languages that score the same the first by name
+is told. Result columns replace input columns of
+the same name; other columns pass through. A text of any length is scored in pieces. The names of the languages are held on the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_fold, release_memory, table, tidy
+from .common import bounded_batches, crc_fold, forget, release_memory, save, table, tidy
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANG = 2000
-MOST_LANGS = 100
+#: Languages that are scored at once.
+GROUP = 64
 PIECE_CHARS = 1_000_000
 _ODD = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 
@@ -82,80 +86,135 @@ def _owned(ids: list[np.ndarray], bounds: np.ndarray, own: list[int]) -> None:
 
 
 @dataclass
-class LanguageModel:
+class LanguageGroup:
+    """Some of a model's languages: their names and log-probabilities, and what they say about texts."""
+
     langs: list[str]
     logp: np.ndarray  # languages x (BUCKETS + 1); the last bucket weighs nothing
 
+    def predict(self, texts: list[str], piece_chars: int = PIECE_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the best language, its log-likelihood, log of the sum of all likelihoods) of texts."""
+        total = np.zeros((len(texts), len(self.langs)))
+        for rows, pieces, own in _pieces(texts, piece_chars):
+            ids, bounds = ngram_buckets(pieces)
+            _owned(ids, bounds, own)
+            for i, row in enumerate(self.logp):
+                gathered = row[ids[0]].astype(np.float64)
+                for one in ids[1:]:
+                    gathered += row[one]
+                np.add.at(total[:, i], rows, np.add.reduceat(gathered, bounds[:-1]))
+        best, top = total.argmax(axis=1), total.max(axis=1, initial=-np.inf)
+        return best, top, top + np.log(np.exp(total - top[:, None]).sum(axis=1))
+
+
+@dataclass
+class LanguageModel:
+    """Counted n-grams of all languages; ``groups`` gives their matrices, one at a time."""
+
+    langs: list[str]
+    counted: DataFrame | None
+    group: int = GROUP
+
     @classmethod
-    def fit(cls, docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_per_lang: int = SAMPLE_PER_LANG, most_langs: int = MOST_LANGS) -> LanguageModel:
-        """Learn from all rows of ``docs`` with text and language, sampled by id where a language has many."""
-        labelled = bounded_batches(docs).select(F.col(key).alias("_key"), F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text")).where("_lang is not null and _text is not null")
-        counts = {r[0]: r[1] for r in labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(most_langs).collect()}
-        langs = sorted(counts)
+    def fit(cls, docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_per_lang: int = SAMPLE_PER_LANG, group: int = GROUP) -> LanguageModel:
+        """Learn from all rows of ``docs`` with text and language, sampled where a language has many."""
+        draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
+        labelled = bounded_batches(docs).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text"), draw.alias("_draw"))
+        counts = labelled.groupBy("_lang").count()
+        langs = sorted(r[0] for r in counts.select("_lang").collect())
         if not langs:
-            return cls([], np.zeros((0, BUCKETS + 1), np.float32))
-        draw = F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-        rates = docs.sparkSession.createDataFrame([(x, i, min(1.0, sample_per_lang / counts[x])) for i, x in enumerate(langs)], "_name string, _code int, _rate double")
-        sample = labelled.join(F.broadcast(rates), F.col("_lang") == F.col("_name")).where(draw < F.col("_rate")).select("_code", "_text")
+            return cls([], None, group)
+        spark = docs.sparkSession
+        codes = spark.createDataFrame(list(zip(langs, range(len(langs)))), "_name string, _code int")
+        rates = counts.join(codes, F.col("_lang") == F.col("_name")).select("_name", "_code", (F.lit(float(sample_per_lang)) / F.col("count")).alias("_rate"))
+        sample = labelled.join(rates, F.col("_lang") == F.col("_name")).where(F.col("_draw") < F.col("_rate")).select("_code", "_text", "_draw")
 
         def count(batches):
-            held = np.zeros((len(langs), BUCKETS + 1), np.int64)
+            held: dict[int, np.ndarray] = {}
             for batch in batches:
                 codes, texts = np.asarray(batch.column(0)), batch.column(1).to_pylist()
                 for rows, pieces, own in _pieces(texts, PIECE_CHARS):
                     ids, bounds = ngram_buckets(pieces)
                     _owned(ids, bounds, own)
                     code = np.repeat(codes[rows], np.diff(bounds))
-                    for i in np.unique(codes[rows]):
+                    for i in np.unique(codes[rows]).tolist():
+                        if i not in held:
+                            if len(held) >= GROUP:
+                                yield from _counts(held)
+                                held.clear()
+                            held[i] = np.zeros(BUCKETS + 1, np.int64)
                         for one in ids:
                             held[i] += np.bincount(one[code == i], minlength=BUCKETS + 1)
-            code, bucket = np.nonzero(held[:, :BUCKETS])
-            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int32()), pa.array(bucket, pa.int32()), pa.array(held[code, bucket], pa.int64())], names=["code", "bucket", "n"])
-
-        counted = sample.repartition(16).mapInArrow(tidy(count), "code int, bucket int, n long").groupBy("code", "bucket").agg(F.sum("n").alias("n")).toArrow()
-        total = np.full((len(langs), BUCKETS + 1), 0.5)
-        total[np.asarray(counted["code"]), np.asarray(counted["bucket"])] += np.asarray(counted["n"])
-        logp = np.log(total / total[:, :BUCKETS].sum(axis=1, keepdims=True))
-        logp[:, BUCKETS] = 0
-        return cls(langs, logp.astype(np.float32))
-
-    def predict(self, texts: list[str], piece_chars: int = PIECE_CHARS) -> tuple[np.ndarray, np.ndarray]:
-        """(index of the best language, its posterior) of texts; 0 and 0 for an empty text."""
-        total = np.zeros((len(texts), len(self.langs)))
-        for rows, pieces, own in _pieces(texts, piece_chars):
-            ids, bounds = ngram_buckets(pieces)
-            _owned(ids, bounds, own)
-            for i, row in enumerate(self.logp):
-                gathered = row[ids[0]].astype(np.float64)
-                for one in ids[1:]:
-                    gathered += row[one]
-                np.add.at(total[:, i], rows, np.add.reduceat(gathered, bounds[:-1]))
-        top = total.max(axis=1, keepdims=True)
-        full = np.array([len(t) > 0 for t in texts], bool)
-        return np.where(full, total.argmax(axis=1), 0), np.where(full, 1 / np.exp(total - top).sum(axis=1), 0.0)
+            yield from _counts(held)
 
+        counted = sample.repartition("_draw").select("_code", "_text").mapInArrow(tidy(count), "code int, bucket int, n long").groupBy("code", "bucket").agg(F.sum("n").alias("n"))
+        return cls(langs, save(counted, "ngrams"), group)
 
-def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """All columns with lang_pred and score."""
-    spark = bounded_batches(df).sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    rest = [c for c in df.columns if c not in ("lang_pred", "score")]
-    lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    def groups(self) -> Iterator[LanguageGroup]:
+        for first in range(0, len(self.langs), self.group):
+            names = self.langs[first : first + self.group]
+            got = self.counted.where((F.col("code") >= first) & (F.col("code") < first + len(names))).toArrow()  # at most GROUP x BUCKETS numbers
+            total = np.full((len(names), BUCKETS + 1), 0.5)
+            total[np.asarray(got["code"]) - first, np.asarray(got["bucket"])] += np.asarray(got["n"])
+            logp = np.log(total / total[:, :BUCKETS].sum(axis=1, keepdims=True))
+            logp[:, BUCKETS] = 0
+            yield LanguageGroup(names, logp.astype(np.float32))
 
-    @F.pandas_udf("lang_pred string, score double")
+    def close(self) -> None:
+        """Delete the counts."""
+        if self.counted is not None:
+            forget(self.counted)
+
+
+def _counts(held: dict[int, np.ndarray]):
+    for code, numbers in held.items():
+        bucket = np.flatnonzero(numbers[:BUCKETS])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), code), pa.int32()), pa.array(bucket, pa.int32()), pa.array(numbers[bucket], pa.int64())], names=["code", "bucket", "n"])
+
+
+def _judged(df: DataFrame, text, group: LanguageGroup) -> DataFrame:
+    """``df`` with ``_got``: lang, top and total of one group of languages."""
+    shared = df.sparkSession.sparkContext.broadcast(group)
+
+    @F.pandas_udf("lang string, top double, total double")
     def label(texts):
         import pandas as pd
 
-        m = shared.value
-        best, score = m.predict(texts.tolist())
+        best, top, total = shared.value.predict(texts.tolist())
         release_memory()
-        return pd.DataFrame({"lang_pred": np.array(m.langs, object)[best], "score": np.clip(score, 0.0, 1.0)})
+        return pd.DataFrame({"lang": np.array(shared.value.langs, object)[best], "top": top, "total": total})
 
+    return df.select("*", label(text).alias("_got"))
+
+
+def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """All columns with lang_pred and score. With more than one group of languages a text is scored once a group."""
+    rest = [c for c in df.columns if c not in ("lang_pred", "score")]
     if not model.langs:
         return df.select(*rest, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    bounded_batches(df)
+    lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    result = lambda got: [F.when(F.col("_lettered"), got["lang"]).otherwise("und").alias("lang_pred"), F.when(F.col("_lettered"), F.least(F.exp(got["top"] - got["total"]), F.lit(1.0))).otherwise(0.0).alias("score")]
     # Texts without a letter are not judged; they go through empty.
-    out = df.select(*rest, lettered.alias("_lettered"), label(F.when(lettered, F.col(text)).otherwise("")).alias("_got"))
-    return out.select(*rest, F.when(F.col("_lettered"), F.col("_got.lang_pred")).otherwise("und").alias("lang_pred"), F.when(F.col("_lettered"), F.col("_got.score")).otherwise(0.0).alias("score"))
+    judged_text = F.when(F.col("_lettered"), F.col(text)).otherwise("")
+    if len(model.langs) <= model.group:
+        out = _judged(df.select(*rest, lettered.alias("_lettered")), judged_text, next(model.groups()))
+        return out.select(*rest, *result(F.col("_got")))
+    # Several groups: the distinct texts are scored against each, and the parts put together by the text's digest.
+    digest = F.sha2(F.col(text).cast("binary"), 256)
+    texts = save(df.where(lettered).select(F.col(text).alias("_text"), digest.alias("_digest")).groupBy("_digest").agg(F.first("_text").alias("_text")), "texts")
+    parts = [save(_judged(texts, F.col("_text"), g).select("_digest", "_got.*"), "judged") for g in model.groups()]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.union(p)
+    top = F.array_max(F.transform("_g", lambda g: g["top"]))
+    best = F.array_min(F.transform(F.filter("_g", lambda g: g["top"] == F.col("_top")), lambda g: g["lang"]))
+    total = F.aggregate("_g", F.lit(0.0), lambda a, g: a + F.exp(g["total"] - F.col("_top")))
+    one = every.groupBy("_digest").agg(F.collect_list(F.struct("lang", "top", "total")).alias("_g")).withColumn("_top", top)
+    one = save(one.select(F.col("_digest").alias("_d"), F.struct(best.alias("lang"), F.col("_top").alias("top"), (F.col("_top") + F.log(total)).alias("total")).alias("_got")), "languages")
+    forget(texts, *parts)
+    out = df.select(*rest, lettered.alias("_lettered"), digest.alias("_digest")).join(one, F.col("_lettered") & (F.col("_digest") == F.col("_d")), "left")
+    return out.select(*rest, *result(F.col("_got")))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +222,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = crc_fold(F.col("doc_id"))
     model = LanguageModel.fit(docs.where(fold != 0))
-    return identify(docs.select("doc_id", "text"), model).select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
+    out = identify(docs.select("doc_id", "text"), model).select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
+    model.close()
+    return out
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str, least_score: float = 0.5) -> DataFrame:
@@ -174,4 +235,5 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str, least_sco
     """
     model = LanguageModel.fit(docs)
     judged = identify(docs, model)
+    model.close()
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select(*docs.columns)

@@ -525,10 +525,10 @@ def test_long_texts():
     assert windows[0] == windows[1] and len(windows[0]) == len(long) - 99
     grams = [np.concatenate([g for _, g, _ in ppm.gram_parts([long], 4, most)]) for most in (100_000, 1 << 30)]
     assert (grams[0] == grams[1]).all() and len(grams[0]) == len(long) + 1
-    model = language_id.LanguageModel(["x", "y"], np.random.default_rng(1).normal(size=(2, language_id.BUCKETS + 1)).astype(np.float32))
+    model = language_id.LanguageGroup(["x", "y"], np.random.default_rng(1).normal(size=(2, language_id.BUCKETS + 1)).astype(np.float32))
     model.logp[:, -1] = 0
     parts, whole = (model.predict([long.decode()[:50_000], "ab"], piece_chars=n) for n in (777, 1 << 30))
-    assert np.allclose(parts[1], whole[1]) and (parts[0] == whole[0]).all()
+    assert np.allclose(parts[1:], whole[1:]) and (parts[0] == whole[0]).all()
     cuts = bpe.chunk_cuts(data)
     ids = np.frombuffer(bpe.ChunkEncoder(bpe.default_tokenizer()).encode([long], [cuts[cuts < len(long)]])[0], "<i4")
     assert ids.tolist() == Tokenizer.from_file(bpe.default_tokenizer()).encode(long.decode(), add_special_tokens=False).ids
@@ -547,8 +547,8 @@ def test_language_against_plain_bayes(spark, texts):
     import collections
     import math
 
-    rows = [(d, t, ["aa", "bb", "cc"][d % 3]) for d, t in ((d, t[:200]) for d, t in texts[:40] if t)] + [(1000 + i, "q" * i, f"junk{i}") for i in range(1, 4)]
-    model = language_id.LanguageModel.fit(documents(spark, rows, "doc_id long, text string, lang string"), most_langs=3)
+    rows = [(d, t, ["aa", "bb", "cc"][d % 3]) for d, t in ((d, t[:200]) for d, t in texts[:40] if t)]
+    model = language_id.LanguageModel.fit(documents(spark, rows, "doc_id long, text string, lang string"))
     assert model.langs == ["aa", "bb", "cc"]
 
     def buckets(text):
@@ -562,11 +562,33 @@ def test_language_against_plain_bayes(spark, texts):
         if x in counts:
             counts[x].update(buckets(t))
     asked = ["die Kinder spielen", "hello World 12", "Ünïcödé", texts[70][1][:90] or "x"]
-    best, score = model.predict(asked)
-    for t, b, p in zip(asked, best, score):
+    (group,) = model.groups()
+    best, top, total = group.predict(asked)
+    for t, b, p in zip(asked, best, np.exp(top - total)):
         sums = [sum(math.log((counts[x][g] + 0.5) / (sum(counts[x].values()) + 0.5 * (language_id.BUCKETS + 1) - 0.5)) for g in buckets(t)) for x in model.langs]
-        top = max(sums)
-        assert b == sums.index(top) and p == pytest.approx(1 / sum(math.exp(v - top) for v in sums), rel=1e-3)
+        most = max(sums)
+        assert b == sums.index(most) and p == pytest.approx(1 / sum(math.exp(v - most) for v in sums), rel=1e-3)
+
+
+def test_three_hundred_languages(spark):
+    """No language is left out, and groups of languages say what one group of all says."""
+    rng = np.random.default_rng(7)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 1200)]
+    rows, asked = [], []
+    for i in range(300):
+        own = letters[4 * i : 4 * i + 4]
+        for k in range(3):
+            rows.append((10 * i + k, " ".join("".join(rng.choice(own, 5)) for _ in range(6)), f"l{i:03d}"))
+        asked.append((i, "".join(rng.choice(own, 9)), f"l{i:03d}"))
+    asked += [(300, None, None), (301, "12 .", None), (None, asked[5][1], None), (302, asked[5][1], None)]
+    train, df = (documents(spark, x, "doc_id long, text string, lang string") for x in (rows, asked))
+    whole, parts = language_id.LanguageModel.fit(train, group=1000), language_id.LanguageModel.fit(train, group=64)
+    assert len(parts.langs) == 300 and len(list(parts.groups())) == 5
+    got = [sorted(((r.doc_id if r.doc_id is not None else -1, r.lang, r.lang_pred, round(r.score, 6)) for r in language_id.identify(df.withColumn("score", F.lit("clash")), m).collect()), key=repr) for m in (whole, parts)]
+    assert got[0] == got[1] and len(got[0]) == len(asked)
+    assert all(lang == told for d, lang, told, _ in got[0] if 0 <= d < 300) and {told for d, _, told, _ in got[0] if d in (300, 301)} == {"und"}
+    nothing = language_id.identify(df.limit(0), parts)
+    assert nothing.count() == 0 and language_id.identify(df.limit(0), whole).count() == 0
 
 
 def test_language_held_out(spark, sf_dir):
