@@ -8,24 +8,35 @@ from pyspark.sql import functions as F
 
 from ..functions import blocks as B
 from ..functions import sequence as S
+from ..session import written
 
 
-def multiplex(records: DataFrame, order: str = "file_pos") -> DataFrame:
-    """Distinct sequences for an external search: (seq, sequence, ids). ``sequence_i`` counts by first occurrence.
+def multiplex(records: DataFrame, order: str = "file_pos") -> tuple[DataFrame, DataFrame]:
+    """Distinct sequences for an external search, (sequence, seq), and their index, (sequence, id, place).
 
-    Numbers come from range-partitioned positions and partition offsets, so no task holds all rows.
+    ``sequence_i`` counts by first occurrence. Sequences meet by a 256-bit digest; each travels once to be told, and an
+    index row holds one id, however many share a sequence. Numbers come from range-partitioned positions and partition
+    offsets, so no task holds all rows.
     """
-    groups = records.groupBy("seq").agg(F.min(order).alias("_first"), F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("id").alias("id")))).alias("_m"))
-    numbered = number_rows(groups, "_first")
-    return numbered.select("seq", F.concat(F.lit("sequence_"), F.col("row_no").cast("string")).alias("sequence"), F.transform("_m", lambda x: x["id"]).alias("ids"))
+    keyed = records.withColumn("_digest", F.unhex(F.sha2(F.col("seq").cast("binary"), 256)))
+    first = number_rows(keyed.groupBy("_digest").agg(F.min(order).alias("_first")), "_first")
+    named = written(first.select("_digest", "_first", F.concat(F.lit("sequence_"), F.col("row_no").cast("string")).alias("sequence")))
+    # The digest of a null sequence is null; it is a sequence of its own.
+    index = keyed.drop("seq").join(named.select(F.col("_digest").alias("_d"), "sequence"), F.col("_digest").eqNullSafe(F.col("_d"))).select("sequence", "id", F.col(order).alias("place"))
+    told = records.select("seq", F.col(order).alias("_first")).join(named.select("_first", "sequence"), "_first").select("sequence", "seq").dropDuplicates(["sequence"])
+    return told, index
+
+
+def index_lists(index: DataFrame) -> DataFrame:
+    """(sequence, ids), the ids of a sequence in order: the form of an index file, whose lines hold all ids."""
+    return index.groupBy("sequence").agg(F.array_sort(F.collect_list(F.struct("place", "id"))).alias("_m")).select("sequence", F.transform("_m", lambda x: x["id"]).alias("ids"))
 
 
 def number_rows(df: DataFrame, order: str) -> DataFrame:
     """Global row numbers from 0 in the order of a column, without a single-partition window."""
     spark = df.sparkSession
     sorted_ = df.repartitionByRange(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), order).withColumn("_part", F.spark_partition_id())
-    local = sorted_.withColumn("_in", F.row_number().over(W.partitionBy("_part").orderBy(order)) - 1)
-    local = local.persist()  # partition numbers must be the same in both uses
+    local = written(sorted_.withColumn("_in", F.row_number().over(W.partitionBy("_part").orderBy(order)) - 1))  # partition numbers must be the same in both uses
     counts = local.groupBy("_part").count()
     before = F.coalesce(F.sum("count").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.withColumn("_offset", before).drop("count")  # one row a partition
@@ -38,8 +49,8 @@ def collapse_ratio(records: DataFrame) -> DataFrame:
 
 
 def demultiplex(hits: DataFrame, index: DataFrame, qid: str = "qid") -> DataFrame:
-    """Hits of each distinct sequence repeated for its ids; hits of unknown sequences get a null id."""
-    return hits.join(index.select(F.col("sequence").alias("_s"), "ids"), F.col(qid) == F.col("_s"), "left").select(*[c for c in hits.columns if c != qid], F.explode_outer("ids").alias(qid))
+    """Hits of each distinct sequence repeated for its ids, by index rows (sequence, id); hits of unknown sequences get a null id."""
+    return hits.join(index.select(F.col("sequence").alias("_s"), F.col("id").alias("_id")), F.col(qid) == F.col("_s"), "left").select(*[c for c in hits.columns if c != qid], F.col("_id").alias(qid))
 
 
 def first_hit(hits: DataFrame, line: str, key: str = "qid") -> DataFrame:

@@ -152,7 +152,7 @@ def clean_predictions_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT 'sequence_' || CAST(dense_rank() OVER (ORDER BY first_id) - 1 AS VARCHAR) AS sequence, CAST(doc_id AS VARCHAR) AS id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents)")
 def multiplex_index_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = X.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("seq"), F.col("doc_id").alias("file_pos"))
-    lines = _tsv(evidence.multiplex(d), "sequence", F.array_join(F.col("ids").cast("array<string>"), "⍽"))
+    lines = _tsv(evidence.index_lists(evidence.multiplex(d)[1]), "sequence", F.array_join(F.col("ids").cast("array<string>"), "⍽"))
     return T.read_multiplex_index(spark, _file(lines, "index")).select("sequence", F.explode("ids").alias("id"))
 
 

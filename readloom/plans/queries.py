@@ -272,16 +272,17 @@ def cigar_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT text AS seq, count(*) AS n_ids, min(doc_id) AS first_id FROM documents GROUP BY text")
 def multiplex(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = X.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("seq"), F.col("doc_id").alias("file_pos"))
-    m = evidence.multiplex(d)
-    return m.select("seq", F.size("ids").cast("long").alias("n_ids"), F.get("ids", F.lit(0)).alias("first_id"))
+    told, index = evidence.multiplex(d)
+    counts = index.groupBy("sequence").agg(F.count("*").alias("n_ids"), F.min_by("id", "place").alias("first_id"))
+    return told.join(counts, "sequence").select("seq", "n_ids", "first_id")
 
 
 @query("""SELECT doc_id, 'sequence_' || CAST(dense_rank() OVER (ORDER BY first_id) - 1 AS VARCHAR) AS sequence
   FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents)""")
 def demultiplex(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = X.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("seq"), F.col("doc_id").alias("file_pos"))
-    index = evidence.multiplex(d).select("sequence", "ids")
-    found = index.select(F.col("sequence").alias("qid"), F.col("sequence").alias("hit_of"))
+    told, index = evidence.multiplex(d)
+    found = told.select(F.col("sequence").alias("qid"), F.col("sequence").alias("hit_of"))
     return evidence.demultiplex(found, index).select(F.col("qid").alias("doc_id"), F.col("hit_of").alias("sequence"))
 
 

@@ -8,25 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import correction, evidence, intervals, overrules, reads, scoring, selection
+from ..session import written
 from ..sources import tables as T
 from .config import Config, Step
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """Cut the lineage between passes, in the shared checkpoint folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        base = df.sparkSession.conf.get("spark.checkpoint.dir", None) or df.sparkSession.conf.get("spark.sql.warehouse.dir") + "/readloom-steps"
-        sc.setCheckpointDir(base)
-    return df.checkpoint()
-
-
 def polya_step(alignments: DataFrame, exons: DataFrame, exon_seqs: DataFrame, first: reads.QualityLimits = reads.FIRST_PASS, second: reads.QualityLimits = reads.SECOND_PASS, wiggle: int = 3, cutoff: int = 4) -> dict[str, DataFrame]:
     """Filter, correct, filter again, as blocks: tables ``measured``, ``corrected``, ``good`` and ``bed``."""
-    measured = _written(reads.measure(alignments, first))
+    measured = written(reads.measure(alignments, first))
     kept = measured.where("good").withColumn("name", F.col("tagged_name")).select("read_id", *[c for c in alignments.columns if c != "read_id"])
-    corrected = _written(correction.correct(kept, exons, exon_seqs, wiggle, cutoff))
-    again = _written(reads.measure(corrected, second))
+    corrected = written(correction.correct(kept, exons, exon_seqs, wiggle, cutoff))
+    again = written(reads.measure(corrected, second))
     good = again.where("good")
     return {"measured": measured, "corrected": corrected, "good": good, "bed": T.sam_to_bed12(good.withColumn("name", F.col("tagged_name")))}
 
@@ -60,7 +52,7 @@ def selection_step(transcripts: DataFrame, scored: DataFrame, threshold: float =
     """
     raw = selection.nested_cutoff(scored)
     if candidates is not None:  # each is read several times below
-        raw, candidates = _written(raw), _written(candidates)
+        raw, candidates = written(raw), written(candidates)
     chosen = selection.relative_score_filter(selection.above_threshold(raw, threshold), "class1_probability", "canonical_id")
     if candidates is not None:
         chosen = overrules.with_overrules(chosen, overrules.overrule_low_scores(raw, candidates), overrules.overrule_masked(raw, candidates))

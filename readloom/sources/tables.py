@@ -177,13 +177,22 @@ def read_orf_finder(spark: SparkSession, path, transdecoder: bool = False) -> Da
 
 
 def read_gff_coding(spark: SparkSession, path) -> DataFrame:
-    """Coding rows with the end of the gene row before them, in file order within each file."""
+    """Coding rows with the end of the gene row before them on their chromosome, in file order within each file.
+
+    The gene is carried within each task's part of a file, and from part to part by one row each.
+    """
     f = F.split("value", "\t")
     at = lambda i: F.get(f, F.lit(i))
     rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("file_pos")).where(~F.col("value").startswith("#"))
-    rows = rows.select(at(0).alias("chrom"), at(2).alias("kind"), at(3).cast("long").alias("start"), at(4).cast("long").alias("stop"), at(6).alias("strand"), F.substring(F.split(at(8), ";")[0], 8, 1 << 30).alias("id"), "file", "file_pos").where(F.col("kind").isin("gene", "CDS"))
-    order = W.partitionBy("file", "chrom").orderBy("file_pos").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return rows.withColumn("final_stop", F.last(F.when(F.col("kind") == "gene", F.col("stop")), ignorenulls=True).over(order)).where("kind = 'CDS'").drop("kind", "file")
+    rows = rows.select(at(0).alias("chrom"), at(2).alias("kind"), at(3).cast("long").alias("start"), at(4).cast("long").alias("stop"), at(6).alias("strand"), F.substring(F.split(at(8), ";")[0], 8, 1 << 30).alias("id"), "file", "file_pos", F.shiftright("file_pos", 33).alias("_part")).where(F.col("kind").isin("gene", "CDS"))
+    gene = F.when(F.col("kind") == "gene", F.col("stop"))
+    within = W.partitionBy("file", "chrom", "_part").orderBy("file_pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    parts = rows.groupBy(F.col("file").alias("_f"), F.col("chrom").alias("_c"), F.col("_part").alias("_p")).agg(F.max_by(gene, F.when(gene.isNotNull(), F.col("file_pos"))).alias("_gene"))
+    before = F.last("_gene", ignorenulls=True).over(W.partitionBy("_f", "_c").orderBy("_p").rowsBetween(W.unboundedPreceding, -1))
+    parts = parts.select("_f", "_c", "_p", before.alias("_before"))
+    joined = rows.join(parts, (F.col("file") == F.col("_f")) & (F.col("chrom") == F.col("_c")) & (F.col("_part") == F.col("_p")))
+    carried = joined.withColumn("final_stop", F.coalesce(F.last(gene, ignorenulls=True).over(within), F.col("_before")))
+    return carried.where("kind = 'CDS'").select("chrom", "start", "stop", "strand", "id", "file_pos", "final_stop")
 
 
 def read_nested_orfs(spark: SparkSession, path) -> DataFrame:

@@ -227,7 +227,7 @@ def test_predictions_and_nesting(spark):
 
 def test_multiplex_numbers_by_first_occurrence(spark):
     rows = spark.createDataFrame([("a", "X", 0), ("b", "Y", 1), ("c", "X", 2), ("d", "Z", 3)], "id string, seq string, file_pos long")
-    got = {r.sequence: r.ids for r in evidence.multiplex(rows).collect()}
+    got = {r.sequence: r.ids for r in evidence.index_lists(evidence.multiplex(rows)[1]).collect()}
     assert got == {"sequence_0": ["a", "c"], "sequence_1": ["b"], "sequence_2": ["d"]}
     empty = evidence.collapse_ratio(rows.limit(0)).first()[0]
     assert empty is None
