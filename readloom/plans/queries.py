@@ -10,7 +10,7 @@ from ..functions import blocks as B
 from ..functions import cigar as C
 from ..functions import polya as P
 from ..functions import sequence as S
-from ..operators import correction, evidence, intervals, overrules, scoring, selection
+from ..operators import correction, evidence, fusions, intervals, overrules, scoring, selection
 from ..operators import reads as R
 from ..sources import tables as T
 from . import fixtures as X
@@ -539,6 +539,52 @@ def final_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].union(rows[1])
 
 
+_FUSED = """, gene AS (
+  SELECT tx, chrom, strand, exon_no, tx_start * 64 + rel AS s, tx_start * 64 + rel + len AS e, len FROM fx_exons
+), following AS (
+  SELECT tx, chrom, strand, lead(s) OVER w AS s, lead(len) OVER w AS len FROM gene WHERE exon_no = 0 WINDOW w AS (PARTITION BY chrom, strand ORDER BY s, tx)
+), blocks AS (
+  SELECT tx, chrom, strand, s + d AS s, e + d AS e FROM (SELECT *, CASE WHEN tx % 7 = 0 THEN 3 ELSE 0 END AS d FROM gene)
+  UNION ALL
+  SELECT tx, chrom, strand, s + d, s + d + len FROM (SELECT *, CASE WHEN tx % 5 = 0 THEN 0 ELSE 7 END AS d FROM following WHERE tx % 3 = 0 AND s IS NOT NULL)
+), spans AS (
+  SELECT tx, chrom, strand, min(s) AS s, max(e) AS e FROM gene GROUP BY tx, chrom, strand
+), chained AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY chrom, strand ORDER BY s, e, tx) AS nr FROM (
+    SELECT *, CASE WHEN s >= coalesce(max(e) OVER (PARTITION BY chrom, strand ORDER BY s, e, tx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), s) THEN 1 ELSE 0 END AS fresh FROM spans)
+), locus AS (
+  SELECT tx, chrom || '|' || strand || '|' || min(s) OVER (PARTITION BY chrom, strand, nr) AS locus FROM chained
+), met AS (
+  SELECT b.tx AS read, g.tx AS gene, sum(least(b.e, g.e) - greatest(b.s, g.s)) AS bases, bool_or(b.s = g.s OR b.e = g.e) AS same
+  FROM blocks b JOIN gene g ON b.chrom = g.chrom AND b.strand = g.strand AND b.s < g.e AND g.s < b.e GROUP BY b.tx, g.tx
+), supported AS (
+  SELECT read, locus, max(bases) AS support, bool_or(same) AS shared FROM met JOIN locus ON gene = tx GROUP BY read, locus
+), judged AS (
+  SELECT tx AS read, count(locus) AS n_loci, count(*) FILTER (shared AND support >= 0.1e0 * n) AS n_strong, string_agg(locus, ',' ORDER BY locus) AS loci
+  FROM (SELECT tx, sum(e - s) AS n FROM blocks GROUP BY tx) LEFT JOIN supported ON tx = read GROUP BY tx
+)
+"""
+
+
+def _fused(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Blocks of reads and genes: every read has its gene's blocks (some beside them), every third one also a block at the next gene's first."""
+    e = X.exons(spark, sf_dir)
+    genes = e.select(F.col("tx").alias("gene"), "chrom", "strand", "exon_no", (F.col("tx_start") * 64 + F.col("rel")).alias("start"), (F.col("tx_start") * 64 + F.col("rel") + F.col("len")).alias("stop"))
+    beside = F.when(F.col("gene") % 7 == 0, 3).otherwise(0)
+    own = genes.select(F.col("gene").alias("read"), "chrom", "strand", (F.col("start") + beside).alias("start"), (F.col("stop") + beside).alias("stop"))
+    w = W.partitionBy("chrom", "strand").orderBy("start", "gene")
+    away = F.when(F.col("gene") % 5 == 0, 0).otherwise(7)
+    more = genes.where("exon_no = 0").select("gene", "chrom", "strand", F.lead("start").over(w).alias("s"), F.lead("stop").over(w).alias("e")).where("gene % 3 = 0 and s is not null")
+    more = more.select(F.col("gene").alias("read"), "chrom", "strand", (F.col("s") + away).alias("start"), (F.col("e") + away).alias("stop"))
+    return own.union(more), genes.drop("exon_no")
+
+
+@query(_FUSED + "SELECT read, CASE WHEN n_loci < 2 THEN 'free' WHEN n_strong > 1 THEN 'fusions' WHEN n_strong = 1 THEN 'fakes' ELSE 'review' END AS kind, n_loci, n_strong, coalesce(loci, '') AS loci FROM judged")
+def fusion_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every read by the loci that its blocks touch."""
+    return fusions.classify(*_fused(spark, sf_dir)).withColumn("loci", F.array_join("loci", ","))
+
+
 @query()
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames scored by a forest trained on every fifth transcript: hits against predictions and projections of the same frame."""
