@@ -600,6 +600,14 @@ def test_language_held_out(spark, sf_dir):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_stage_drops_what_no_language_claims(spark):
+    """Languages that write alike leave their documents undecided, and the least score lets them go."""
+    rows = [(i, "aa bb cc", "one" if i % 2 else "two") for i in range(20)] + [(100 + i, "zzz yyy", "three") for i in range(5)]
+    docs = documents(spark, rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in language_id.keep_identified(spark, docs, "", least_score=0.6).collect()}
+    assert kept == {100 + i for i in range(5)}
+
+
 def test_language_odd_texts(spark):
     train = documents(spark, [(i, t, x) for i, (t, x) in enumerate([("the and of", "en"), ("der die und", "de"), (None, "xx"), ("le la les", None)])], "doc_id long, text string, lang string")
     model = language_id.LanguageModel.fit(train)
@@ -638,6 +646,8 @@ def test_chat_perspectives(spark):
 
 def test_pipeline(spark, sf_dir, texts, tmp_path):
     """Every stage's rows against the plain versions, on documents with planted cases."""
+    import collections
+
     from tokenizers import Tokenizer
 
     plain = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -646,7 +656,11 @@ def test_pipeline(spark, sf_dir, texts, tmp_path):
     plain.union(spark.createDataFrame(planted, plain.schema)).write.parquet(str(tmp_path / "documents.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet")).withColumns({"size": F.lit("mine"), "_spans": F.lit("own")})
     names, kept = docs.columns, []
+    copies = collections.Counter()
     for name, stage in corpus_pipeline.STAGES[:-1]:
+        if name == "mixing":
+            for r in mixing.mix(docs.select("doc_id", "text", "source")).collect():
+                copies[r.doc_id, r.text] += int(r.taken / r["size"] + 0.5) if r["size"] else 0
         docs = stage(spark, docs, str(tmp_path)).persist()
         assert docs.columns == names and docs.where("size <> 'mine' or _spans <> 'own'").isEmpty()
         kept.append([(r.doc_id, r.text) for r in docs.collect()])
@@ -665,8 +679,7 @@ def test_pipeline(spark, sf_dir, texts, tmp_path):
     want = [(d, left[k][3].decode() if left[k][1] else t) for k, (d, t) in enumerate(order) if not left[k][1] or left[k][3].decode().strip(" ")]
     assert sorted(cut, key=repr) == sorted(want, key=repr) and any(a != b for a, b in zip(sorted(cut, key=repr), sorted(unique, key=repr)))
     # The mix: whole documents, as often as their words are taken.
-    taken = mixing.mix(spark.createDataFrame([(d, t, s) for (d, t), s in zip(cut, [None] * len(cut))], "doc_id long, text string, source string").drop("source").join(docs.select("doc_id", "source").distinct(), "doc_id", "left")).count()
-    assert taken >= len(cut) and set(mixed) <= set(cut)
+    assert collections.Counter(mixed) == +copies and max(copies.values()) > 1 and min(copies.values()) == 0
     # Codes: every row of the run.
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     t = Tokenizer.from_file(bpe.default_tokenizer())
