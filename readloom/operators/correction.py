@@ -109,7 +109,11 @@ def report(reads: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def observed(matches: DataFrame, name: str = "correction") -> tuple[DataFrame, Observation]:
-    """``matches``, counted as they pass: n_hits, n_matched, n_off_end (hits beside the exon's end) and clip_bases of the matched."""
+    """``matches``, counted as they pass: n_hits, n_matched, n_off_end (hits beside the exon's end) and clip_bases of the matched.
+
+    With Spark 4.1 a session that has observed anything can no longer run tasks that hold the session itself, as Spark ML's
+    models do (seen: ObservationManager is not serializable); a session that also scores should observe in ``newSession()``.
+    """
     seen = Observation(name)
     matched = F.col("matched").cast("long")
     counted = matches.observe(seen, F.count("*").alias("n_hits"), F.coalesce(F.sum(matched), F.lit(0)).alias("n_matched"), F.coalesce(F.sum((F.col("offset") != 0).cast("long")), F.lit(0)).alias("n_off_end"), F.coalesce(F.sum(F.when(F.col("matched"), F.length("clip"))), F.lit(0)).cast("long").alias("clip_bases"))

@@ -241,9 +241,10 @@ def correction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM (SELECT *, length(clip) > 4 AND starts_with(next_seq, clip) AS ok FROM met)""")
 def correction_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted while the report is written, without another pass."""
-    reads, e, seqs = _correction_inputs(spark, sf_dir)
+    own = spark.newSession()  # see ``observed``
+    reads, e, seqs = _correction_inputs(own, sf_dir)
     matches, seen = correction.observed(correction.clip_matches(reads, e, seqs), f"correction-{uuid.uuid4().hex}")
-    sinks.write_kinds(correction.report(reads, matches), shared_path(spark, "report"))
+    sinks.write_kinds(correction.report(reads, matches), shared_path(own, "report"))
     names = ("n_hits", "n_matched", "n_off_end", "clip_bases")
     return spark.createDataFrame([tuple(seen.get[c] for c in names)], ", ".join(f"{c} long" for c in names))
 

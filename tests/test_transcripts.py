@@ -401,3 +401,12 @@ def test_cli_runs_the_tail_step(spark, tmp_path):
     assert spark.read.text(f"{folder}/bed").first().value.split("\t")[:3] == ["chr1", "300", "412"]
     with pytest.raises(ValueError):
         cli.main(["run-step", "--config", str(config), "--output", str(tmp_path / "no"), "--only", "ccs"], chosen)
+
+
+def test_scores_after_counters(spark, sf_dir):
+    """Observing does not keep later queries of the session from running."""
+    from readloom.plans import file_queries
+    from readloom.plans import queries as Q
+
+    assert file_queries.correction_counters(spark, sf_dir).first().n_hits > 0
+    assert Q.forest_scores(spark, sf_dir).count() > 0
