@@ -14,7 +14,7 @@ Defined results: null text and text without a letter get ``und`` with score 0; w
 documents to learn from, everything is ``und``. A null id counts as empty text in the fold
 (crc32 0: held out). Repeated rows are labelled alike, and drawn together; of languages that score the same the first by name
 is told. Result columns replace input columns of
-the same name; other columns pass through. A text of any length is scored in pieces. The names of the languages are held on the driver.
+the same name; other columns pass through. A text of any length is scored in pieces. The names and counts of the languages are held on the driver.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ ORDERS = (1, 2, 3)
 SAMPLE_PER_LANG = 2000
 #: Languages that are scored at once.
 GROUP = 64
+#: Names of languages that are sent to every task; with more, texts and names meet by a shuffle.
+MOST_SENT = 100_000
 PIECE_CHARS = 1_000_000
 _ODD = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 
@@ -120,13 +122,13 @@ class LanguageModel:
         """Learn from all rows of ``docs`` with text and language, sampled where a language has many."""
         draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
         labelled = bounded_batches(docs).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_text"), draw.alias("_draw"))
-        counts = labelled.groupBy("_lang").count()
-        langs = sorted(r[0] for r in counts.select("_lang").collect())
+        counts = {r[0]: r[1] for r in labelled.groupBy("_lang").count().collect()}
+        langs = sorted(counts)
         if not langs:
             return cls([], None, group)
-        spark = docs.sparkSession
-        codes = spark.createDataFrame(list(zip(langs, range(len(langs)))), "_name string, _code int")
-        rates = counts.join(codes, F.col("_lang") == F.col("_name")).select("_name", "_code", (F.lit(float(sample_per_lang)) / F.col("count")).alias("_rate"))
+        rates = docs.sparkSession.createDataFrame([(x, i, sample_per_lang / counts[x]) for i, x in enumerate(langs)], "_name string, _code int, _rate double")
+        # A join by language would shuffle every text to its language's task; a list of names within the bound goes to the texts instead.
+        rates = F.broadcast(rates) if len(langs) <= MOST_SENT else rates
         sample = labelled.join(rates, F.col("_lang") == F.col("_name")).where(F.col("_draw") < F.col("_rate")).select("_code", "_text", "_draw")
 
         def count(batches):
