@@ -3,11 +3,12 @@
 import contextlib
 import io
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from readloom.operators import correction
+from readloom.operators import correction, intervals
 from readloom.sources import sinks
 
 
@@ -83,3 +84,18 @@ def test_report_of_a_crowd(crowd, spark, tmp_path):
     f = F.split("value", "\t")
     back = spark.read.text(str(tmp_path / "report")).select("kind", f[0], f[1], f[2].cast("long"), f[7].cast("long"), f[8])
     assert sorted(map(tuple, back.collect())) == sorted((r.kind, r.read_id, r.tx, r.exon_no, r.pos, r.cigar) for r in rows)
+
+
+def test_overlaps_of_a_crowd(spark):
+    """Many spans of all lengths in one bin: the pairs are those of a plain join, and few others are looked at."""
+    rng = random.Random(7)
+    rows = [("c", "+", s := rng.randint(-50, 2500), s + max(1, int(1.01 ** rng.randint(0, 800))), i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "chrom string, strand string, start long, stop long, id long")
+    for least in (0.5, 0.8, 1.0):
+        got = [tuple(r) for r in intervals.reciprocal_overlaps(df, df, least, 1 << 11).select("a_id", "b_id", "overlap_bp").collect()]
+        want = {(a[4], b[4], ov) for a in rows for b in rows if (ov := min(a[3], b[3]) - max(a[2], b[2])) > 0 and ov >= least * (a[3] - a[2]) and ov >= least * (b[3] - b[2])}
+        assert len(got) == len(set(got)) and set(got) == want
+        if least == 0.8:
+            a, b = intervals._alike(*[df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns]) for p in "ab"], least)
+            met = a.join(b, (F.col("a_size") == F.col("b_size")) & (F.col("a_cell") == F.col("b_cell"))).count()
+            assert met < 8 * len(want) < len(rows) ** 2 / 5
