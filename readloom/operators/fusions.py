@@ -36,14 +36,23 @@ def loci(genes: DataFrame) -> DataFrame:
 def touched_loci(reads: DataFrame, genes: DataFrame, bin_size: int = 1 << 14) -> DataFrame:
     """(read, locus, support, shared) of blocks (read, chrom, strand, start, stop) against blocks (gene, chrom, strand, start, stop).
 
-    Blocks meet in bins of the genome, so a chromosome is never one task's work.
+    A read's blocks of one strand are a row, as are a gene's; rows meet in bins of the genome, so a chromosome is never one
+    task's work. What a read shares with a gene is summed in the pair, and pairs become (read, locus) before they are shuffled.
     """
+
+    def whole(blocks: DataFrame, name: str) -> DataFrame:
+        some = blocks.where((F.col("stop") > F.col("start")) & F.col(name).isNotNull()) if name == "gene" else blocks.where(F.col("stop") > F.col("start"))
+        return some.groupBy(name, "chrom", "strand").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.collect_list(F.struct("start", "stop")).alias("blocks"))
+
     spans = genes.groupBy("gene", "chrom", "strand").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
     place = loci(spans).select("gene", "chrom", "strand", "locus")
-    pairs = reciprocal_overlaps(reads.select("read", "chrom", "strand", "start", "stop"), genes.select("gene", "chrom", "strand", "start", "stop"), 0.0, bin_size)
-    same = (F.col("a_start") == F.col("b_start")) | (F.col("a_stop") == F.col("b_stop"))
-    by_gene = pairs.groupBy(F.col("a_read").alias("read"), F.col("b_gene").alias("gene"), F.col("b_chrom").alias("chrom"), F.col("b_strand").alias("strand")).agg(F.sum("overlap_bp").alias("bases"), F.bool_or(same).alias("same"))
-    return by_gene.join(place, ["gene", "chrom", "strand"]).groupBy("read", "locus").agg(F.max("bases").alias("support"), F.bool_or("same").alias("shared"))
+    pairs = reciprocal_overlaps(whole(reads, "read"), whole(genes, "gene").join(place, ["gene", "chrom", "strand"]), 0.0, bin_size)
+    shared = lambda x, y: F.least(x["stop"], y["stop"]) - F.greatest(x["start"], y["start"])
+    none = F.lit(0).cast("long")
+    bases = F.aggregate("a_blocks", none, lambda n, x: n + F.aggregate("b_blocks", none, lambda m, y: m + F.greatest(shared(x, y), none)))
+    same = F.exists("a_blocks", lambda x: F.exists("b_blocks", lambda y: ((x["start"] == y["start"]) | (x["stop"] == y["stop"])) & (shared(x, y) > 0)))
+    by_gene = pairs.select(F.col("a_read").alias("read"), F.col("b_locus").alias("locus"), bases.alias("bases"), same.alias("same")).where("bases > 0")
+    return by_gene.groupBy("read", "locus").agg(F.max("bases").alias("support"), F.bool_or("same").alias("shared"))
 
 
 def classify(reads: DataFrame, genes: DataFrame, least_share: float = 0.1, bin_size: int = 1 << 14) -> DataFrame:

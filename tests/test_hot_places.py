@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from readloom.operators import correction, intervals
+from readloom.operators import correction, fusions, intervals
 from readloom.sources import sinks
 
 
@@ -99,3 +99,27 @@ def test_overlaps_of_a_crowd(spark):
             a, b = intervals._alike(*[df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns]) for p in "ab"], least)
             met = a.join(b, (F.col("a_size") == F.col("b_size")) & (F.col("a_cell") == F.col("b_cell"))).count()
             assert met < 8 * len(want) < len(rows) ** 2 / 5
+
+
+def test_reads_that_touch_many_genes(spark):
+    """A crowd of genes at one place: loci as brute force finds them, and no read meets a gene's blocks in more than one row."""
+    rng = random.Random(9)
+    blocks = lambda n, name: [(f"{name}{i}", "c", rng.choice("+-"), s := at + k * 60 + rng.randint(0, 9), s + rng.randint(0, 50)) for i in range(n) for at in [rng.randint(0, 900) + 3000 * (i % 2)] for k in range(4)]
+    genes = [(g, c, "+-"[int(g[1:]) % 2], a, b) for g, c, _, a, b in blocks(80, "g")]
+    reads = blocks(80, "r")
+    gene_df, read_df = spark.createDataFrame(genes, "gene string, chrom string, strand string, start long, stop long"), spark.createDataFrame(reads, "read string, chrom string, strand string, start long, stop long")
+    spans = gene_df.groupBy("gene", "chrom", "strand").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    locus = {r.gene: r.locus for r in fusions.loci(spans).collect()}
+    by_gene, want = {}, {}
+    for r, _, x, a, b in reads:
+        for g, _, y, c, d in genes:
+            if x == y and (over := min(b, d) - max(a, c)) > 0:
+                n, same = by_gene.get((r, g), (0, False))
+                by_gene[r, g] = n + over, same or a == c or b == d
+    for (r, g), (n, same) in by_gene.items():
+        m, shared = want.get((r, locus[g]), (0, False))
+        want[r, locus[g]] = max(m, n), shared or same
+    touched = fusions.touched_loci(read_df, gene_df, 64)
+    assert {(r.read, r.locus): (r.support, r.shared) for r in touched.collect()} == want and len(by_gene) > 500
+    keys = [x for x in _plan(touched).split("\n") if x.startswith("Keys")]
+    assert any("read" in x and "locus" in x for x in keys) and not any("read" in x and "gene" in x for x in keys)
