@@ -10,12 +10,12 @@ coordinate order. Files of lost or repeated attempts are never seen (``files.Par
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +97,8 @@ class _Stream:
     def fill(self, stop: int) -> bool:
         """Hold the bytes up to place ``stop``; False where the file ends before."""
         held, size = [self.data], self.base + len(self.data)
+        if size >= stop:
+            return True
         while size < stop and self.next < self.blocks.size:
             block = self.next
             content, self.next = self.blocks.read(block)
@@ -110,12 +112,12 @@ class _Stream:
     def take(self, at: int, size: int) -> bytes | None:
         return self.data[at - self.base : at - self.base + size] if self.fill(at + size) else None
 
-    def block_of(self, at: int) -> int:
-        """The block that holds place ``at``, which must be held."""
+    def block_of(self, at: int) -> tuple[int, int]:
+        """(its place in the stream, the block) that holds place ``at``, which must be held."""
         k = len(self.begins) - 1
         while k and self.begins[k][0] > at:
             k -= 1
-        return self.begins[k][1]
+        return self.begins[k]
 
     def drop(self, at: int) -> None:
         """Forget what lies before place ``at``."""
@@ -163,7 +165,7 @@ def _record_at(stream: _Stream, at: int, n_chroms: int) -> int | None:
 def _first_record(stream: _Stream, n_chroms: int, stop: int) -> int | None:
     """The first place of a record in the blocks before byte ``stop``."""
     at = 0
-    while stream.fill(at + 1) and stream.block_of(at) < stop:
+    while stream.fill(at + 1) and stream.block_of(at)[1] < stop:
         place, k = at, 0
         while k < SURE:
             end = _record_at(stream, place, n_chroms)
@@ -201,7 +203,9 @@ def _tags(data: bytes) -> list[str]:
     return out
 
 
-_PAIRS = np.array([BASES[i >> 4] + BASES[i & 15] for i in range(256)])
+#: Hexadecimal digits to bases, and back from any letter.
+_BASE_OF = bytes(ord(BASES[int(chr(i), 16)]) if chr(i) in "0123456789abcdef" else 0 for i in range(256))
+_DIGIT_OF = bytes(ord(f"{BASES.find(chr(i).upper()) & 15:x}") for i in range(256))
 
 
 def decode(record: bytes, names: list[str]) -> tuple:
@@ -210,10 +214,10 @@ def decode(record: bytes, names: list[str]) -> tuple:
     at = 32 + name
     ops = struct.unpack(f"<{cigars}I", record[at : at + 4 * cigars])
     at += 4 * cigars
-    packed = np.frombuffer(record, np.uint8, (bases + 1) // 2, at)
+    packed = record[at : at + (bases + 1) // 2]
     at += len(packed)
     quality = record[at : at + bases]
-    seq = "".join(_PAIRS[packed])[:bases] or "*"
+    seq = packed.hex().encode().translate(_BASE_OF)[:bases].decode() or "*"
     where = lambda i: names[i] if i >= 0 else "*"
     other = "=" if mate >= 0 and mate == chrom else where(mate)
     shown = "*" if not bases or quality[0] == 255 else bytes(q + 33 for q in quality).decode("ascii")
@@ -252,13 +256,15 @@ class _BamReader(DataSourceReader):
         stream = _Stream(blocks, part.start if part.skip >= 0 else blocks.first_at(part.start))
         at = part.skip if part.skip >= 0 else _first_record(stream, len(names), part.stop)
         rows, held = [], 0
-        while at is not None and stream.fill(at + 4) and stream.block_of(at) < part.stop:
-            size = struct.unpack("<i", stream.take(at, 4))[0]
-            record = stream.take(at + 4, size)
-            if record is None:
+        while at is not None and stream.fill(at + 4):
+            begin, block = stream.block_of(at)
+            if block >= part.stop:
+                break
+            offset = at - stream.base
+            size = int.from_bytes(stream.data[offset : offset + 4], "little", signed=True)
+            if not stream.fill(at + 4 + size):
                 raise ValueError(f"{part.path} ends within a record")
-            begin, block = next((b, o) for b, o in reversed(stream.begins) if b <= at)
-            rows.append((*decode(record, names), block << 16 | at - begin))  # the record's virtual offset
+            rows.append((*decode(stream.data[offset + 4 : offset + 4 + size], names), block << 16 | at - begin))  # the record's virtual offset
             at, held = at + 4 + size, held + size
             if held > 1 << 20 or len(rows) == 4096:
                 yield _table(rows)
@@ -301,23 +307,19 @@ def _encode_tag(tag: str) -> bytes:
     return head + of.encode() + struct.pack("<" + _NUMBERS[of], x)
 
 
-_NIBBLE = {b: i for i, b in enumerate(BASES)} | {b.lower(): i for i, b in enumerate(BASES)}
+_OPERATION = re.compile(r"([0-9]*)([^0-9])")
 
 
 def encode(row: tuple, numbers: dict[str, int]) -> bytes:
     """A record with its size, from the columns of its line of text."""
     name, flag, chrom, pos, mapq, cigar, mate, mate_pos, length, seq, quality, tags = row
-    ops, n, span = [], "", 0
-    for c in "" if cigar in (None, "*") else cigar:
-        if c.isdigit():
-            n += c
-        else:
-            ops.append(int(n) << 4 | CIGAR.index(c))
-            span += int(n) if c in "MDN=X" else 0
-            n = ""
+    ops, span = [], 0
+    for n, c in _OPERATION.findall("" if cigar in (None, "*") else cigar):
+        size = int(n)
+        ops.append(size << 4 | CIGAR.index(c))
+        span += size if c in "MDN=X" else 0
     seq = "" if seq in (None, "*") else seq
-    nibbles = [_NIBBLE.get(c, 15) for c in seq] + [0] * (len(seq) % 2)
-    packed = bytes(a << 4 | b for a, b in zip(nibbles[::2], nibbles[1::2]))
+    packed = bytes.fromhex(seq.encode("ascii", "replace").translate(_DIGIT_OF).decode() + "0" * (len(seq) % 2))
     marks = b"\xff" * len(seq) if quality in (None, "*") else bytes(ord(c) - 33 for c in quality)
     number = lambda c: numbers[c] if c not in (None, "*") else -1
     begin = (pos or 0) - 1

@@ -112,3 +112,14 @@ def test_empty_table_has_its_header(spark, tmp_path):
 def test_blocks_and_bins():
     assert struct.unpack("<H", A.compress(b"x")[16:18])[0] + 1 == len(A.compress(b"x"))
     assert [A._bin(0, 1), A._bin(0, 1 << 14), A._bin(0, (1 << 14) + 1), A._bin(1 << 26, (1 << 26) + 1), A._bin(0, 1 << 29)] == [4681, 4681, 585, 4681 + (1 << 12), 0]
+
+
+def test_codec_keeps_every_letter():
+    """Bases by digits: letters of either case, unknown ones as N, odd and even lengths, and CIGARs that are none."""
+    for seq, shown in (("=ACMGRSVTWYHKDBN", None), ("acgtnACGT", "ACGTNACGT"), ("AéZ.", "ANNN"), ("A", None), ("", "*"), (None, "*")):
+        row = ("r", 16, "b", 7, 60, "12S3=400N1X2H", "*", 0, 0, seq, "*", ["tp:i:5"])
+        got = A.decode(A.encode(row, {"a": 0, "b": 1})[4:], ["a", "b"])
+        assert got == (*row[:9], shown or seq, "*", ["tp:i:5"])
+    for wrong in ("=", "5=X", "5Q"):
+        with pytest.raises(ValueError):
+            A.encode(("r", 0, "a", 1, 0, wrong, "*", 0, 0, "A", "*", []), {"a": 0})
