@@ -15,6 +15,12 @@ def nested_cutoff(df: DataFrame, least: float = 0.7, few: int = 4) -> DataFrame:
     return df.where(F.coalesce(keep, F.lit(False)))
 
 
+def with_best(df: DataFrame, p: str = "class1_probability", tx: str = "canonical_id", coords: str = "genomic_coords") -> DataFrame:
+    """Frames with their transcript's best score and the coordinates that have it: ``_best``, ``_coords``."""
+    w = W.partitionBy(tx)
+    return df.withColumns({"_best": F.max(p).over(w), "_coords": F.max_by(coords, F.struct(p, coords)).over(w)})
+
+
 def relative_score_filter(df: DataFrame, p: str = "p", tx: str = "tx", within: float = 0.025) -> DataFrame:
     """Frames scored within ``within`` of their transcript's best."""
     return df.withColumn("_best", F.max(p).over(W.partitionBy(tx))).where(F.col(p) >= F.col("_best") - F.lit(within)).drop("_best")
@@ -71,5 +77,20 @@ def coding_split(transcripts: DataFrame, orfs: DataFrame, tx: str = "tx") -> tup
     return coding.drop("_tx", "coords", "p", "overruled"), noncoding
 
 
+def coding_kinds(transcripts: DataFrame, orfs: DataFrame, tx: str = "tx") -> DataFrame:
+    """Both tables of :func:`coding_split` from one join: rows of the coding ones are ``coding``; ``tx`` is a string."""
+    picked = orfs.select(F.col(tx).alias("_tx"), "coords", "p", F.col("overruled") if "overruled" in orfs.columns else F.lit(False).alias("overruled"))
+    c, known = F.split("coords", r"\|"), F.col("_tx").isNotNull()
+    rows = transcripts.join(picked, F.col(tx) == F.col("_tx"), "left").withColumns(
+        {
+            "thick_start": F.when(known, c[1].cast("long")).otherwise(F.col("thick_start")),
+            "thick_stop": F.when(known, c[2].cast("long")).otherwise(F.col("thick_stop")),
+            "score": F.when(known, F.format_string("%.2f", F.col("p") * 1000)).otherwise(F.col("score")),
+            "coding": known,
+        }
+    )
+    return rows.withColumn(tx, F.concat(F.col(tx).cast("string"), F.when(F.col("overruled"), "_OVERRULED").otherwise(""))).drop("_tx", "coords", "p", "overruled")
+
+
 def coding_coordinates(bed: DataFrame) -> DataFrame:
     return bed.withColumn("genomic_coords", S.coordinates(F.col("chrom"), F.col("thick_start"), F.col("thick_stop"), F.col("strand")))

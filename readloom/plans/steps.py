@@ -44,23 +44,28 @@ def orf_step(transcripts: DataFrame, blast: DataFrame, predicted: DataFrame, pro
 
 
 def selection_step(transcripts: DataFrame, scored: DataFrame, threshold: float = 0.3, candidates: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Scored frames to coding and non-coding transcripts: tables ``raw``, ``final``, ``coding`` and ``noncoding``.
+    """Scored frames to coding and non-coding transcripts: tables ``raw``, ``final``, ``coding``, ``noncoding`` and ``kinds``.
 
     ``raw`` holds what the nested cutoff leaves. The overrules look at it, and their rows join the final set after the
     threshold and the relative filter: an overruling projection neither raises its transcript's best score nor has
-    to come near it.
+    to come near it. ``kinds`` is ``coding`` and ``noncoding`` in one table, from one join.
+
+    Where the frames and the transcripts come dealt by id, so do the best scores and the candidates, without another shuffle.
     """
-    raw = selection.nested_cutoff(scored)
-    if candidates is not None:  # each is read several times below
-        raw, candidates = written(raw), written(candidates)
-    chosen = selection.relative_score_filter(selection.above_threshold(raw, threshold), "class1_probability", "canonical_id")
+    raw = selection.with_best(selection.nested_cutoff(scored))
+    if candidates is not None:  # read twice below
+        raw = written(raw)
+    # A best score below the threshold has no frame above it.
+    chosen = selection.above_threshold(raw, threshold).where(F.col("class1_probability") >= F.col("_best") - F.lit(0.025)).drop("_best", "_coords")
     if candidates is not None:
-        chosen = overrules.with_overrules(chosen, overrules.overrule_low_scores(raw, candidates), overrules.overrule_masked(raw, candidates))
-    best = selection.best_per_key(chosen, ("canonical_id", "genomic_coords"), "class1_probability")
-    final = selection.rank_orfs(best, "class1_probability", "canonical_id", "genomic_coords")
+        best = raw.groupBy("canonical_id").agg(F.first("_best").alias("_best"), F.first("_coords").alias("_coords"))
+        chosen = overrules.with_overrules(chosen, overrules.overrule(best, candidates))
+    # Dealt once for the best row of a key, the rank and the transcripts.
+    best_rows = selection.best_per_key(chosen.repartition("canonical_id"), ("canonical_id", "genomic_coords"), "class1_probability")
+    final = selection.rank_orfs(best_rows, "class1_probability", "canonical_id", "genomic_coords")
     orfs = final.select(F.col("canonical_id").alias("name"), F.col("genomic_coords").alias("coords"), F.col("class1_probability").alias("p"), *([F.coalesce("toga_overrule", F.lit(False)).alias("overruled")] if "toga_overrule" in final.columns else []))
     coding, noncoding = selection.coding_split(transcripts, orfs, "name")
-    return {"raw": raw, "final": final, "coding": coding, "noncoding": noncoding}
+    return {"raw": raw.drop("_best", "_coords"), "final": final, "coding": coding, "noncoding": noncoding, "kinds": selection.coding_kinds(transcripts, orfs, "name")}
 
 
 def run_steps(config: Config, runners: dict[Step, Callable], run_folder: str, dry_run: bool = False) -> list[str]:
