@@ -34,6 +34,24 @@ _KNOWN = np.isin(np.arange(256), np.frombuffer(PACKED + PACKED.lower(), np.uint8
 STRETCH, PARTITION = 1 << 16, 1 << 24
 
 
+#: Bytes of a file that are read at once where what follows will be needed.
+AHEAD = 1 << 20
+
+
+class _Held:
+    """Bytes of a file, taken one after the other from blocks of ``ahead`` bytes."""
+
+    def __init__(self, file, at: int, ahead: int = AHEAD):
+        self.file, self.at, self.ahead, self.block, self.first = file, at, ahead, b"", at
+
+    def take(self, size: int) -> bytes:
+        k = self.at - self.first
+        if k + size > len(self.block):
+            self.block, self.first, k = self.file.read_at(max(size, self.ahead), self.at), self.at, 0
+        self.at += size
+        return self.block[k : k + size]
+
+
 class TwoBitFile:
     """One file: its index of names, and any range of any sequence."""
 
@@ -41,17 +59,32 @@ class TwoBitFile:
         self.file = opened(path)
         head = self._at(0, 16)
         self.order = "<" if struct.unpack("<I", head[:4])[0] == SIGNATURE else ">"
-        signature, version, count, _ = struct.unpack(self.order + "4I", head)
+        signature, version, self.count, _ = struct.unpack(self.order + "4I", head)
         if signature != SIGNATURE or version:
             raise ValueError(f"{path} is not a .2bit file of version 0")
-        self.offsets: dict[str, int] = {}
-        at = 16
+        self._offsets: dict[str, int] | None = None
+        self._known: tuple[str, tuple] | None = None
+
+    @property
+    def offsets(self) -> dict[str, int]:
+        """Where each sequence's record lies."""
+        if self._offsets is None:
+            self._offsets = {chrom: at for _, chrom, at in self.entries(16, self.count)}
+        return self._offsets
+
+    def entries(self, at: int, count: int) -> Iterator[tuple[int, str, int]]:
+        """(place in the index, name, offset of the record) of ``count`` entries of the index from the place ``at`` on."""
+        held, number = _Held(self.file, at, min(AHEAD, 64 + 32 * count)), struct.Struct(self.order + "I")
         for _ in range(count):
-            size = self._at(at, 1)[0]
-            entry = self._at(at + 1, size + 4)
-            self.offsets[entry[:size].decode()] = struct.unpack(self.order + "I", entry[size:])[0]
+            size = held.take(1)[0]
+            entry = held.take(size + 4)
+            yield at, entry[:size].decode(), number.unpack_from(entry, size)[0]
             at += size + 5
-        self._known: tuple[str, tuple] | None = None
+
+    def learn(self, chrom: str, offset: int) -> None:
+        """Tell a sequence's place without the index."""
+        self._offsets = self._offsets or {}
+        self._offsets[chrom] = offset
 
     def _at(self, offset: int, size: int) -> bytes:
         return self.file.read_at(size, offset)
@@ -82,12 +115,32 @@ class TwoBitFile:
             return np.zeros(0, np.uint8)
         first = start // 4
         packed = np.frombuffer(self._at(at + first, (stop + 3) // 4 - first), np.uint8)
-        out = _UNPACK[packed].reshape(-1)[start - 4 * first : stop - 4 * first].copy()
-        for (starts, sizes), change in ((unknown, lambda x: np.full_like(x, ord("N"))), (masked, lambda x: x | 32)):
-            for i in range(int(np.searchsorted(starts + sizes, start, "right")), int(np.searchsorted(starts, stop, "left"))):
-                a, b = max(int(starts[i]), start) - start, min(int(starts[i] + sizes[i]), stop) - start
-                out[a:b] = change(out[a:b])
-        return out
+        return _marked(_UNPACK[packed].reshape(-1)[start - 4 * first : stop - 4 * first].copy(), start, unknown, masked)
+
+
+def _marked(out: np.ndarray, start: int, unknown: np.ndarray, masked: np.ndarray) -> np.ndarray:
+    """Bases from ``start`` on with N where ``unknown`` and in lower case where ``masked``, both (starts, sizes)."""
+    for (starts, sizes), lower in ((unknown, False), (masked, True)):
+        i, j = int(np.searchsorted(starts + sizes, start, "right")), int(np.searchsorted(starts, start + len(out), "left"))
+        if i < j:
+            edge = np.zeros(len(out) + 1, np.int32)
+            np.add.at(edge, np.maximum(starts[i:j] - start, 0), 1)
+            np.add.at(edge, np.minimum(starts[i:j] + sizes[i:j] - start, len(out)), -1)
+            inside = np.cumsum(edge[:-1]) > 0
+            out[inside] = out[inside] | 32 if lower else ord("N")
+    return out
+
+
+def _unpacked(block: bytes, order: str) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """(length, stretches of N, masked stretches, packed bases) of a whole record's bytes."""
+    number = np.dtype(order + "u4")
+    size, n = np.frombuffer(block, number, 2).tolist()
+    unknown = np.frombuffer(block, number, 2 * n, 8).astype(np.int64).reshape(2, n)
+    at = 8 + 8 * n
+    m = int(np.frombuffer(block, number, 1, at)[0])
+    masked = np.frombuffer(block, number, 2 * m, at + 4).astype(np.int64).reshape(2, m)
+    at += 8 + 8 * m
+    return size, unknown, masked, np.frombuffer(block, np.uint8, (size + 3) // 4, at)
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,12 +164,17 @@ def pack_record(seq: bytes) -> bytes:
 
 @dataclass
 class _Range(InputPartition):
+    """``count`` whole sequences from the place ``at`` of a file's index on, or the range ``start`` to ``stop`` of one."""
+
     path: str
-    spans: list[tuple[str, int, int]]
+    at: int
+    count: int
+    start: int = 0
+    stop: int = -1
 
-    def __init__(self, path: str, spans: list[tuple[str, int, int]]):
-        super().__init__((path, spans))
-        self.path, self.spans = path, spans
+    def __init__(self, path: str, at: int, count: int, start: int = 0, stop: int = -1):
+        super().__init__((path, at, count, start, stop))
+        self.path, self.at, self.count, self.start, self.stop = path, at, count, start, stop
 
 
 class _TwoBitReader(DataSourceReader):
@@ -124,29 +182,75 @@ class _TwoBitReader(DataSourceReader):
         self.path, self.stretch, self.size = path, stretch, max(partition // stretch, 1) * stretch
 
     def partitions(self) -> list[_Range]:
-        """Ranges of at most ``partition`` bases; short sequences of a file share one. Only the files' indexes are read."""
+        """Ranges of at most ``partition`` bases; short sequences of a file share one.
+
+        Only the files' indexes are read, once and in blocks; a record's bytes bound its bases, and only of those that may be
+        too long the length is looked up. A range names a part of the index, so neither the driver nor a task holds or sends all names.
+        """
         out = []
-        for path, _ in found(self.path, ".2bit"):
-            file, spans, held = TwoBitFile(path), [], 0
-            for chrom in file.offsets:
-                length = file.length(chrom)
-                for start in range(0, max(length, 1), self.size):
-                    stop = min(start + self.size, length)
-                    if spans and held + stop - start > self.size:
-                        out.append(_Range(path, spans))
-                        spans, held = [], 0
-                    spans.append((chrom, start, stop))
-                    held += stop - start
-            if spans:
-                out.append(_Range(path, spans))
-        return out or [_Range("", [])]
+        for path, total in found(self.path, ".2bit"):
+            file = TwoBitFile(path)
+            places, offsets = np.zeros((2, file.count), np.int64)
+            for i, (place, _, offset) in enumerate(file.entries(16, file.count)):
+                places[i], offsets[i] = place, offset
+            ends = np.append(np.sort(offsets), total)
+            bases = ((ends[np.searchsorted(ends, offsets, side="right").clip(max=file.count)] - offsets) * 4).tolist()
+            begun, held = None, 0
+            for place, offset, most in zip(places.tolist(), offsets.tolist(), bases):
+                length = most if most <= self.size else int(file._numbers(offset, 1)[0])
+                if begun is not None and held + length > self.size:
+                    out.append(_Range(path, *begun))
+                    begun, held = None, 0
+                if length > self.size:
+                    out += [_Range(path, place, 1, start, min(start + self.size, length)) for start in range(0, length, self.size)]
+                else:
+                    begun, held = (begun[0], begun[1] + 1) if begun else (place, 1), held + length
+            if begun is not None:
+                out.append(_Range(path, *begun))
+        return out or [_Range("", 0, 0)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
-        file = TwoBitFile(partition.path) if partition.path else None
-        for chrom, start, stop in partition.spans:
-            for at in range(start, max(stop, start + 1), self.stretch):
-                seq = file.bases(chrom, at, min(at + self.stretch, stop)).tobytes().decode("ascii")
-                yield pa.RecordBatch.from_arrays([pa.array([chrom]), pa.array([at], pa.int64()), pa.array([seq])], names=["chrom", "start", "seq"])
+        """Stretches in batches of some sequences; the records of several are read in blocks, as they lie in the file."""
+        if not partition.path:
+            return
+        file = TwoBitFile(partition.path)
+        entries = [(chrom, offset) for _, chrom, offset in file.entries(partition.at, partition.count)]
+        if partition.stop >= 0:
+            (chrom, offset), at, step = entries[0], partition.start, max(AHEAD // self.stretch, 1) * self.stretch
+            file.learn(chrom, offset)
+            while at < partition.stop:
+                yield self._batch([(chrom, at, file.bases(chrom, at, min(at + step, partition.stop)))])
+                at += step
+            return
+        held, some, size = None, [], 0
+        for chrom, offset in entries:
+            if held is None or held.at != offset:
+                held = _Held(file.file, offset, min(AHEAD, 64 + self.size // 8))
+            head = held.take(8)
+            length, n = struct.unpack(file.order + "2I", head)
+            more = held.take(8 * n + 4)
+            m = struct.unpack_from(file.order + "I", more, 8 * n)[0]
+            rest = held.take(8 * m + 4 + (length + 3) // 4)
+            _, unknown, masked, packed = _unpacked(head + more + rest, file.order)
+            some.append((chrom, 0, _marked(_UNPACK[packed].reshape(-1)[:length].copy(), 0, unknown, masked)))
+            size += length
+            if size >= AHEAD or len(some) >= 1 << 12:
+                yield self._batch(some)
+                some, size = [], 0
+        if some:
+            yield self._batch(some)
+
+    def _batch(self, pieces: list[tuple[str, int, np.ndarray]]) -> pa.RecordBatch:
+        """Pieces of sequences as rows of stretches; an empty one is a row."""
+        counts = np.array([max(-(-len(x) // self.stretch), 1) for _, _, x in pieces])
+        row = np.repeat(np.arange(len(pieces)), counts)
+        place = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)) * self.stretch
+        sizes = np.array([len(x) for _, _, x in pieces])[row]
+        cut = np.concatenate([[0], np.cumsum(np.minimum(sizes - place, self.stretch))]).astype(np.int32)
+        letters = np.concatenate([x for _, _, x in pieces])
+        seq = pa.StringArray.from_buffers(len(row), pa.py_buffer(cut), pa.py_buffer(letters))
+        start = np.array([at for _, at, _ in pieces])[row] + place
+        return pa.RecordBatch.from_arrays([pa.array([c for c, _, _ in pieces]).take(pa.array(row)), pa.array(start, pa.int64()), seq], names=["chrom", "start", "seq"])
 
 
 @dataclass

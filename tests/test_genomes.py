@@ -118,3 +118,34 @@ def test_only_committed_attempts_are_seen(tmp_path):
     other.pending(1, 1)[1].close()
     other.abort()
     assert len(found(str(tmp_path / "out"))) == 1
+
+
+def test_many_short_sequences_cost_few_reads(spark, tmp_path, monkeypatch):
+    """Ranges are dealt by the index alone, and read as they lie in the file: not a request a name, a length or a stretch."""
+    rng = random.Random(6)
+    seqs = {f"s{i}": "".join(rng.choice("ACGTacgtN") for _ in range(rng.choice([0, 1, 30, 90, 2000 if i % 100 == 7 else 5]))) for i in range(3000)}
+    G.write_twobit(spark.createDataFrame(list(seqs.items()), "chrom string, seq string").coalesce(1), str(tmp_path / "many"))
+    asked, real = [], G.opened
+
+    class Counted:
+        def __init__(self, path):
+            self.file = real(path)
+
+        def read_at(self, size, offset):
+            asked.append(size)
+            return self.file.read_at(size, offset)
+
+    monkeypatch.setattr(G, "opened", Counted)
+    reader = G._TwoBitReader(str(tmp_path / "many"), 10, 1000)
+    parts = reader.partitions()
+    size = sum(s for _, s in found(str(tmp_path / "many"), ".2bit"))
+    assert len(parts) > 50 and len(asked) < 1000 and sum(asked) < 2 * size + (1 << 21)
+    asked.clear()
+    got: dict = {}
+    for part in parts:
+        for batch in reader.read(part):
+            for chrom, start, seq in zip(*[c.to_pylist() for c in batch.columns]):
+                assert len(seq) <= 10 and start not in got.setdefault(chrom, {})
+                got[chrom][start] = seq
+    assert {c: "".join(x[k] for k in sorted(x)) for c, x in got.items()} == {k: plain(s) for k, s in seqs.items()}
+    assert len(asked) < 12 * len(parts)
